@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, packing, sentencepieces
+from . import chat, order_minhash, packing, quality_gam, quality_rules, sentencepieces
 
 QUERIES = {
     "op2_sentencepiece": sentencepieces.op2_sentencepiece,
+    "op3_quality_gam": quality_gam.op3_quality_gam,
     "op5_packing": packing.op5_packing,
+    "op7_quality_rules": quality_rules.op7_quality_rules,
     "op9_chat": chat.op9_chat,
+    "op10_order_minhash": order_minhash.op10_order_minhash,
 }
 ORACLES = {"op9_chat": chat.OP9_SQL}

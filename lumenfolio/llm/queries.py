@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, order_minhash, packing, quality_gam, quality_rules, sentencepieces
+from . import chat, near_dedup, order_minhash, packing, quality_gam, quality_rules, sentencepieces
 
 QUERIES = {
     "op2_sentencepiece": sentencepieces.op2_sentencepiece,
     "op3_quality_gam": quality_gam.op3_quality_gam,
+    "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_packing": packing.op5_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op9_chat": chat.op9_chat,

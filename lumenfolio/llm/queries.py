@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import chat, near_dedup, order_minhash, packing, quality_gam, quality_rules, sentencepieces
+from . import chat, near_dedup, order_minhash, packing, quality_gam, quality_rules, sentencepieces, suffix_dedup, window_dedup
 
 QUERIES = {
     "op2_sentencepiece": sentencepieces.op2_sentencepiece,
     "op3_quality_gam": quality_gam.op3_quality_gam,
     "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_packing": packing.op5_packing,
+    "op6_window_dedup": window_dedup.op6_window_dedup,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_chat": chat.op9_chat,
     "op10_order_minhash": order_minhash.op10_order_minhash,
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, near_dedup, order_minhash, packing, quality_gam, quality_rules, sentencepieces, suffix_dedup, window_dedup
+from . import chat, licenses, near_dedup, order_minhash, packing, quality_gam, quality_rules, sentencepieces, suffix_dedup, window_dedup
 
 QUERIES = {
+    "op1_licenses": licenses.op1_licenses,
     "op2_sentencepiece": sentencepieces.op2_sentencepiece,
     "op3_quality_gam": quality_gam.op3_quality_gam,
     "op4_near_dedup": near_dedup.op4_near_dedup,

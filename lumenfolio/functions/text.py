@@ -75,8 +75,13 @@ def class_signature(text: Column, groups: Sequence[str] = BANGLA_CLASSES) -> Col
 
 
 def char_ngrams(text: Column, n: int) -> Column:
-    """Character n-grams in order; none for a text shorter than n."""
-    return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))).otherwise(no_strings())
+    """Character n-grams in order; none for a text shorter than n.
+
+    The text is cut into characters once, so the cost grows with its length
+    and not with its square.
+    """
+    cut = lambda c: F.transform(F.sequence(F.lit(1), F.size(c) - (n - 1)), lambda i: F.array_join(F.slice(c, i, n), ""))
+    return F.when(F.length(text) >= n, let(F.split(text, ""), cut)).otherwise(no_strings())
 
 
 def char_ngram_set(text: Column, n: int) -> Column:
@@ -174,7 +179,7 @@ def compact_digits(text: Column) -> Column:
 
 def keyword_context(text: Column, word: Column, around: int = 36) -> Column:
     """The first hit with so many characters on either side, or an empty text."""
-    at = F.locate_column(word, text) if hasattr(F, "locate_column") else F.position(word, text)
+    at = F.position(word, text)
     start = F.greatest(at - around, F.lit(1))
     return F.when(at > 0, F.substring(text, start, at - start + F.length(word) + around)).otherwise("")
 
@@ -501,8 +506,8 @@ def letter_count(text: Column, letters: str = r"ঀ-৿") -> Column:
 def tag_rules(text: Column, rules: Sequence[tuple[str, str]], first: Column | None = None, most: int = 3, default: str = "other") -> Column:
     """The given tag, then tags whose pattern matches, in order, at most ``most``; else the default."""
     head = [first] if first is not None else []
-    found = F.array_distinct(F.array_compact(F.array(*head, *[F.when(text.rlike(p), F.lit(t)) for t, p in rules])))
-    return F.when(F.size(found) > 0, F.slice(found, 1, most)).otherwise(F.array(F.lit(default)))
+    found = F.array_distinct(F.array_compact(F.array(*head, *[F.when(text.rlike(p), F.lit(t)) for p, t in rules])))
+    return let(found, lambda x: F.when(F.size(x) > 0, F.slice(x, 1, most)).otherwise(F.array(F.lit(default))))
 
 
 def sample_evenly(items: Column, most: int) -> Column:

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import relational_queries, text_queries  # noqa: F401
+from .base import ORACLES, QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return QUERIES
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return ORACLES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return QUERIES["phrase_window_audit"](spark, sf_dir)

@@ -10,15 +10,20 @@ most ``NODE`` members are leaves and are compared exhaustively; larger ones
 branch again, up to the last level.
 
 Work that a large group of near copies would square is avoided without losing
-links. Round 1: each class meets the pivots (smallest members) of its nodes,
-and the one with the best sketch is confirmed. Round 2: within leaves and
-last-level nodes, only members that round 1 left in different components meet.
-Both rounds first ask for agreement of the minwise tokens at six standard
-deviations below the threshold, and confirm every link on the full sets.
-
-Sets are never broadcast, and texts are shuffled only where candidates exceed
-a checked number. Trees, levels and the token agreement bound the recall; the
-confirmed links are exact.
+links. Round 1: each class meets the pivots of its nodes; the one whose sketch
+agrees best is confirmed, and all those of large nodes are. Round 2: within leaves, members that round 1
+left in different components meet. Nodes still large at the last level hold
+near copies of one text: their pivot is the most central member, the one with
+the most frequent shingles, and in round 2 their members meet over the rarest
+shingles that any link must share (a prefix filter, which loses no link), if
+the shingles that others have too are enough for a link; a copy with many
+edits has too many of its own and meets nobody. Both
+rounds first ask that a sketch of ``BITS`` one-bit minwise hashes agrees to six
+standard deviations below the threshold, and confirm every link on full sets.
+
+Sets are never broadcast; texts are shuffled only where candidates exceed a
+checked number. Trees, levels and the sketch bound the recall; confirmed links
+are exact.
 
 Defined cases: words are lower-cased A-Z only; a text with fewer words than a
 shingle is one shingle; null and word-less texts have an empty set and no
@@ -40,12 +45,18 @@ from pyspark.sql import functions as F
 from . import texthash as H
 from .common import materialise, table
 from .components import components
+from .rounds import ANSWER, answer_table, answers, cuts, grouped, log2, unique_counts
 
 SHINGLE = 5
 TREES, LEVELS, NODE = 10, 3, 64
 #: Up to so many candidate ids (8 bytes each) are broadcast to find their texts; beyond it, the ids and texts are shuffled.
 BROADCAST_IDS = 500_000
-_SEEDS = H.mix(np.arange(1, TREES * LEVELS + 1, dtype=H.U)) | H.U(1)
+#: One-bit minwise hashes of every class, and of the members of large nodes.
+BITS, FINE_BITS = 256, 2048
+_SEEDS = H.mix(np.arange(1, TREES * LEVELS + BITS + 1, dtype=H.U)) | H.U(1)
+_FINE_SEEDS = H.mix(np.arange(1, FINE_BITS + 1, dtype=H.U) + H.U(1 << 32)) | H.U(1)
+#: Shingles hashed at once by all functions.
+PIECE = 4096
 
 
 def shingle_sets(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[np.ndarray, int]]:
@@ -69,33 +80,43 @@ def signature(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.astype("<u8", copy=False).tobytes())
 
 
-def tokens(shingles: np.ndarray) -> np.ndarray:
-    """The minwise token of every tree and level."""
-    out = np.empty(len(_SEEDS), H.U)
-    for j, seed in enumerate(_SEEDS):
-        v = shingles * seed
-        v ^= v >> H.U(29)
-        v *= H.U(0xBF58476D1CE4E5B9)
-        out[j] = v.min()
-    return H.mix(out).view(np.int64)
+def least_hashes(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    least = np.full(len(seeds), np.iinfo(H.U).max, H.U)
+    step = max(1, PIECE * len(_SEEDS) // len(seeds))
+    for a in range(0, len(shingles), step):
+        np.minimum(least, (shingles[None, a : a + step] * seeds[:, None]).min(1), out=least)
+    return H.mix(least)
+
+
+def one_bit(least: np.ndarray) -> np.ndarray:
+    """The lowest bits, as signed 64-bit words."""
+    return np.packbits((least & H.U(1)).astype(np.uint8)).view("<i8")
+
+
+def minwise(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The minwise token of every tree and level, and the one-bit sketch."""
+    least = least_hashes(shingles, _SEEDS)
+    return least[: TREES * LEVELS].view(np.int64), one_bit(least[TREES * LEVELS :])
 
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 512):
             batch = whole.slice(at, 512)
-            sizes, keys, found = [], [], []
+            sizes, keys, found, bits = [], [], [], []
             for s in shingle_sets(batch.column(1)):
                 sizes.append(len(s))
                 keys.append(signature(s))
-                found.append(tokens(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "class", "tokens"])
+                own = minwise(s) if len(s) else (None, None)
+                found.append(own[0])
+                bits.append(own[1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "class", "tokens", "bits"])
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class (128 bits of the set), tokens (null for an empty set)."""
+    """doc_id, n_shingles, class (128 bits of the set), tokens and bits (null for an empty set)."""
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return chosen.mapInArrow(_sketch_rows, "doc_id long, n_shingles long, class binary, tokens array<long>")
+    return chosen.mapInArrow(_sketch_rows, "doc_id long, n_shingles long, class binary, tokens array<long>, bits array<long>")
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,11 +126,16 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([signature(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["class", "items"])
 
 
-def enough(a: Column, b: Column, percent: int) -> Column:
-    """Whether the minwise tokens agree as often as a pair at the threshold would, less six deviations."""
-    n, p = TREES * LEVELS, percent / 100
-    least = max(1, int(n * p - 6 * (n * p * (1 - p)) ** 0.5))
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x)) >= least
+def agreement(a: Column, b: Column, bits: int = BITS) -> Column:
+    """How many bits of two sketches agree."""
+    differ = [F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(bits // 64)]
+    return F.lit(bits) - sum(differ[1:], differ[0])
+
+
+def enough(a: Column, b: Column, percent: int, bits: int = BITS) -> Column:
+    """Whether the sketches agree as often as a pair at the threshold would, less six deviations."""
+    p = (1 + percent / 100) / 2
+    return agreement(a, b, bits) >= int(bits * p - 6 * (bits * p * (1 - p)) ** 0.5)
 
 
 def alike_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -117,9 +143,10 @@ def alike_sizes(a: Column, b: Column, percent: int) -> Column:
 
 
 def branch(classes: DataFrame) -> DataFrame:
-    """node, class, pivot, final: members of all nodes that have company.
+    """node, class, pivot, leaf, hot: members of all nodes that have company.
 
-    ``final`` marks the nodes whose members are compared with one another.
+    ``leaf`` marks the nodes whose members are compared exhaustively, ``hot``
+    those that are still large at the last level.
     Sizes and pivots come from pre-aggregated counts; a node's members are
     never gathered.
     """
@@ -132,21 +159,26 @@ def branch(classes: DataFrame) -> DataFrame:
         sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("class").alias("pivot")).where("members > 1")
         met = materialise(rows.join(sizes, "node"))
         last = level == LEVELS - 1
-        part = met.select("node", "class", "pivot", (F.lit(True) if last else F.col("members") <= NODE).alias("final"))
+        large = F.col("members") > NODE
+        part = met.select("node", "class", "pivot", (~large).alias("leaf"), (large & F.lit(last)).alias("hot"))
         out = part if out is None else out.unionByName(part)
         if not last:
-            rows = met.where(F.col("members") > NODE).drop("members", "pivot").withColumn("node", F.xxhash64("node", f"t{level + 1}"))
+            rows = met.where(large).drop("members", "pivot").withColumn("node", F.xxhash64("node", f"t{level + 1}"))
     return out
 
 
+def texts_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id, text: a document of each wanted class (and others that repeat its doc_id)."""
+    found = materialise(wanted.join(classes, "class").select("class", F.col("doc_id").alias("wanted_id")))
+    ids = found.select("wanted_id").distinct()
+    ids = F.broadcast(ids) if found.count() <= BROADCAST_IDS else ids
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, F.col("doc_id") == F.col("wanted_id"), "left_semi")
+
+
 def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    wanted = materialise(ends.join(classes, "class").select("class", F.col("doc_id").alias("wanted_id")))
-    ids = wanted.select("wanted_id").distinct()
-    ids = F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, F.col("doc_id") == F.col("wanted_id"), "left_semi").select("text")
-    sets = texts.mapInArrow(_set_rows, "class binary, items array<long>")
+    sets = texts_of(ends, classes, docs).select("text").mapInArrow(_set_rows, "class binary, items array<long>")
     sets = sets.groupBy("class").agg(F.first("items").alias("items"))
     left, right = sets.toDF("a", "of_a"), sets.toDF("b", "of_b")
     met = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -155,41 +187,120 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int)
     return met.where(similar).select("a", "b")
 
 
+def _ask_frequencies(t: pa.Table, bits: int) -> pa.Table:
+    keys, counts = unique_counts(np.concatenate([*shingle_sets(t["text"]), np.zeros(0, H.U)]))
+    few, g = np.minimum(counts, 65535).astype(np.uint16), t["g"][0].as_py()
+    rows = [(s, g, keys[a:b].tobytes(), few[a:b].tobytes()) for s, a, b in cuts((keys >> H.U(64 - bits)).astype(np.int64))]
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    return pa.table([pa.array(c, x) for c, x in zip(columns, [pa.int64(), pa.int64(), pa.binary(), pa.binary()], strict=True)], ["shard", "g", "keys", "counts"])
+
+
+def _merge_frequencies(t: pa.Table) -> pa.Table:
+    asked = [np.frombuffer(x, H.U) for x in t["keys"].to_pylist()]
+    keys, inverse = np.unique(np.concatenate(asked), return_inverse=True)
+    sums = np.bincount(inverse, np.concatenate([np.frombuffer(x, np.uint16) for x in t["counts"].to_pylist()]), len(keys))
+    found = np.minimum(sums, 65535).astype(np.uint16)[inverse]
+    ends, shard = np.cumsum([len(x) for x in asked]).tolist(), t["shard"][0].as_py()
+    return answer_table([(g, 0, shard, found[e - len(x) : e].tobytes()) for g, x, e in zip(t["g"].to_pylist(), asked, ends, strict=True)])
+
+
+def _profile_rows(t: pa.Table, replies: pa.Table, percent: int) -> pa.Table:
+    sets = list(shingle_sets(t["text"]))
+    keys, _ = unique_counts(np.concatenate([*sets, np.zeros(0, H.U)]))
+    known = np.frombuffer(b"".join(answers(replies, 0)), np.uint16)
+    names, centres, prefixes, fine, shared = [], [], [], [], []
+    for s in sets:
+        if len(s):
+            often = known[np.searchsorted(keys, s)]
+            order = np.lexsort((s, often))[: len(s) + percent * len(s) // -100 + 1]
+            names.append(signature(s))
+            centres.append(float(np.log(often).mean()))
+            prefixes.append(s[order][often[order] > 1].view(np.int64))
+            fine.append(one_bit(least_hashes(s, _FINE_SEEDS)))
+            shared.append(int((often > 1).sum()))
+    return pa.table([pa.array(names, pa.binary()), pa.array(centres, pa.float64()), *(pa.array(x, pa.list_(pa.int64())) for x in (prefixes, fine)), pa.array(shared, pa.int64())], ["class", "centre", "prefix", "fine", "shared"])
+
+
+def profiles(hot: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """class, centre, prefix, fine, shared of the members of large nodes, by the frequencies of shingles among them all.
+
+    ``centre`` is the mean log frequency. ``prefix`` has the rarest shingles,
+    so many that a linked pair must share one, without those of this class alone.
+    ``fine`` is the longer sketch, ``shared`` the number of shingles that another
+    member has too: no link has more in common.
+    """
+    items = int(hot.join(classes, "class").agg(F.sum("n")).first()[0] or 0)
+    bits = log2(items / (1 << 18), 4)
+    texts = grouped(texts_of(hot, classes, docs), [F.col("doc_id")], 8 * items, 4 << 20).groupBy("g")
+    asked = texts.applyInArrow(lambda t: _ask_frequencies(t, bits), "shard long, g long, keys binary, counts binary")
+    found = asked.groupBy("shard").applyInArrow(_merge_frequencies, ANSWER)
+    rows = texts.cogroup(found.groupBy("g")).applyInArrow(lambda t, r: _profile_rows(t, r, percent), "class binary, centre double, prefix array<long>, fine array<long>, shared long")
+    return rows.join(hot, "class", "left_semi").dropDuplicates(["class"])
+
+
+def meet(x: DataFrame, key: str, percent: int, fine: bool = False) -> DataFrame:
+    """Pairs (a, b) with equal ``key``, different roots, and alike sizes and sketches.
+
+    Two members of large nodes meet over their fine sketches only.
+    """
+    spread = x.groupBy(key).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select(key)
+    x = materialise(x.join(spread, key))
+    y = x.toDF(*[f"{c}_b" for c in x.columns])
+    x = x.toDF(*[f"{c}_a" for c in x.columns])
+    apart = (F.col(f"{key}_a") == F.col(f"{key}_b")) & (F.col("root_a") < F.col("root_b")) & alike_sizes(F.col("n_a"), F.col("n_b"), percent)
+    if fine:
+        common = F.least("shared_a", "shared_b")
+        apart &= ((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b"))) & enough(F.col("fine_a"), F.col("fine_b"), percent, FINE_BITS)
+    else:
+        apart &= ~(F.col("hot_a") & F.col("hot_b")) & enough(F.col("bits_a"), F.col("bits_b"), percent)
+    return x.join(y, apart).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept; links are pairs of at least ``percent`` similarity."""
     rows = materialise(sketch(docs))
     usable = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = materialise(usable.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens")))
+    classes = materialise(usable.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits")))
     members = branch(classes.select("class", "tokens"))
-
-    size = classes.select("class", "n", "tokens")
-    star = members.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-    met = star.join(size.toDF("a", "n_a", "tokens_a"), "a").join(size.toDF("b", "n_b", "tokens_b"), "b")
-    agree = F.size(F.filter(F.zip_with("tokens_a", "tokens_b", lambda x, y: x == y), lambda x: x))
-    likely = materialise(met.where(alike_sizes(F.col("n_a"), F.col("n_b"), percent) & enough(F.col("tokens_a"), F.col("tokens_b"), percent)).select("a", "b", agree.alias("agree")))
+    size = classes.select("class", "n", "bits")
+
+    hot = materialise(members.where("hot").select("node", "class"))
+    profile = None
+    star = members.where("class <> pivot AND NOT hot").select(F.col("pivot").alias("a"), F.col("class").alias("b"), F.lit(False).alias("central"))
+    if hot.limit(1).count():
+        profile = materialise(profiles(hot.select("class").distinct(), classes, docs, percent))
+        pivots = hot.join(profile, "class").groupBy("node").agg(F.max(F.struct("centre", "class")).alias("x")).select("node", F.col("x.class").alias("a"))
+        star = star.union(hot.join(pivots, "node").where("a <> class").select("a", F.col("class").alias("b"), F.lit(True)))
+    star = star.groupBy("a", "b").agg(F.max("central").alias("central"))
+    met = star.join(size.toDF("a", "n_a", "bits_a"), "a").join(size.toDF("b", "n_b", "bits_b"), "b")
+    alike = alike_sizes(F.col("n_a"), F.col("n_b"), percent) & enough(F.col("bits_a"), F.col("bits_b"), percent)
+    likely = materialise(met.where(alike).select("a", "b", "central", agreement(F.col("bits_a"), F.col("bits_b")).alias("agree")))
     best = likely.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
-    links = materialise(confirm(best, classes, docs, percent))
+    first = materialise(best.union(likely.where("central").select("a", "b")).distinct())
+    links = materialise(confirm(first, classes, docs, percent))
     roots = components(links)
 
-    # members whose node holds more than one component after round 1
-    own = members.where("final").select("node", "class").distinct().join(roots.toDF("class", "root"), "class", "left").select("node", "class", F.coalesce("root", "class").alias("root"))
-    mixed = own.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    left_over = materialise(own.join(mixed.select("node", "low"), "node").join(size, "class"))
-    x = left_over.toDF(*[f"{c}_a" for c in left_over.columns])
-    y = left_over.toDF(*[f"{c}_b" for c in left_over.columns])
-    apart = (F.col("node_a") == F.col("node_b")) & (F.col("root_a") < F.col("root_b")) & alike_sizes(F.col("n_a"), F.col("n_b"), percent) & enough(F.col("tokens_a"), F.col("tokens_b"), percent)
-    inner = x.join(y, apart).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
-    labelled = likely.join(roots.toDF("a", "root_a"), "a", "left").join(roots.toDF("b", "root_b"), "b", "left")
-    outer = labelled.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    second = inner.union(outer).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = materialise(confirm(materialise(second), classes, docs, percent))
+    # what round 1 left in different components, though a node or a shared rare shingle brings it together
+    is_hot = hot.select("class").distinct().withColumn("hot", F.lit(True))
+    rooted = size.join(roots.toDF("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    rooted = materialise(rooted.join(is_hot, "class", "left").withColumn("hot", F.coalesce("hot", F.lit(False))))
+    second = meet(members.where("leaf").select("node", "class").distinct().join(rooted, "class"), "node", percent)
+    if profile is not None:
+        able = profile.join(rooted.drop("bits", "hot"), "class").where((100 + percent) * F.col("shared") * 100 >= percent * F.col("n") * (100 + percent))
+        fine = able.select("class", "root", "n", "shared", "fine", F.explode("prefix").alias("item"))
+        second = second.union(meet(fine, "item", percent, fine=True))
+    ends = rooted.select("class", "root", "hot")
+    labelled = likely.join(ends.toDF("a", "root_a", "hot_a"), "a").join(ends.toDF("b", "root_b", "hot_b"), "b")
+    second = second.union(labelled.where((F.col("root_a") != F.col("root_b")) & ~(F.col("hot_a") & F.col("hot_b"))).select("a", "b"))
+    second = materialise(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    more = materialise(confirm(second, classes, docs, percent))
     if more.limit(1).count():
         roots = components(links.union(more))
 
     named = classes.select("class", "doc_id").join(roots.toDF("class", "root"), "class", "left").select("class", "doc_id", F.coalesce("root", "class").alias("root"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_class = named.join(smallest, "root").select("class", "component_id")
-    joined = rows.drop("tokens").join(of_class, "class", "left")
+    joined = rows.drop("tokens", "bits").join(of_class, "class", "left")
     alone = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     out = joined.select("doc_id", "n_shingles", alone.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -407,11 +407,12 @@ def feature_hash(feature: Column, dims: int = 32768) -> Column:
 
 def sparse_features(text: Column, signature: Column, sizes: Sequence[int] = (3, 5, 8), exact: float = 1.0, by_class: float = 0.5) -> Column:
     """struct(feature, weight) of distinct n-grams of a compact text and of its signature; a size's weight is n / min(sizes)."""
-    parts = []
-    for n in sizes:
-        for kind, column, base in (("exact", text, exact), ("class", signature, by_class)):
-            parts.append(F.transform(char_ngram_set(column, n), lambda g, kind=kind, base=base, n=n: F.struct(F.concat(F.lit(f"{kind}:{n}:"), g).alias("feature"), F.lit(base * n / min(sizes)).alias("weight"))))
-    return F.concat(*parts)
+
+    def part(n: int, kind: str, column: Column, base: float) -> Column:
+        row = lambda g: F.struct(F.concat(F.lit(f"{kind}:{n}:"), g).alias("feature"), F.lit(base * n / min(sizes)).alias("weight"))
+        return F.transform(char_ngram_set(column, n), row)
+
+    return F.concat(*(part(n, kind, column, base) for n in sizes for kind, column, base in (("exact", text, exact), ("class", signature, by_class))))
 
 
 def sigmoid(x: Column) -> Column:

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import texthash as H
 from .common import table, text_bytes
@@ -273,8 +274,9 @@ def cut_matches(docs: DataFrame, digest: bool = False, group_bytes: int = GROUP_
     sent = texts.cogroup(anchors.groupBy("g")).applyInArrow(lambda t, r: fragment_part(t, r, sizes), "shard long, g long, bytes binary, sizes binary, keys binary, starts binary")
     found = sent.groupBy("shard").applyInArrow(merge_fragments, ANSWER)
     replies = anchors.unionByName(found).groupBy("g")
-    row = f"row {docs.schema['row'].dataType.simpleString()}, " if carry else ""
-    schema = f"doc_id long, {row}n_bytes long, n_removed long, n_spans long, {'kept_sha256' if digest else 'kept_text'} string"
+    long, text = T.LongType(), T.StringType()
+    added = [("n_bytes", long), ("n_removed", long), ("n_spans", long), ("kept_sha256" if digest else "kept_text", text)]
+    schema = T.StructType([T.StructField("doc_id", long), *([docs.schema["row"]] if carry else []), *(T.StructField(n, k) for n, k in added)])
     return texts.cogroup(replies).applyInArrow(lambda t, r: cut_rows(t, r, sizes, digest), schema)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, licenses, near_dedup, order_minhash, packing, quality_gam, quality_rules, sentencepieces, suffix_dedup, window_dedup
+from . import chat, licenses, near_dedup, oracles, order_minhash, packing, quality_gam, quality_rules, sentencepieces, suffix_dedup, window_dedup
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -16,4 +16,9 @@ QUERIES = {
     "op9_chat": chat.op9_chat,
     "op10_order_minhash": order_minhash.op10_order_minhash,
 }
-ORACLES = {"op9_chat": chat.OP9_SQL}
+ORACLES = {
+    "op4_near_dedup": oracles.NEAR_DEDUP,
+    "op6_window_dedup": oracles.WINDOW_DEDUP,
+    "op8_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op9_chat": chat.OP9_SQL,
+}

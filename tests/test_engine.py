@@ -158,3 +158,14 @@ def test_shuffled_input_same_output(spark, sf):
     passages, docs = corpus(spark, sf)
     f = lambda p: sorted(map(str, matching.propose(passages, p).select("item_id", "book_id", "start_scan", "end_scan", "status", "score").collect()))
     assert f(docs) == f(docs.repartition(7).orderBy(F.rand(1)))
+
+
+def test_guard_raises(spark):
+    from lumenfolio.operators import imports
+
+    rows = spark.createDataFrame([("a",), ("b",)], "o string")
+    assert imports.guarded(rows, "o", ["a", "b"], []).count() == 2
+    with pytest.raises(Exception, match="not allowed: b"):
+        imports.guarded(rows, "o", ["a"], []).collect()
+    with pytest.raises(Exception, match="excluded: a"):
+        imports.guarded(rows, "o", ["a", "b"], ["a"]).collect()

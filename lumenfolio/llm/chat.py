@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, tidy
 
 START, END = "<|im_start|>", "<|im_end|>"
 _RAW, _ESCAPED = re.compile(r"<(~*)\|"), re.compile(r"<~(~*)\|")
@@ -134,7 +134,7 @@ def format_turns(turns: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     chosen = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", F.col("parts" if typed else "text").alias("content"))
-    return chosen.mapInArrow(run, FORMATTED)
+    return chosen.mapInArrow(tidy(run), FORMATTED)
 
 
 class _Digest:
@@ -182,7 +182,7 @@ def digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def conversation_digests(formatted: DataFrame) -> DataFrame:
     """One row per conversation; a sort in each partition lets the rows stream."""
     ordered = formatted.select("conv_id", "turn", "role", "formatted", "loss_start", "loss_end").repartition("conv_id")
-    return ordered.sortWithinPartitions("conv_id", "turn", "role", "formatted").mapInArrow(digest_rows, DIGEST)
+    return ordered.sortWithinPartitions("conv_id", "turn", "role", "formatted").mapInArrow(tidy(digest_rows), DIGEST)
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

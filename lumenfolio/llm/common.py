@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +57,42 @@ def text_bytes(docs: DataFrame) -> int:
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for documents whose labels must not be learned from; a null id is held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(True))
+
+
+def release() -> None:
+    """Give freed memory back to the system: a Python worker that waits for its next task must not hold it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not a GNU system
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``f`` of batches, with ``release`` behind the last one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        release()
+
+    return run
+
+
+def tidy_group(f: Callable[[pa.Table], pa.Table]):
+    """``f`` of one group, with ``release`` behind it."""
+
+    def run(t: pa.Table) -> pa.Table:
+        out = f(t)
+        release()
+        return out
+
+    return run
+
+
+def tidy_cogroup(f: Callable[[pa.Table, pa.Table], pa.Table]):
+    """``f`` of two groups, with ``release`` behind it."""
+
+    def run(t: pa.Table, r: pa.Table) -> pa.Table:
+        out = f(t, r)
+        release()
+        return out
+
+    return run

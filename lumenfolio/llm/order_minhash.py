@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import table, text_bytes
+from .common import table, text_bytes, tidy
 from .texthash import U, mix, windows
 
 K, SKETCHES, KEEP = 8, 24, 2
@@ -103,7 +103,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fingerprint(t or "").tobytes().hex() for t in b.column(1).to_pylist()], pa.string())], ["doc_id", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fingerprint string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, fingerprint string")
 
 
 def in_ranges(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -155,7 +155,7 @@ def compare_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Each document against its edited text and against the next document."""
     rows = in_ranges(docs, range_bytes).select("part", "is_copy", "doc_id", "text").repartition("part")
-    return rows.sortWithinPartitions("part", "is_copy", F.col("doc_id").desc_nulls_last(), "text").mapInArrow(compare_rows, RESULT)
+    return rows.sortWithinPartitions("part", "is_copy", F.col("doc_id").desc_nulls_last(), "text").mapInArrow(tidy(compare_rows), RESULT)
 
 
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import table, tidy
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
@@ -197,7 +197,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, tiers: tuple[int, ...] =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pack_rows(batches, encoder(path), TaskContext.get().partitionId(), tiers, end_id, step_tokens)
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), SCHEMA)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

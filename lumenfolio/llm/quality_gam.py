@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, table
+from .common import held_out, table, tidy
 from .sentencepieces import slices
 
 #: Most labelled documents that learning looks at.
@@ -183,7 +183,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Gam:
     usable = labels.where(F.col("quality").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("quality").alias("y"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
-    found = known.select("text", F.col("y").cast("double").alias("y")).mapInArrow(_feature_rows, "x array<double>, y double").collect()
+    found = known.select("text", F.col("y").cast("double").alias("y")).mapInArrow(tidy(_feature_rows), "x array<double>, y double").collect()
     found.sort(key=lambda r: (r.y, r.x))
     return fit(np.array([r.x for r in found]).reshape(-1, len(FEATURES)), np.array([r.y for r in found]))
 
@@ -197,7 +197,7 @@ def score(docs: DataFrame, model: Gam, name: str = "score") -> DataFrame:
                 x = np.array([features(t) for t in batch.column("text").to_pylist()]).reshape(-1, len(FEATURES))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(tidy(run), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import texthash as H
-from .common import table, text_bytes
+from .common import table, text_bytes, tidy_cogroup, tidy_group
 from .rounds import ANSWER, answer_table, answers, codes, cuts, grouped, log2, unique_counts
 from .run_index import RunIndex
 
@@ -269,15 +269,15 @@ def cut_matches(docs: DataFrame, digest: bool = False, group_bytes: int = GROUP_
     sizes = Sizes(total, hot)
     texts = grouped(docs, [F.col("doc_id")], total, group_bytes).groupBy("g")
 
-    parts = texts.applyInArrow(lambda t: anchor_part(t, sizes), "shard long, g long, keys binary, counts binary")
-    anchors = parts.groupBy("shard").applyInArrow(lambda t: merge_anchors(t, sizes), ANSWER)
-    sent = texts.cogroup(anchors.groupBy("g")).applyInArrow(lambda t, r: fragment_part(t, r, sizes), "shard long, g long, bytes binary, sizes binary, keys binary, starts binary")
-    found = sent.groupBy("shard").applyInArrow(merge_fragments, ANSWER)
+    parts = texts.applyInArrow(tidy_group(lambda t: anchor_part(t, sizes)), "shard long, g long, keys binary, counts binary")
+    anchors = parts.groupBy("shard").applyInArrow(tidy_group(lambda t: merge_anchors(t, sizes)), ANSWER)
+    sent = texts.cogroup(anchors.groupBy("g")).applyInArrow(tidy_cogroup(lambda t, r: fragment_part(t, r, sizes)), "shard long, g long, bytes binary, sizes binary, keys binary, starts binary")
+    found = sent.groupBy("shard").applyInArrow(tidy_group(merge_fragments), ANSWER)
     replies = anchors.unionByName(found).groupBy("g")
     long, text = T.LongType(), T.StringType()
     added = [("n_bytes", long), ("n_removed", long), ("n_spans", long), ("kept_sha256" if digest else "kept_text", text)]
     schema = T.StructType([T.StructField("doc_id", long), *([docs.schema["row"]] if carry else []), *(T.StructField(n, k) for n, k in added)])
-    return texts.cogroup(replies).applyInArrow(lambda t, r: cut_rows(t, r, sizes, digest), schema)
+    return texts.cogroup(replies).applyInArrow(tidy_cogroup(lambda t, r: cut_rows(t, r, sizes, digest)), schema)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import texthash as H
-from .common import table, text_bytes
+from .common import table, text_bytes, tidy_cogroup, tidy_group
 from .rounds import ANSWER, answer_table, codes, cuts, grouped, log2, member, pack_sorted, unique_counts, unpack_sorted
 
 WINDOW = 35
@@ -176,10 +176,10 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
     grid = Grid(total, window)
     texts = grouped(docs, [F.col("doc_id"), F.col("text")], total, group_bytes).groupBy("g")
 
-    parts = texts.applyInArrow(lambda t: sketch_part(t, grid), "row int, shard long, g long, cells binary, twice binary")
-    sketch = parts.groupBy("row", "shard").applyInArrow(lambda t: merge_sketch(t, grid), ANSWER)
-    asked = texts.cogroup(sketch.groupBy("g")).applyInArrow(lambda t, r: exact_part(t, r, grid), "shard long, g long, high binary, low binary, twice binary")
-    exact = asked.groupBy("shard").applyInArrow(merge_exact, ANSWER)
+    parts = texts.applyInArrow(tidy_group(lambda t: sketch_part(t, grid)), "row int, shard long, g long, cells binary, twice binary")
+    sketch = parts.groupBy("row", "shard").applyInArrow(tidy_group(lambda t: merge_sketch(t, grid)), ANSWER)
+    asked = texts.cogroup(sketch.groupBy("g")).applyInArrow(tidy_cogroup(lambda t, r: exact_part(t, r, grid)), "shard long, g long, high binary, low binary, twice binary")
+    exact = asked.groupBy("shard").applyInArrow(tidy_group(merge_exact), ANSWER)
     replies = sketch.unionByName(exact).groupBy("g")
 
     def last(t: pa.Table, r: pa.Table) -> pa.Table:
@@ -190,7 +190,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
         return out.set_column(3, "kept_text", out["kept_text"].cast(pa.string()))
 
     schema = RESULT.replace("kept_text", "kept_sha256") if digest else RESULT
-    return texts.cogroup(replies).applyInArrow(last, schema)
+    return texts.cogroup(replies).applyInArrow(tidy_cogroup(last), schema)
 
 
 def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

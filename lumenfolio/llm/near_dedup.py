@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import texthash as H
-from .common import materialise, table
+from .common import materialise, table, tidy, tidy_cogroup, tidy_group
 from .components import components
 from .rounds import ANSWER, answer_table, answers, cuts, grouped, log2, unique_counts
 
@@ -116,7 +116,7 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sketch(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, class (128 bits of the set), tokens and bits (null for an empty set)."""
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return chosen.mapInArrow(_sketch_rows, "doc_id long, n_shingles long, class binary, tokens array<long>, bits array<long>")
+    return chosen.mapInArrow(tidy(_sketch_rows), "doc_id long, n_shingles long, class binary, tokens array<long>, bits array<long>")
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +178,7 @@ def texts_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
 def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    sets = texts_of(ends, classes, docs).select("text").mapInArrow(_set_rows, "class binary, items array<long>")
+    sets = texts_of(ends, classes, docs).select("text").mapInArrow(tidy(_set_rows), "class binary, items array<long>")
     sets = sets.groupBy("class").agg(F.first("items").alias("items"))
     left, right = sets.toDF("a", "of_a"), sets.toDF("b", "of_b")
     met = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -232,16 +232,17 @@ def profiles(hot: DataFrame, classes: DataFrame, docs: DataFrame, percent: int)
     items = int(hot.join(classes, "class").agg(F.sum("n")).first()[0] or 0)
     bits = log2(items / (1 << 18), 4)
     texts = grouped(texts_of(hot, classes, docs), [F.col("doc_id")], 8 * items, 4 << 20).groupBy("g")
-    asked = texts.applyInArrow(lambda t: _ask_frequencies(t, bits), "shard long, g long, keys binary, counts binary")
-    found = asked.groupBy("shard").applyInArrow(_merge_frequencies, ANSWER)
-    rows = texts.cogroup(found.groupBy("g")).applyInArrow(lambda t, r: _profile_rows(t, r, percent), "class binary, centre double, prefix array<long>, fine array<long>, shared long")
+    asked = texts.applyInArrow(tidy_group(lambda t: _ask_frequencies(t, bits)), "shard long, g long, keys binary, counts binary")
+    found = asked.groupBy("shard").applyInArrow(tidy_group(_merge_frequencies), ANSWER)
+    rows = texts.cogroup(found.groupBy("g")).applyInArrow(tidy_cogroup(lambda t, r: _profile_rows(t, r, percent)), "class binary, centre double, prefix array<long>, fine array<long>, shared long")
     return rows.join(hot, "class", "left_semi").dropDuplicates(["class"])
 
 
 def meet(x: DataFrame, key: str, percent: int, fine: bool = False) -> DataFrame:
     """Pairs (a, b) with equal ``key``, different roots, and alike sizes and sketches.
 
-    Two members of large nodes meet over their fine sketches only.
+    Two members of large nodes meet over their fine sketches only, and once:
+    at the smallest of the rare shingles that they share.
     """
     spread = x.groupBy(key).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select(key)
     x = materialise(x.join(spread, key))
@@ -251,6 +252,7 @@ def meet(x: DataFrame, key: str, percent: int, fine: bool = False) -> DataFrame:
     if fine:
         common = F.least("shared_a", "shared_b")
         apart &= ((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b"))) & enough(F.col("fine_a"), F.col("fine_b"), percent, FINE_BITS)
+        apart &= F.col(f"{key}_a") == F.array_min(F.array_intersect("prefix_a", "prefix_b"))
     else:
         apart &= ~(F.col("hot_a") & F.col("hot_b")) & enough(F.col("bits_a"), F.col("bits_b"), percent)
     return x.join(y, apart).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
@@ -287,7 +289,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     second = meet(members.where("leaf").select("node", "class").distinct().join(rooted, "class"), "node", percent)
     if profile is not None:
         able = profile.join(rooted.drop("bits", "hot"), "class").where((100 + percent) * F.col("shared") * 100 >= percent * F.col("n") * (100 + percent))
-        fine = able.select("class", "root", "n", "shared", "fine", F.explode("prefix").alias("item"))
+        fine = able.select("class", "root", "n", "shared", "fine", "prefix", F.explode("prefix").alias("item"))
         second = second.union(meet(fine, "item", percent, fine=True))
     ends = rooted.select("class", "root", "hot")
     labelled = likely.join(ends.toDF("a", "root_a", "hot_a"), "a").join(ends.toDF("b", "root_b", "hot_b"), "b")

@@ -48,6 +48,20 @@ def common_run(a: list, b: list) -> int:
     return best
 
 
+@lru_cache(100_000)
+def common_substring_length(a: str, b: str) -> int:
+    """As ``common_run`` of two texts: by halving the length, with sets of substrings."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        n = (low + high + 1) // 2
+        held = {a[i : i + n] for i in range(len(a) - n + 1)}
+        if any(b[i : i + n] in held for i in range(len(b) - n + 1)):
+            low = n
+        else:
+            high = n - 1
+    return low
+
+
 @F.pandas_udf(IntegerType())
 def token_lcs(a: pd.Series, b: pd.Series) -> pd.Series:
     """T43; null counts as empty."""
@@ -63,7 +77,7 @@ def token_common_run(a: pd.Series, b: pd.Series) -> pd.Series:
 @F.pandas_udf(IntegerType())
 def common_substring(a: pd.Series, b: pd.Series) -> pd.Series:
     """Length of the longest common substring; null counts as empty."""
-    return pd.Series([common_run(list(x or ""), list(y or "")) for x, y in zip(a, b, strict=True)], dtype="int32")
+    return pd.Series([common_substring_length(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="int32")
 
 
 @F.pandas_udf(StringType())

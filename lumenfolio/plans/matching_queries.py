@@ -31,14 +31,14 @@ def phrase_window_audit(spark: SparkSession, d: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Benchmark items as passages (the first three words as title), documents as prepared, numbered, trusted pages."""
+    """Benchmark items as passages (the first six words as title), documents as prepared, numbered, trusted pages."""
     p = P.document_pages(table(spark, d, "documents")).withColumnRenamed("doc_id", "page_id")
     p = p.withColumns({"printed_page": F.when(F.col("page_id") % 5 != 0, F.col("scan_page") + 3), "page_type": F.lit("normal_poem_page")})
-    items = table(spark, d, "benchmark").withColumn("title", F.array_join(F.slice(F.split("text", " "), 1, 3), " "))
+    items = table(spark, d, "benchmark").withColumn("title", F.array_join(F.slice(F.split("text", " "), 1, 6), " "))
     return matching.prepared_passages(items, "title", "text"), matching.prepared_pages(p)
 
 
-_PASSAGES = f"""i AS (SELECT item_id, {norm("array_to_string(string_split(text, ' ')[1:3], ' ')")} AS title, {norm('text')} AS n, list_filter(list_transform(string_split(text, chr(10)), lambda x: {norm('x')}), lambda x: length(x) >= 8) AS lines FROM benchmark),
+_PASSAGES = f"""i AS (SELECT item_id, {norm("array_to_string(string_split(text, ' ')[1:6], ' ')")} AS title, {norm('text')} AS n, list_filter(list_transform(string_split(text, chr(10)), lambda x: {norm('x')}), lambda x: length(x) >= 8) AS lines FROM benchmark),
 d AS (SELECT doc_id, source AS book_id, row_number() OVER (PARTITION BY source ORDER BY doc_id)::INTEGER AS scan_page, {norm('text')} AS n, list_filter(list_transform(string_split(text, chr(10)), lambda x: {norm('x')}), lambda x: x <> '') AS lines FROM documents),
 it AS (SELECT item_id, unnest(list_distinct(list_filter({words('n')}, lambda x: length(x) >= 3))) AS token FROM i), dt AS (SELECT doc_id, book_id, unnest(list_distinct(list_filter({words('n')}, lambda x: length(x) >= 3))) AS token FROM d),
 pr AS (SELECT item_id, doc_id, count(*) AS overlap FROM it JOIN dt USING (token) GROUP BY 1, 2 HAVING count(*) >= 4), sz AS (SELECT item_id, count(*) AS n FROM it GROUP BY 1)"""
@@ -136,8 +136,11 @@ def sparse_cosine_hashed(spark: SparkSession, d: str) -> DataFrame:
 
 def fuzzy_matches(spark: SparkSession, d: str) -> DataFrame:
     lines, regions = passage_lines(spark, d), document_regions(spark, d)
-    near = matching.best_regions(lines, regions, 0.7, 3, 16, 5)
-    t = near.join(lines.withColumnRenamed("text", "line"), ["item_id", "line_index"]).join(regions, ["page_id", "window"])
+    passages, pages = corpus(spark, d)
+    grams = passages.select(F.col("item_id").alias("a_id"), F.explode("body_tokens").alias("gram"))
+    tokens = pages.select(F.col("page_id").alias("b_id"), F.explode("tokens").alias("gram")).join(grams.select("gram").distinct(), "gram", "left_semi")
+    pairs = joins.overlap_join(grams, tokens, 8, 8).select(F.col("a_id").alias("item_id"), F.col("b_id").alias("page_id"))
+    t = matching.best_regions(pairs, lines, regions, 0.5, 3, 16, 5)
     plain = lambda c: F.replace(c, F.lit(" "), F.lit(""))
     t = t.withColumn("fuzzy", matching.fuzzy_line_score(plain(F.col("line")), plain(F.col("text")))).withColumn("ordered", matching.ordered_token_score(F.col("line"), F.col("text")))
     return t.where("fuzzy >= 0.62").withColumn("kind", F.when(F.contains("text", "line"), "exact").otherwise("fuzzy"))

@@ -121,6 +121,7 @@ def test_kernels_against_definitions(a, b):
     assert K.lcs_length(a, b) == max(len(s) for s in subs if inside(s))
     runs = [n for n in range(len(a) + 1) for i in range(len(a) - n + 1) for j in range(len(b) - n + 1) if a[i : i + n] == b[j : j + n]]
     assert K.common_run(a, b) == max(runs, default=0)
+    assert K.common_substring_length("".join(a), "".join(b)) == K.common_run(a, b)
     assert K._ratio("".join(a), "".join(b)) == difflib.SequenceMatcher(None, "".join(a), "".join(b)).ratio()
 
 

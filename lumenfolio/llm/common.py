@@ -76,23 +76,35 @@ def tidy(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     return run
 
 
+#: Groups between two releases: each makes the next group fault its memory in again.
+RELEASE_EVERY = 4
+_groups = 0
+
+
+def _release_at_times() -> None:
+    global _groups
+    _groups += 1
+    if _groups % RELEASE_EVERY == 0:
+        release()
+
+
 def tidy_group(f: Callable[[pa.Table], pa.Table]):
-    """``f`` of one group, with ``release`` behind it."""
+    """``f`` of one group, with ``release`` behind every few of them."""
 
     def run(t: pa.Table) -> pa.Table:
         out = f(t)
-        release()
+        _release_at_times()
         return out
 
     return run
 
 
 def tidy_cogroup(f: Callable[[pa.Table, pa.Table], pa.Table]):
-    """``f`` of two groups, with ``release`` behind it."""
+    """``f`` of two groups, with ``release`` behind every few of them."""
 
     def run(t: pa.Table, r: pa.Table) -> pa.Table:
         out = f(t, r)
-        release()
+        _release_at_times()
         return out
 
     return run

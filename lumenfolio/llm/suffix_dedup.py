@@ -68,15 +68,18 @@ def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 class Group:
-    """The windows of one group's texts, in the order of (doc_id, text)."""
+    """The windows of one group's texts, in the order of (doc_id, text).
 
-    def __init__(self, t: pa.Table, sizes: Sizes):
+    Only ``counted`` groups know how often their anchors occur.
+    """
+
+    def __init__(self, t: pa.Table, sizes: Sizes, counted: bool = False):
         self.table = t = t.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         self.sizes = sizes
         self.buf, self.offsets = H.flat(t["text"])
         n = len(self.buf)
         windows = max(0, n - LENGTH + 1)
-        self.valid = np.zeros(windows, bool)
+        self.counted, self.valid = counted, np.zeros(windows, bool)
         for a, b in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist(), strict=True):
             self.valid[a : max(a, b - LENGTH + 1)] = True
         if not self.valid.any():
@@ -88,8 +91,11 @@ class Group:
         width = LENGTH - GRAM + 1
         least = sliding(grams, width, np.minimum)
         least[~self.valid] = 0
-        reach = sliding(np.concatenate([np.zeros(width - 1, H.U), least, np.zeros(width - 1, H.U)]), width, np.maximum)
-        self.picked = H.mix(grams[reach == grams])  # an occurrence of each anchor that a window has
+        if counted:  # the places of grams that are some window's anchor
+            reach = sliding(np.concatenate([np.zeros(width - 1, H.U), least, np.zeros(width - 1, H.U)]), width, np.maximum)
+            self.picked = H.mix(grams[reach == grams])
+            del reach
+        del grams
         change = np.flatnonzero(least[1:] != least[:-1]) + 1
         begin = np.concatenate([[0], change])
         size = np.diff(np.append(begin, windows))
@@ -104,8 +110,8 @@ class Group:
         self.anchor = H.mix(least[self.begin])
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchors, their occurrences, and their shards."""
-        keys, counts = unique_counts(self.picked)
+        """Distinct anchors, their occurrences (if counted), and their shards."""
+        keys, counts = unique_counts(self.picked if self.counted else self.anchor)
         return keys, counts, (keys >> H.U(64 - self.sizes.anchor_bits)).astype(np.int64)
 
     def fragments(self, replies: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,7 +168,7 @@ def _columns(rows: list[tuple], types: list, names: list[str]) -> pa.Table:
 def anchor_part(t: pa.Table, sizes: Sizes) -> pa.Table:
     """Round 1, in a group: distinct anchors (32 bits within the shard) and counts up to 255."""
     g = t["g"][0].as_py()
-    keys, counts, shards = Group(t, sizes).anchors()
+    keys, counts, shards = Group(t, sizes, counted=True).anchors()
     short = (keys << H.U(sizes.anchor_bits) >> H.U(32)).astype(np.uint32)
     few = np.minimum(counts, 255).astype(np.uint8)
     return _columns([(s, g, short[a:b].tobytes(), few[a:b].tobytes()) for s, a, b in cuts(shards)], [pa.int64(), pa.int64(), pa.binary(), pa.binary()], ["shard", "g", "keys", "counts"])

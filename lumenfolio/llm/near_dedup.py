@@ -127,7 +127,14 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def agreement(a: Column, b: Column, bits: int = BITS) -> Column:
-    """How many bits of two sketches agree."""
+    """How many bits of two sketches agree.
+
+    A short sketch is unrolled into the generated code; a long one would make
+    the compiler of the executors take more memory than the join itself.
+    """
+    if bits > BITS:
+        words = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        return F.lit(bits) - F.aggregate(words, F.lit(0), lambda n, w: n + w)
     differ = [F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(bits // 64)]
     return F.lit(bits) - sum(differ[1:], differ[0])
 

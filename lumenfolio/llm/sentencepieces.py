@@ -8,9 +8,11 @@ another character, words can't influence one another; then each distinct word
 is encoded once, in multithreaded batches, decoded once, and kept in a bounded
 cache.
 
-A share of each batch is also encoded by the sentencepiece library and decoded
-as a whole; a difference is an error. Rows are independent: no shuffle, and
-lost tasks rerun.
+Every distinct word is also encoded by the sentencepiece library as it enters
+the cache; where words aren't independent, or text is changed before it is
+split, every text is. A share of each batch is besides encoded by the library
+and decoded as a whole. A difference is an error. Rows are independent: no
+shuffle, and lost tasks rerun.
 
 Defined cases: a null text gives null ids and is treated as an empty text in
 ``op2_sentencepiece``; an empty text has no ids; texts of any length are
@@ -22,6 +24,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -109,15 +112,21 @@ def parse_model(data: bytes) -> Model:
 
 
 def merges(m: Model) -> list[tuple[str, str]]:
-    """Pairs whose union is a piece, by that piece's score (high first), then by the pair."""
+    """Pairs whose union is a piece, by that piece's score (high first), then by the pair.
+
+    Of pieces of one score sentencepiece merges the leftmost pair first, so a
+    run of markers grows from its left end as far as a piece goes; the pair
+    with the longest left part first has the same effect.
+    """
     ids = {p: i for i, (p, _, kind) in enumerate(m.pieces) if kind in (NORMAL, USER)}
+    pieces = Counter(m.pieces[i][1] for i in ids.values())
     found = []
     for piece, i in ids.items():
         for cut in range(1, len(piece)):
             left, right = ids.get(piece[:cut]), ids.get(piece[cut:])
             if left is not None and right is not None:
-                found.append((-m.pieces[i][1], left, right))
-    return [(m.pieces[a][0], m.pieces[b][0]) for _, a, b in sorted(found)]
+                found.append((-m.pieces[i][1], -cut if pieces[m.pieces[i][1]] > 1 else 0, left, right))
+    return [(m.pieces[a][0], m.pieces[b][0]) for _, _, a, b in sorted(found)]
 
 
 class Codec:
@@ -170,7 +179,9 @@ class Codec:
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         normal = [self.normalize(t) for t in texts]
         if not self.by_word:
-            return [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(normal, add_special_tokens=False)]
+            out = [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(normal, add_special_tokens=False)]
+            verify(self.path, texts, [i.tolist() for i in out])
+            return out
         split = [self.words(t) for t in normal]
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
@@ -180,9 +191,23 @@ class Codec:
         for a in range(0, len(missing), 20_000):
             part = missing[a : a + 20_000]
             ids = [e.ids for e in self.whole.encode_batch_fast(part, add_special_tokens=False)]
+            if self.identity:
+                self.verify_words(part, ids)
             cache.update(zip(part, (struct.pack(f"<{len(i)}I", *i) for i in ids), strict=True))
             self.wrong.update(w for w, back in zip(part, self.decode_batch(ids), strict=True) if back != plain_word(self, w))
-        return [np.frombuffer(b"".join(map(cache.__getitem__, w)), "<u4") for w in split]
+        out = [np.frombuffer(b"".join(map(cache.__getitem__, w)), "<u4") for w in split]
+        if not self.identity:
+            verify(self.path, texts, [i.tolist() for i in out])
+        return out
+
+    def verify_words(self, words: list[str], ids: list[list[int]]) -> None:
+        """Raise unless the sentencepiece library, which adds the first marker itself, gives each word's ids."""
+        if MARK in words:  # a last marker; as a text of its own it would be empty
+            at = words.index(MARK)
+            if ids[at] != [reference(self.path).piece_to_id(MARK)]:
+                raise ValueError("ids differ from the sentencepiece library's for a single marker")
+            words, ids = words[:at] + words[at + 1 :], ids[:at] + ids[at + 1 :]
+        verify(self.path, [w[1:] for w in words], ids)
 
     def decodes(self, text: str) -> bool:
         """Whether each word of a text encoded just now decodes to itself, so that the text does."""
@@ -204,10 +229,10 @@ def reference(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-def verify(path: str, texts: list[str], ids: list[np.ndarray]) -> None:
+def verify(path: str, texts: list[str], ids: list[np.ndarray] | list[list[int]]) -> None:
     """Raise unless the sentencepiece library gives the same ids."""
     for text, own, known in zip(texts, ids, reference(path).encode(texts, num_threads=1), strict=True):
-        if own.tolist() != known:
+        if (own if isinstance(own, list) else own.tolist()) != known:
             raise ValueError(f"ids differ from the sentencepiece library's for {text[:80]!r}")
 
 
@@ -251,8 +276,9 @@ def encode_digests(docs: DataFrame, model: str | None = None, parity_share: int
     Columns: n_tokens; ids_crc32 (unsigned, of little-endian 32-bit ids);
     n_unknown; decoded_equal (decoding gives the normalised text back; by
     distinct words where these are independent); parity_checked (also encoded
-    by the sentencepiece library and decoded whole, and equal: one text in
-    ``parity_share`` by its CRC-32, and the first of every batch).
+    whole by the sentencepiece library and decoded whole, and equal: one text in
+    ``parity_share`` by its CRC-32, and the first of every batch). The ids of
+    all other texts are checked by their distinct words, see above.
     """
     path = model or default_model()
 

@@ -77,6 +77,24 @@ def test_sentencepiece_parity_on_any_text(text):
     sentencepieces.verify(path, [text], sentencepieces.codec(path).encode_batch([text]))
 
 
+def test_sentencepiece_runs_of_spaces():
+    """Long runs, bare, inside and at either end; runs of typed markers count alike."""
+    path = sentencepieces.default_model()
+    runs = [x * n for n in range(1, 70) for x in (" ", "▁")]
+    texts = [t for r in runs for t in (r, f"a{r}b", f"{r}word", f"word{r}", f"a{r}é😀{r}\n{r}", f"x{r}\t{r}1")]
+    sentencepieces.verify(path, texts, sentencepieces.Codec(path).encode_batch(texts))
+
+
+def test_sentencepiece_checks_every_word(monkeypatch):
+    """A wrong encoder is found out by any text, whether or not the sample has it."""
+    path = sentencepieces.default_model()
+    monkeypatch.setattr(sentencepieces, "merges", lambda m, f=sentencepieces.merges: [x for x in f(m) if x != ("▁", "▁")])
+    wrong = sentencepieces.Codec(path)
+    wrong.encode_batch(["plain words", "a "])
+    with pytest.raises(ValueError, match="ids differ"):
+        wrong.encode_batch(["plain words", "a  b   c"])
+
+
 def test_sentencepiece_digests(odd, empty):
     rows = sentencepieces.encode_digests(odd, parity_share=1).collect()
     assert len(rows) == 15 and all(r.decoded_equal and r.parity_checked for r in rows)

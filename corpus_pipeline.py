@@ -35,8 +35,12 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that score at least one half."""
-    model = quality_gam.learn(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    """Keep documents that score at least one half.
+
+    The model is learned from the labelled documents of the whole table, as the
+    rules stage leaves next to no bad ones to learn from.
+    """
+    model = quality_gam.learn(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return quality_gam.score(_carried(docs), model).where("score >= 0.5").select("row.*")
 
 

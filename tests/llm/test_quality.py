@@ -78,6 +78,18 @@ def test_gam_held_out(spark, sf, docs):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
 
 
+def test_classifier_stage_drops_bad_among_good(spark, sf, docs):
+    """The stage's input has no labelled bad documents but those that may not be learned from."""
+    import corpus_pipeline
+
+    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    bad = [k for k, q in truth.items() if q == 0 and zlib.crc32(str(k).encode()) % 3 == 1]
+    good = [k for k, q in truth.items() if q == 1]
+    assert bad and good
+    kept = {r.doc_id for r in corpus_pipeline.classifier_stage(spark, docs.where(F.col("doc_id").isin(bad + good)), sf).collect()}
+    assert kept.isdisjoint(bad) and len(kept.intersection(good)) >= 0.95 * len(good)
+
+
 def test_gam_learns_an_interaction():
     rnd = np.random.default_rng(0)
     x = rnd.random((3000, 4))

@@ -1,6 +1,10 @@
 """Licence scans: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line. Its word 1-, 2- and 3-grams are sparse features of a
+A paragraph is a line, or, for a notice that is wrapped, a run of lines between
+two that are blank or have no letter or digit. Runs of up to ``MOST_LINES``
+lines and whole blocks are looked at; of runs of a family that overlap, the one
+that holds most of a template counts (ties: the shortest). ``n_paragraphs``
+counts lines. Its word 1-, 2- and 3-grams are sparse features of a
 multinomial logistic regression over licence families and an ``unknown``
 class. The model is trained here, on templates of each family, altered and
 cut, and on paragraphs that only sound like licences. Its temperature and the
@@ -114,6 +118,8 @@ SLOTS = 1 << 14
 MIN_SEEN = 5
 #: Share of a template's word 3-grams that must be found.
 MIN_SIMILARITY = 0.6
+#: Most lines of a run; longer ones count if they are a whole block.
+MOST_LINES = 16
 TOKEN = r"[\p{L}\p{N}]+(?:\.[0-9]+)*"
 _TOKEN = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 
@@ -254,16 +260,59 @@ def _numbers(values: list, kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
+def ngrams(t: Column, n: int) -> Column:
+    join = lambda i: F.array_join(F.slice(t, i, n), " ")
+    return F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), join)).otherwise(F.array().cast("array<string>"))
+
+
+def holds(text: Column, least: float) -> Column:
+    """Whether a text has so large a share of the 3-grams of any template."""
+    templates = [grams(tokens(t), (3,)) for ts in TEMPLATES.values() for t in ts]
+    array = lambda x: F.array(*map(F.lit, x))
+    known = array(sorted({g for x in templates for g in x}))
+    share = lambda x, g: F.size(F.array_intersect(x, g)) / F.size(x)
+    some = lambda g: F.exists(F.array(*map(array, templates)), lambda x: share(x, g) >= least)
+    return let(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0), lambda t: let(F.array_intersect(known, ngrams(t, 3)), lambda g: (F.size(g) > 0) & some(g)))
+
+
+def runs(lines: Column, block: Column, pattern: str) -> Column:
+    """struct(block, first, last, text) of the lines of a block that have an anchor, and of the runs of lines that may hold a notice.
+
+    A block without ``MIN_SIMILARITY`` of a template has no such run. A line with
+    all of a template is a notice by itself and no part of a run.
+    """
+    made = lambda first, last, text: F.struct(block.alias("block"), first.cast("int").alias("first"), last.cast("int").alias("last"), text.alias("text"))
+    single = F.filter(F.transform(lines, lambda x, i: made(i, i, x)), lambda c: c["text"].rlike(pattern))
+    joined = lambda part: F.when(~F.exists(part, lambda x: x.isNull()), F.array_join(part, "\n"))
+    none = F.array().cast("array<struct<block:int,first:int,last:int,text:string>>")
+
+    def several(part: Column) -> Column:
+        n = F.size(part)
+        some = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.transform(F.sequence(F.lit(2), F.least(F.lit(MOST_LINES), n - i)), lambda k: made(i, i + k - 1, joined(F.slice(part, i + 1, k)))))
+        whole = F.when(n > MOST_LINES, F.array(made(F.lit(0), n - 1, joined(part)))).otherwise(none)
+        return F.filter(F.concat(F.flatten(some), whole), lambda c: c["text"].rlike(pattern) & holds(c["text"], MIN_SIMILARITY))
+
+    part = F.transform(lines, lambda x: F.when(~(x.rlike(pattern) & holds(x, 1.0)), x))
+    wrapped = let(part, lambda p: F.when(holds(F.array_join(p, "\n"), MIN_SIMILARITY), several(p)).otherwise(none))
+    return F.concat(single, F.when((F.size(lines) > 1) & F.exists(lines, lambda x: x.rlike(pattern)), wrapped).otherwise(none))
+
+
+def distinct_runs(found: Column) -> Column:
+    """Of a family's runs that overlap the best, and none that lies within a better one of another family."""
+    worth = lambda x: F.struct(-x["similarity"], x["last"] - x["first"], x["first"])
+    meets = lambda x, y: (x["block"] == y["block"]) & (x["first"] <= y["last"]) & (y["first"] <= x["last"])
+    within = lambda x, y: (x["block"] == y["block"]) & (y["first"] <= x["first"]) & (x["last"] <= y["last"])
+    best = lambda f: F.filter(f, lambda x: ~F.exists(f, lambda y: (x["family"] == y["family"]) & meets(x, y) & (worth(y) < worth(x))))
+    free = lambda f: F.filter(f, lambda x: ~F.exists(f, lambda y: (x["family"] != y["family"]) & within(x, y) & (y["similarity"] > x["similarity"])))
+    return let(let(found, best), free)
+
+
 def scan_paragraph(paragraph: Column, model: Model) -> Column:
     """struct(family, probability, similarity) of one paragraph."""
     k = len(LABELS)
     rows, flat = _numbers(model.rows.tolist(), "int"), _numbers(model.weights.ravel().tolist(), "double")
     templates = [(label, grams(tokens(t), (3,))) for label in LABELS[1:] for t in TEMPLATES[label]]
 
-    def ngrams(t: Column, n: int) -> Column:
-        join = lambda i: F.array_join(F.slice(t, i, n), " ")
-        return F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), join)).otherwise(F.array().cast("array<string>"))
-
     def of_tokens(t: Column) -> Column:
         every = F.array_distinct(F.concat(*(ngrams(t, n) for n in (1, 2, 3))))
         add = lambda acc, g: F.zip_with(acc, F.slice(flat, F.get(rows, (F.crc32(g) % SLOTS).cast("int")) * k + 1, k), lambda a, b: a + b)
@@ -296,9 +345,11 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     pattern = r"(?i)\b(?:" + "|".join(map(re.escape, sorted(anchors()))) + r")\b"
     lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
-    likely = F.filter(lines, lambda x: x.rlike(pattern))
-    found = F.filter(F.transform(likely, lambda p: scan_paragraph(p, model)), lambda s: (s["probability"] >= model.threshold) & (s["similarity"] >= MIN_SIMILARITY))
-    none = F.array().cast("array<struct<family:string,probability:double,similarity:double>>")
+    blocks = F.transform(F.split(text, r"\n[^\p{L}\p{N}]*\n"), lambda x: F.filter(F.split(x, "\n"), lambda y: F.trim(y) != ""))
+    likely = F.flatten(F.transform(blocks, lambda x, i: runs(x, i, pattern)))
+    scanned = F.transform(likely, lambda c: let(scan_paragraph(c["text"], model), lambda s: F.struct(*[s[n].alias(n) for n in ("family", "probability", "similarity")], *[c[n].alias(n) for n in ("block", "first", "last")])))
+    found = distinct_runs(F.filter(scanned, lambda s: (s["probability"] >= model.threshold) & (s["similarity"] >= MIN_SIMILARITY)))
+    none = F.array().cast("array<struct<family:string,probability:double,similarity:double,block:int,first:int,last:int>>")
     rows = docs.select("doc_id", F.size(lines).cast("long").alias("n_paragraphs"), F.when(text.rlike(pattern), found).otherwise(none).alias("found"))
     best = F.array_max(F.transform("found", lambda s: F.struct(s["probability"].alias("p"), s["similarity"].alias("s"), s["family"].alias("f"))))
     rows = rows.withColumn("best", best)

@@ -141,3 +141,42 @@ def test_scan(spark, docs, odd, empty):
     two = spark.createDataFrame([(1, "Released under the MIT License.\nx\nLicensed under CC BY-NC 4.0.")], "doc_id long, text string")
     assert licenses.scan(two).first()["families"] == "cc-by-nc,mit"
     assert [r.n_license_paragraphs for r in licenses.scan(odd).collect()] == [0] * 15 and licenses.scan(empty).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 A. Nyone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+BSD = """Copyright 2020 A. Nyone
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+"""
+APACHE = """/*
+ * Copyright 2020 A. Nyone
+ *
+ * Licensed under the Apache License,
+ * Version 2.0 (the "License"); you may
+ * not use this file except in compliance
+ * with the License.
+ */
+"""
+
+
+def test_scan_finds_wrapped_notices(spark):
+    prose = "\n".join(f"Line {i} of the story goes on without an end in sight." for i in range(40))
+    cases = [(MIT, "mit", 1), (BSD, "bsd", 1), (APACHE, "apache-2.0", 1), (MIT.replace("\n", "\r\n"), "mit", 1), (MIT + "\n" + BSD, "bsd,mit", 2)]
+    cases += [(f"{prose}\n{MIT.split(chr(10) * 2)[2]}\n{prose}", "mit", 1), (f"Licensed under CC BY 4.0.\n{BSD.split(chr(10) * 2)[1]}\n{prose}", "bsd,cc-by", 2)]
+    cases += [("This work is licensed under a Creative Commons Attribution-\nShareAlike 4.0 International License.", "cc-by-sa", 1), (prose, "", 0), ("\n" * 50_000 + BSD, "bsd", 1)]
+    rows = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (r.families, r.n_license_paragraphs) for r in licenses.scan(rows).collect()}
+    assert got == {i: (f, n) for i, (_, f, n) in enumerate(cases)}

@@ -26,27 +26,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is what ``spark.checkpoint.dir`` names; where that is unset (a local
-    session, as in tests) a temporary folder is made and set.
+    It is what ``spark.checkpoint.dir`` names. Where that is unset, a local
+    session (as in tests) gets a temporary folder of its own; on a cluster, no
+    folder of one machine would do, so it is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="lumenfolio-")
         atexit.register(shutil.rmtree, found, True)
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet in the shared folder and read it again.
+class Scratch:
+    """Tables of one run in the shared folder, which cut the lineage.
 
-    Compressed and columnar, so it is smaller than a checkpoint of rows, and
-    it survives the loss of any executor.
+    Compressed and columnar, so they are smaller than a checkpoint of rows, and
+    they survive the loss of any executor.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lumenfolio/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` as Parquet and read it again."""
+        path = f"{shared_dir(self.spark)}/lumenfolio/{uuid.uuid4().hex}"
+        self.paths.append(path)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        """Write the result, which stays, and delete all other tables of the run."""
+        done, spent = self.keep(df), self.paths[:-1]
+        self.paths = self.paths[-1:]
+        for path in spent:
+            remove(self.spark, path)
+        return done
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder by the file system that its path names."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def text_bytes(docs: DataFrame) -> int:
@@ -54,6 +78,18 @@ def text_bytes(docs: DataFrame) -> int:
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
 
+def free_names(taken: list[str], names: tuple[str, ...]) -> dict[str, str]:
+    """A name for each of an operator's columns: its own, or with underscores behind it where an input column has it."""
+    used, out = {t.lower() for t in taken}, {}
+    for name in names:
+        free = name
+        while free.lower() in used:
+            free += "_"
+        used.add(free.lower())
+        out[name] = free
+    return out
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for documents whose labels must not be learned from; a null id is held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(True))

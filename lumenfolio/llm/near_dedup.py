@@ -22,19 +22,23 @@ rounds first ask that a sketch of ``BITS`` one-bit minwise hashes agrees to six
 standard deviations below the threshold, and confirm every link on full sets.
 
 Sets are never broadcast; texts are shuffled only where candidates exceed a
-checked number. Trees, levels and the sketch bound the recall; confirmed links
-are exact.
+checked number. Members of a large node, pairs of one pivot and copies of one
+set are never dealt to one task (see ``join_sized``; in ``confirm`` the pivot's
+set is sent to several). Trees, levels and the sketch bound the recall;
+confirmed links are exact.
 
 Defined cases: words are lower-cased A-Z only; a text with fewer words than a
 shingle is one shingle; null and word-less texts have an empty set and no
 links; a row with a null doc_id takes no part in links, its component_id is
-null and it is kept; rows that repeat a doc_id are judged by their own texts;
-an empty table gives no rows; other columns are ignored.
+null and it is kept (``judge`` links it as any other if asked to); rows that
+repeat a doc_id are judged by their own texts; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +47,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import texthash as H
-from .common import materialise, table, tidy, tidy_cogroup, tidy_group
-from .components import components
+from .common import Scratch, table, tidy, tidy_cogroup, tidy_group
+from .components import LARGE_KEY, SENT_KEYS, components, join_sized
 from .rounds import ANSWER, answer_table, answers, cuts, grouped, log2, unique_counts
 
 SHINGLE = 5
 TREES, LEVELS, NODE = 10, 3, 64
-#: Up to so many candidate ids (8 bytes each) are broadcast to find their texts; beyond it, the ids and texts are shuffled.
+#: Up to so many keys of candidate rows (8 bytes each) are broadcast to find their texts; beyond it, keys and texts are shuffled.
 BROADCAST_IDS = 500_000
 #: One-bit minwise hashes of every class, and of the members of large nodes.
 BITS, FINE_BITS = 256, 2048
@@ -62,18 +66,17 @@ PIECE = 4096
 def shingle_sets(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[np.ndarray, int]]:
     """The sorted distinct shingle hashes of each text, in blocks of texts."""
     buf, offsets = H.flat(column)
-    starts, ends, doc = H.word_spans(buf, offsets)
-    hashes = H.word_hashes(buf, starts, ends, lower=True)
-    first = np.searchsorted(doc, np.arange(len(offsets)))
-    every = H.windows(hashes, k)
-    for i in range(len(offsets) - 1):
-        a, b = first[i], first[i + 1]
-        if b - a >= k:
-            yield np.unique(every[a : b - k + 1])
-        elif b > a:
-            yield H.windows(hashes[a:b], b - a) + H.U(b - a)
+    split = H.words_of(buf.tobytes(), offsets, lower=True)
+    hashes = H.word_hashes(list(chain.from_iterable(split)))
+    every, a = H.windows(hashes, k), 0
+    for n in map(len, split):
+        if n >= k:
+            yield np.unique(every[a : a + n - k + 1])
+        elif n:
+            yield H.windows(hashes[a : a + n], n) + H.U(n)
         else:
             yield np.zeros(0, H.U)
+        a += n
 
 
 def signature(shingles: np.ndarray) -> bytes:
@@ -110,13 +113,24 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = minwise(s) if len(s) else (None, None)
                 found.append(own[0])
                 bits.append(own[1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "class", "tokens", "bits"])
+            made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in (0, 2, 3)), *made], SKETCH_NAMES)
+
+
+SKETCH = "doc_id long, rid long, rid2 long, n_shingles long, class binary, tokens array<long>, bits array<long>"
+SKETCH_NAMES = [x.split()[0] for x in SKETCH.split(", ")]
+
+
+def row_keys(docs: DataFrame) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row's doc_id and text; only rows that agree in both columns share them."""
+    doc_id = F.col("doc_id").cast("long")
+    return F.xxhash64(doc_id, "text").alias("rid"), F.xxhash64(F.lit(1), doc_id, "text").alias("rid2")
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class (128 bits of the set), tokens and bits (null for an empty set)."""
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return chosen.mapInArrow(tidy(_sketch_rows), "doc_id long, n_shingles long, class binary, tokens array<long>, bits array<long>")
+    """doc_id, rid, rid2 (see ``row_keys``), n_shingles, class (128 bits of the set), tokens and bits (null for an empty set)."""
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row_keys(docs))
+    return chosen.mapInArrow(tidy(_sketch_rows), SKETCH)
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,22 +163,22 @@ def alike_sizes(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def branch(classes: DataFrame) -> DataFrame:
+def branch(classes: DataFrame, scratch: Scratch) -> DataFrame:
     """node, class, pivot, leaf, hot: members of all nodes that have company.
 
     ``leaf`` marks the nodes whose members are compared exhaustively, ``hot``
     those that are still large at the last level.
     Sizes and pivots come from pre-aggregated counts; a node's members are
-    never gathered.
+    neither gathered nor, if they are many, dealt to one task.
     """
     trees = F.sequence(F.lit(0), F.lit(TREES - 1))
     rows = classes.select("class", "tokens", F.explode(trees).alias("tree"))
     token = lambda level: F.get("tokens", F.col("tree") * LEVELS + level)
     rows = rows.select("class", "tree", *[token(i).alias(f"t{i}") for i in range(LEVELS)]).withColumn("node", F.xxhash64("tree", "t0"))
-    out = None
+    total, out = classes.count() * TREES, None
     for level in range(LEVELS):
-        sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("class").alias("pivot")).where("members > 1")
-        met = materialise(rows.join(sizes, "node"))
+        sizes = scratch.keep(rows.groupBy("node").agg(F.count("*").alias("members"), F.min("class").alias("pivot")).where("members > 1"))
+        met = scratch.keep(join_sized(rows, sizes, "node", total))
         last = level == LEVELS - 1
         large = F.col("members") > NODE
         part = met.select("node", "class", "pivot", (~large).alias("leaf"), (large & F.lit(last)).alias("hot"))
@@ -174,21 +188,30 @@ def branch(classes: DataFrame) -> DataFrame:
     return out
 
 
-def texts_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id, text: a document of each wanted class (and others that repeat its doc_id)."""
-    found = materialise(wanted.join(classes, "class").select("class", F.col("doc_id").alias("wanted_id")))
-    ids = found.select("wanted_id").distinct()
-    ids = F.broadcast(ids) if found.count() <= BROADCAST_IDS else ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, F.col("doc_id") == F.col("wanted_id"), "left_semi")
+def texts_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """text of a document of each wanted class."""
+    ids = scratch.keep(wanted.join(classes, "class").select("rid").distinct())
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.select(row_keys(docs)[0], "text").join(ids, "rid", "left_semi")
+
 
+def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) of classes, written already, whose full sets are similar enough.
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough."""
+    Pairs of an ``a`` that has many are dealt by (a, part), and its set is sent to each part.
+    """
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    sets = texts_of(ends, classes, docs).select("text").mapInArrow(tidy(_set_rows), "class binary, items array<long>")
+    sets = texts_of(ends, classes, docs, scratch).select("text").mapInArrow(tidy(_set_rows), "class binary, items array<long>")
     sets = sets.groupBy("class").agg(F.first("items").alias("items"))
-    left, right = sets.toDF("a", "of_a"), sets.toDF("b", "of_b")
-    met = pairs.select("a", "b").join(left, "a").join(right, "b")
+    left, right, keys = sets.toDF("a", "of_a"), sets.toDF("b", "of_b"), ["a"]
+    pairs, most = pairs.select("a", "b"), max(LARGE_KEY, pairs.count() // SENT_KEYS)
+    many = scratch.keep(pairs.groupBy("a").count().where(F.col("count") > most).select("a", F.ceil(F.col("count") / most).alias("parts")))
+    if many.limit(1).count():
+        one = F.coalesce("parts", F.lit(1))
+        left = left.join(F.broadcast(many), "a", "left").select("a", "of_a", F.explode(F.sequence(F.lit(0).cast("long"), one - 1)).alias("part"))
+        pairs = pairs.join(F.broadcast(many), "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), one).alias("part"))
+        keys = ["a", "part"]
+    met = pairs.join(left, keys).join(right, "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
     similar = 100 * common >= percent * (F.size("of_a") + F.size("of_b") - common)
     return met.where(similar).select("a", "b")
@@ -228,7 +251,7 @@ def _profile_rows(t: pa.Table, replies: pa.Table, percent: int) -> pa.Table:
     return pa.table([pa.array(names, pa.binary()), pa.array(centres, pa.float64()), *(pa.array(x, pa.list_(pa.int64())) for x in (prefixes, fine)), pa.array(shared, pa.int64())], ["class", "centre", "prefix", "fine", "shared"])
 
 
-def profiles(hot: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def profiles(hot: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """class, centre, prefix, fine, shared of the members of large nodes, by the frequencies of shingles among them all.
 
     ``centre`` is the mean log frequency. ``prefix`` has the rarest shingles,
@@ -238,24 +261,28 @@ def profiles(hot: DataFrame, classes: DataFrame, docs: DataFrame, percent: int)
     """
     items = int(hot.join(classes, "class").agg(F.sum("n")).first()[0] or 0)
     bits = log2(items / (1 << 18), 4)
-    texts = grouped(texts_of(hot, classes, docs), [F.col("doc_id")], 8 * items, 4 << 20).groupBy("g")
+    texts = grouped(texts_of(hot, classes, docs, scratch), [F.col("rid")], 8 * items, 4 << 20).groupBy("g")
     asked = texts.applyInArrow(tidy_group(lambda t: _ask_frequencies(t, bits)), "shard long, g long, keys binary, counts binary")
     found = asked.groupBy("shard").applyInArrow(tidy_group(_merge_frequencies), ANSWER)
     rows = texts.cogroup(found.groupBy("g")).applyInArrow(tidy_cogroup(lambda t, r: _profile_rows(t, r, percent)), "class binary, centre double, prefix array<long>, fine array<long>, shared long")
     return rows.join(hot, "class", "left_semi").dropDuplicates(["class"])
 
 
-def meet(x: DataFrame, key: str, percent: int, fine: bool = False) -> DataFrame:
+def meet(x: DataFrame, key: str, percent: int, scratch: Scratch, fine: bool = False) -> DataFrame:
     """Pairs (a, b) with equal ``key``, different roots, and alike sizes and sketches.
 
-    Two members of large nodes meet over their fine sketches only, and once:
-    at the smallest of the rare shingles that they share.
+    Under each key all members meet those outside its commonest root, so the
+    members of one large component never meet each other. Two members of large
+    nodes meet over their fine sketches only, and once: at the smallest of the
+    rare shingles that they share.
     """
-    spread = x.groupBy(key).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select(key)
-    x = materialise(x.join(spread, key))
-    y = x.toDF(*[f"{c}_b" for c in x.columns])
-    x = x.toDF(*[f"{c}_a" for c in x.columns])
-    apart = (F.col(f"{key}_a") == F.col(f"{key}_b")) & (F.col("root_a") < F.col("root_b")) & alike_sizes(F.col("n_a"), F.col("n_b"), percent)
+    held = x.groupBy(key, "root").agg(F.count("*").alias("held")).groupBy(key)
+    bulk = held.agg(F.max(F.struct("held", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1").select(key, F.col("most.root").alias("bulk"))
+    x = scratch.keep(x.join(bulk, key))
+    y = x.where(F.col("root") != F.col("bulk"))
+    x, y = (side.toDF(*[f"{c}_{end}" for c in side.columns]) for side, end in ((x, "a"), (y, "b")))
+    apart = (F.col(f"{key}_a") == F.col(f"{key}_b")) & (F.col("root_a") != F.col("root_b")) & ((F.col("root_a") == F.col("bulk_a")) | (F.col("root_a") < F.col("root_b")))
+    apart &= alike_sizes(F.col("n_a"), F.col("n_b"), percent)
     if fine:
         common = F.least("shared_a", "shared_b")
         apart &= ((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b"))) & enough(F.col("fine_a"), F.col("fine_b"), percent, FINE_BITS)
@@ -265,54 +292,76 @@ def meet(x: DataFrame, key: str, percent: int, fine: bool = False) -> DataFrame:
     return x.join(y, apart).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept; links are pairs of at least ``percent`` similarity."""
-    rows = materialise(sketch(docs))
-    usable = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = materialise(usable.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits")))
-    members = branch(classes.select("class", "tokens"))
+def _with_degrees(side: DataFrame, key: str, pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``side`` with ``members``, how many of the pairs hold its key."""
+    return scratch.keep(side.join(pairs.groupBy(key).agg(F.count("*").alias("members")), key))
+
+
+def judge(docs: DataFrame, percent: int = 80, null_ids: bool = False) -> DataFrame:
+    """Per row: doc_id, rid, rid2, n_shingles, component (16 bytes) and component_id; links are pairs of at least ``percent`` similarity.
+
+    ``component`` is null for rows that take no part in links, as those with a
+    null doc_id don't unless ``null_ids``; component_id is the smallest doc_id.
+    """
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.keep(sketch(docs))
+    takes_part = (F.col("n_shingles") > 0) & (F.col("doc_id").isNotNull() | F.lit(null_ids))
+    usable = rows.where(takes_part)
+    least = [F.min("doc_id").alias("doc_id"), F.min("rid").alias("rid"), F.count("*").alias("members")]
+    classes = scratch.keep(usable.groupBy("class").agg(*least, *[F.first(c).alias(n) for c, n in (("n_shingles", "n"), ("tokens", "tokens"), ("bits", "bits"))]))
+    members = branch(classes.select("class", "tokens"), scratch)
     size = classes.select("class", "n", "bits")
 
-    hot = materialise(members.where("hot").select("node", "class"))
+    hot = scratch.keep(members.where("hot").select("node", "class"))
     profile = None
     star = members.where("class <> pivot AND NOT hot").select(F.col("pivot").alias("a"), F.col("class").alias("b"), F.lit(False).alias("central"))
     if hot.limit(1).count():
-        profile = materialise(profiles(hot.select("class").distinct(), classes, docs, percent))
-        pivots = hot.join(profile, "class").groupBy("node").agg(F.max(F.struct("centre", "class")).alias("x")).select("node", F.col("x.class").alias("a"))
-        star = star.union(hot.join(pivots, "node").where("a <> class").select("a", F.col("class").alias("b"), F.lit(True)))
-    star = star.groupBy("a", "b").agg(F.max("central").alias("central"))
-    met = star.join(size.toDF("a", "n_a", "bits_a"), "a").join(size.toDF("b", "n_b", "bits_b"), "b")
+        profile = scratch.keep(profiles(hot.select("class").distinct(), classes, docs, percent, scratch))
+        centre = hot.join(profile.select("class", "centre"), "class").groupBy("node").agg(F.max(F.struct("centre", "class")).alias("x"), F.count("*").alias("members"))
+        pivots = scratch.keep(centre.select("node", F.col("x.class").alias("a"), "members"))
+        star = star.union(join_sized(hot, pivots, "node", hot.count()).where("a <> class").select("a", F.col("class").alias("b"), F.lit(True)))
+    star = scratch.keep(star.groupBy("a", "b").agg(F.max("central").alias("central")))
+    pivot_sizes = _with_degrees(size.toDF("a", "n_a", "bits_a"), "a", star, scratch)
+    met = join_sized(star, pivot_sizes, "a", star.count()).join(size.toDF("b", "n_b", "bits_b"), "b")
     alike = alike_sizes(F.col("n_a"), F.col("n_b"), percent) & enough(F.col("bits_a"), F.col("bits_b"), percent)
-    likely = materialise(met.where(alike).select("a", "b", "central", agreement(F.col("bits_a"), F.col("bits_b")).alias("agree")))
+    likely = scratch.keep(met.where(alike).select("a", "b", "central", agreement(F.col("bits_a"), F.col("bits_b")).alias("agree")))
     best = likely.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
-    first = materialise(best.union(likely.where("central").select("a", "b")).distinct())
-    links = materialise(confirm(first, classes, docs, percent))
-    roots = components(links)
+    first = scratch.keep(best.union(likely.where("central").select("a", "b")).distinct())
+    links = scratch.keep(confirm(first, classes, docs, percent, scratch))
+    roots = components(links, scratch=scratch)
 
     # what round 1 left in different components, though a node or a shared rare shingle brings it together
     is_hot = hot.select("class").distinct().withColumn("hot", F.lit(True))
     rooted = size.join(roots.toDF("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    rooted = materialise(rooted.join(is_hot, "class", "left").withColumn("hot", F.coalesce("hot", F.lit(False))))
-    second = meet(members.where("leaf").select("node", "class").distinct().join(rooted, "class"), "node", percent)
+    rooted = scratch.keep(rooted.join(is_hot, "class", "left").withColumn("hot", F.coalesce("hot", F.lit(False))))
+    second = meet(members.where("leaf").select("node", "class").distinct().join(rooted, "class"), "node", percent, scratch)
     if profile is not None:
         able = profile.join(rooted.drop("bits", "hot"), "class").where((100 + percent) * F.col("shared") * 100 >= percent * F.col("n") * (100 + percent))
         fine = able.select("class", "root", "n", "shared", "fine", "prefix", F.explode("prefix").alias("item"))
-        second = second.union(meet(fine, "item", percent, fine=True))
+        second = second.union(meet(fine, "item", percent, scratch, fine=True))
     ends = rooted.select("class", "root", "hot")
-    labelled = likely.join(ends.toDF("a", "root_a", "hot_a"), "a").join(ends.toDF("b", "root_b", "hot_b"), "b")
+    of_pivots = _with_degrees(ends.toDF("a", "root_a", "hot_a"), "a", likely, scratch)
+    labelled = join_sized(likely, of_pivots, "a", likely.count()).join(ends.toDF("b", "root_b", "hot_b"), "b")
     second = second.union(labelled.where((F.col("root_a") != F.col("root_b")) & ~(F.col("hot_a") & F.col("hot_b"))).select("a", "b"))
-    second = materialise(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = materialise(confirm(second, classes, docs, percent))
+    second = scratch.keep(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    more = scratch.keep(confirm(second, classes, docs, percent, scratch))
     if more.limit(1).count():
-        roots = components(links.union(more))
-
-    named = classes.select("class", "doc_id").join(roots.toDF("class", "root"), "class", "left").select("class", "doc_id", F.coalesce("root", "class").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_class = named.join(smallest, "root").select("class", "component_id")
-    joined = rows.drop("tokens", "bits").join(of_class, "class", "left")
-    alone = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    out = joined.select("doc_id", "n_shingles", alone.alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        roots = components(links.union(more), scratch=scratch)
+
+    named = classes.select("class", "doc_id", "members").join(roots.toDF("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))
+    named = scratch.keep(join_sized(named.withColumnRenamed("members", "copies"), scratch.keep(smallest), "root", classes.count()))
+    of_class = named.select("class", F.col("root").alias("component"), "component_id", F.col("copies").alias("members"))
+    own = rows.drop("tokens", "bits")
+    linked = join_sized(own.where(takes_part), of_class, "class", rows.count())
+    alone = own.where(~takes_part).withColumn("component", F.lit(None).cast("binary")).withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "rid", "rid2", "n_shingles", "component", "component_id"]
+    return scratch.finish(linked.select(*columns).union(alone.select(*columns)))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept; links are pairs of at least ``percent`` similarity."""
+    return judge(docs, percent).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

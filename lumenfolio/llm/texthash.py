@@ -1,20 +1,21 @@
-"""Vectorised 64-bit hashes of words, word windows and byte windows of many texts at once.
-
-Texts arrive as one byte buffer with offsets, as Arrow holds them. A hash of a
-span is a difference of prefix sums of ``table[byte] * base**position``,
-brought back to position 0 by the inverse power, and then mixed. Prefix sums
-run over blocks, so temporary arrays stay small for texts of any length.
+"""64-bit hashes of words, and vectorised ones of word windows and byte windows of many texts at once.
+
+Texts arrive as one byte buffer with offsets, as Arrow holds them. A word's
+hash is a digest of its bytes. A window's hash is a difference of prefix sums
+of ``value[i] * base**i``, brought back to position 0 by the inverse power, and
+then mixed. Prefix sums run over blocks, so temporary arrays stay small for
+texts of any length. A window's hash finds candidates; where windows decide,
+their operators compare bytes or 128-bit digests.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U = np.uint64
 BLOCK = 1 << 19
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Odd numbers that are 3 modulo 8, so that 1 - base keeps all but one bit.
 _BASES = (0x9E3779B97F4A7C13 | 3, 0xC2B2AE3D27D4EB4B, 0xD6E8FEB86659FD93)
 
@@ -30,8 +31,6 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 _TABLES = [mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15) + U(s)) for s in (11, 0x5851F42D4C957F2D)]
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -66,42 +65,20 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return buf, at - at[0]
 
 
-def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word, and the text that holds it; words never cross texts."""
-    n = len(buf)
-    if not n:
-        return (np.zeros(0, np.int64),) * 3
-    space = _SPACE[buf]
-    cut = np.zeros(n + 1, bool)
-    cut[offsets] = True
-    cut[n] = True
-    before = cut[:n].copy()
-    before[1:] |= space[:-1]
-    after = cut[1:].copy()
-    after[:-1] |= space[1:]
-    word = ~space
-    starts = np.flatnonzero(word & before)
-    ends = np.flatnonzero(word & after) + 1
-    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
-
-
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each word's bytes (A-Z as a-z if ``lower``)."""
-    table = _TABLES[seed][_LOWER] if lower else _TABLES[seed]
-    out, base, a = np.empty(len(starts), U), _BASES[seed], 0
-    while a < len(starts):
-        lo = starts[a]
-        b = max(a + 1, int(np.searchsorted(ends, lo + BLOCK, "right")))
-        hi = ends[b - 1]
-        up, down = powers(base, int(hi - lo) + 1)
-        sums = np.zeros(hi - lo + 1, U)
-        part = table[buf[lo:hi]]
-        part *= up[: hi - lo]
-        np.cumsum(part, out=sums[1:])
-        s, e = starts[a:b] - lo, ends[a:b] - lo
-        out[a:b] = (sums[e] - sums[s]) * down[s] + (e - s).astype(U) * U(0x9E3779B97F4A7C15)
-        a = b
-    return mix(out)
+def words_of(data: bytes, offsets: np.ndarray, lower: bool = False) -> list[list[bytes]]:
+    """The words of each text (A-Z as a-z if ``lower``); words never cross texts."""
+    data = data.lower() if lower else data  # of bytes, only A-Z changes
+    at = offsets.tolist()
+    return [data[a:b].split() for a, b in zip(at, at[1:])]
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """A 64-bit digest of each word's bytes.
+
+    A polynomial of the bytes would not do: modulo a power of two, a
+    Thue-Morse word of 1,024 letters and its complement agree for every base.
+    """
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), U, len(words))
 
 
 def windows(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:

@@ -185,11 +185,45 @@ def test_run_index():
 
 def test_hashes_don_t_depend_on_place():
     words = ["alpha", "Beta", "a", "é" * 9, "x" * 3000]
+    alone = texthash.word_hashes([w.encode() for w in words])
     for lead in ("", "some text before "):
         text = lead + " ".join(words)
         buf, off = texthash.flat(pa.array([None, text, ""]))
-        s, e, doc = texthash.word_spans(buf, off)
-        h = texthash.word_hashes(buf, s, e)[-len(words) :]
-        assert set(doc.tolist()) == {1} and (h == np.concatenate([texthash.word_hashes(*[x for x in (np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())]))]) for w in words])).all()
-        low = texthash.word_hashes(buf, s, e, lower=True)[-len(words) :]
-        assert low[0] == h[0] and low[1] != h[1]
+        split = texthash.words_of(buf.tobytes(), off)
+        assert list(map(len, split)) == [0, len(text.split()), 0]
+        assert (texthash.word_hashes(split[1])[-len(words) :] == alone).all()
+        low = texthash.word_hashes(texthash.words_of(buf.tobytes(), off, lower=True)[1])[-len(words) :]
+        assert low[0] == alone[0] and low[1] != alone[1] and low[3] == alone[3]
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(n))
+
+
+def test_words_that_any_polynomial_confuses(spark):
+    """Words of 1,024 letters whose polynomial hashes modulo 2**64 are equal for every base are still two words."""
+    same = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{same} {thue_morse(2048)}"), (2, f"{same} {thue_morse(2048, 'b', 'a')}"), (3, f"{thue_morse(2048)} b c d"), (4, f"{thue_morse(2048, 'b', 'a')} b c d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in window_dedup.cut_repeats(df).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 0}
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df, 100).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_large_stars_and_nodes_are_spread(spark, monkeypatch):
+    """With a tiny bound on what counts as large, all joins take their spread form and lose nothing."""
+    from lumenfolio.llm import components as c
+
+    for module in (c, near_dedup):
+        monkeypatch.setattr(module, "LARGE_KEY", 3)
+    rnd = random.Random(9)
+    rows = []
+    for i in range(240):
+        w = [f"g{i % 3}w{j}" for j in range(80)]
+        for _ in range(rnd.randint(0, 3)):
+            w[rnd.randrange(80)] = f"x{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    rows += [(300 + i, rows[0][1]) for i in range(30)]
+    roots = linked({i: shingles(t) for i, t in rows}, 85)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 85).collect()
+    assert {r.doc_id: r.component_id for r in got} == roots

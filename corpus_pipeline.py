@@ -7,8 +7,9 @@ before kept, written as Parquet and read again in between.
 Defined cases: a stage keeps a document's columns as they came, but for
 ``text`` and ``n_chars`` where bytes were cut out; extra columns, also such as
 have names that the operators use, go along untouched; an empty table stays
-empty. Rows with a null doc_id are never near-duplicates of others; of rows
-that repeat a kept doc_id one stays.
+empty. Near-dedup tells rows apart by doc_id and text, so rows that repeat a
+doc_id, or have none, are judged each by their own text; of rows that agree in
+both, any one may be the one that stays.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenfolio.llm import near_dedup, packing, quality_gam, quality_rules, suffix_dedup
-from lumenfolio.llm.common import materialise, table
+from lumenfolio.llm.common import Scratch, remove, table
+from lumenfolio.llm.components import join_sized
 
 #: Similarity in percent at which two documents are near-duplicates.
 NEAR_PERCENT = 80
@@ -45,25 +47,34 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates, the one with the smallest id."""
-    judged = materialise(near_dedup.near_duplicates(docs.select("doc_id", "text"), NEAR_PERCENT))
-    kept = judged.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().select(F.col("doc_id").alias("kept_id"), "count")
-    rows = _carried(docs)
-    out = rows.join(kept, F.col("doc_id") == F.col("kept_id"))
-    if judged.where("kept AND doc_id IS NOT NULL").count() > kept.count():  # some doc_id is repeated
-        once = out.where("count > 1").groupBy("kept_id").agg(F.min_by("row", F.struct(F.col("text").isNull(), "text")).alias("row"))
-        out = out.where("count = 1").select("row").union(once.select("row"))
-    return out.select("row").union(rows.where("doc_id IS NULL").select("row")).select("row.*")
+    """Keep one document of each group of near-duplicates: the one with the smallest id, null ids last, then the smallest hash of id and text."""
+    judged = near_dedup.judge(docs.select("doc_id", "text"), NEAR_PERCENT, null_ids=True).where("component IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid", "rid2")).alias("first")
+    winners = judged.groupBy("component").agg(first, F.count("*").alias("members")).where("members > 1")
+    scratch = Scratch(spark)
+    sized = scratch.keep(winners.select("component", F.col("first.rid").alias("own"), F.col("first.rid2").alias("own2"), "members"))
+    grouped = join_sized(judged, sized, "component", judged.count())
+    wins = (F.col("rid") == F.col("own")) & (F.col("rid2") == F.col("own2"))
+    # rows of groups, by their keys: those that go, and those of which one stays
+    keys = grouped.groupBy("rid", "rid2").agg(F.max(wins).alias("wins"), F.count("*").alias("copies"))
+    keys = scratch.keep(keys.where("NOT wins OR copies > 1"))
+    rows = docs.select(*near_dedup.row_keys(docs), F.struct("*").alias("row"))
+    out = rows.join(keys, ["rid", "rid2"], "left_anti").select("row")
+    if keys.where("wins").limit(1).count():
+        out = out.union(rows.join(keys.where("wins"), ["rid", "rid2"], "left_semi").groupBy("rid", "rid2").agg(F.first("row").alias("row")).select("row"))
+    return out.select("row.*")
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut bytes that a 100-byte match with earlier text covers."""
-    cut = suffix_dedup.cut_matches(_carried(docs), carry=True)
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    rows = docs.select("doc_id", "text", F.struct(*others, F.col("text").isNull().alias("__null")).alias("row"))
+    cut = suffix_dedup.cut_matches(rows, carry=True)
     row, changed = F.col("row"), F.col("n_removed") > 0
-    own = {"text": F.when(changed, F.col("kept_text")).otherwise(row["text"])}
+    own = {"text": F.when(~row["__null"], F.col("kept_text"))}
     if "n_chars" in docs.columns:
         own["n_chars"] = F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(row["n_chars"])
-    return cut.select(*[own.get(c, row[c]).alias(c) for c in docs.columns])
+    return cut.select(*[(own[c] if c in own else row[c]).alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -84,8 +95,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+    """All stages over documents; each is written to the shared folder and read again, and the one before it deleted."""
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        docs = scratch.keep(stage(spark, docs, sf_dir))
+        if i:
+            remove(spark, scratch.paths[i - 1])
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -12,12 +12,18 @@ whole conversations stream over sorted rows and hold one turn at a time, so a
 conversation of any length fits.
 
 Escaping is a bijection: ``<~~|`` with n tildes becomes one with n + 1, so no
-``<|`` is left in a text, and taking one tilde away restores it.
+``<|`` is left in a text, and taking one tilde away restores it. Neighbouring
+text parts are escaped as the one text that they make. In a role, a backslash
+and a line end are also written with a backslash.
+
+Placeholders are numbered through a conversation. That takes each turn's place
+in it, so typed parts cost a window over the conversation; plain texts don't.
 
 Defined cases: a null text is empty; a null role is written as an empty role;
 turns are ordered by (turn, role, text), nulls first; rows with a null conv_id
-form one conversation with a null id; repeated rows are repeated turns; an
-empty table leaves conversation -1 alone; other columns are ignored.
+form one conversation with a null id; repeated rows are repeated turns; empty
+text parts leave no trace in what is read back; an empty table leaves
+conversation -1 alone; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +34,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, tidy
@@ -50,6 +56,14 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"<\1|", text)
 
 
+def escape_role(role: str) -> str:
+    return escape(role).replace("\\", "\\\\").replace("\n", "\\n")
+
+
+def unescape_role(role: str) -> str:
+    return unescape(re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], role))
+
+
 @dataclass
 class Flat:
     """What the visitor made of a turn's parts."""
@@ -63,7 +77,14 @@ class PartVisitor:
     """Visits typed parts, given as dicts with ``type``; an unknown type is an error."""
 
     def __init__(self, first: int = 0):
-        self.flat, self.next = Flat(), first
+        self.flat, self.next, self.open = Flat(), first, []
+
+    def close(self) -> Flat:
+        """Escape the text parts since the last attachment, together: a control string may be split between them."""
+        if self.open:
+            self.flat.pieces.append(escape("".join(self.open)))
+            self.open = []
+        return self.flat
 
     def visit(self, part: dict) -> None:
         getattr(self, f"visit_{part.get('type')}", self.unknown)(part)
@@ -72,10 +93,11 @@ class PartVisitor:
         raise ValueError(f"no such part type: {part.get('type')!r}")
 
     def visit_text(self, part: dict) -> None:
-        self.flat.pieces.append(escape(part.get("text") or ""))
+        self.open.append(part.get("text") or "")
 
     def _attach(self, part: dict) -> None:
         kind = part["type"]
+        self.close()
         self.flat.pieces.append(f"<|{kind}:{self.next}|>")
         self.flat.attachments.append((kind, part.get("ref") or ""))
         self.flat.expanded_tokens += int(part["tokens"] if part.get("tokens") is not None else EXPANDED[kind])
@@ -89,9 +111,10 @@ def format_turn(role: str | None, parts: list[dict], first: int = 0) -> tuple[st
     visitor = PartVisitor(first)
     for part in parts:
         visitor.visit(part)
-    head = f"{START}{escape((role or '').replace(chr(10), ' '))}\n"
-    body = "".join(visitor.flat.pieces)
-    return f"{head}{body}{END}\n", len(head), len(head) + len(body), visitor.flat
+    flat = visitor.close()
+    head = f"{START}{escape_role(role or '')}\n"
+    body = "".join(flat.pieces)
+    return f"{head}{body}{END}\n", len(head), len(head) + len(body), flat
 
 
 def parse(formatted: str) -> list[tuple[str, list[dict]]]:
@@ -106,7 +129,7 @@ def parse(formatted: str) -> list[tuple[str, list[dict]]]:
             at = m.end()
         if at < len(body) or not parts:
             parts.append({"type": "text", "text": unescape(body[at:])})
-        out.append((unescape(role), parts))
+        out.append((unescape_role(role), parts))
     return out
 
 
@@ -118,7 +141,8 @@ def format_turns(turns: DataFrame) -> DataFrame:
 
     ``parts`` is array<struct<type, text, ref, tokens>>; a plain ``text`` column
     counts as one text part. loss_start and loss_end (0, 0 for no loss) bound
-    what an assistant wrote, within the turn's string.
+    what an assistant wrote, within the turn's string. Placeholders of a
+    conversation are numbered in the order of (turn, role, parts).
     """
     typed = "parts" in turns.columns
     schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("formatted", pa.string()), ("loss_start", pa.int64()), ("loss_end", pa.int64()), ("attachments", pa.list_(pa.struct([("kind", pa.string()), ("ref", pa.string())]))), ("expanded_tokens", pa.int64())])
@@ -128,12 +152,16 @@ def format_turns(turns: DataFrame) -> DataFrame:
             rows = []
             for r in batch.to_pylist():
                 parts = (r["content"] or []) if typed else [{"type": "text", "text": r["content"]}]
-                whole, start, end, flat = format_turn(r["role"], parts)
+                whole, start, end, flat = format_turn(r["role"], parts, r["first"])
                 start, end = (start, end) if r["role"] == "assistant" else (0, 0)
                 rows.append({"conv_id": r["conv_id"], "turn": r["turn"], "role": r["role"], "formatted": whole, "loss_start": start, "loss_end": end, "attachments": [{"kind": k, "ref": v} for k, v in flat.attachments], "expanded_tokens": flat.expanded_tokens})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    chosen = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", F.col("parts" if typed else "text").alias("content"))
+    chosen = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", F.col("parts" if typed else "text").alias("content"), F.lit(0).cast("long").alias("first"))
+    if typed:
+        before = Window.partitionBy("conv_id").orderBy("turn", "role", F.to_json("content")).rowsBetween(Window.unboundedPreceding, -1)
+        attached = F.size(F.filter(F.coalesce("content", F.array()), lambda x: x["type"] != "text"))
+        chosen = chosen.withColumn("first", F.coalesce(F.sum(attached).over(before), F.lit(0).cast("long")))
     return chosen.mapInArrow(tidy(run), FORMATTED)
 
 
@@ -182,7 +210,9 @@ def digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def conversation_digests(formatted: DataFrame) -> DataFrame:
     """One row per conversation; a sort in each partition lets the rows stream."""
     ordered = formatted.select("conv_id", "turn", "role", "formatted", "loss_start", "loss_end").repartition("conv_id")
-    return ordered.sortWithinPartitions("conv_id", "turn", "role", "formatted").mapInArrow(tidy(digest_rows), DIGEST)
+    body = F.expr(f"substring(formatted, locate('\\n', formatted) + 1, length(formatted) - locate('\\n', formatted) - {len(END) + 1})")
+    ordered = ordered.withColumn("__text", F.regexp_replace(body, r"<~(~*)\|", "<$1|"))
+    return ordered.sortWithinPartitions("conv_id", "turn", "role", "__text").drop("__text").mapInArrow(tidy(digest_rows), DIGEST)
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,8 +222,9 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_turns(turns.unionByName(extra)))
 
 
-#: DuckDB SQL for op9_chat. Lengths of a formatted turn: 26 code points of
-#: template, role and text, and one more for each ``<~*|`` in the text.
+#: DuckDB SQL for op9_chat. Lengths of a formatted turn: 24 code points of
+#: template, role and text, and one more for each ``<~*|`` in them and for each
+#: backslash or line end in the role.
 OP9_SQL = r"""
 WITH turns AS (
   SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -202,6 +233,6 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  sum(12 + length(role) + 1 + length(text) + len(regexp_extract_all(text, '<~*\|')) + 10 + 1)::BIGINT AS formatted_chars
+  sum(12 + length(role) + len(regexp_extract_all(role, '<~*\||\\|\n')) + 1 + length(text) + len(regexp_extract_all(text, '<~*\|')) + 10 + 1)::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
 """

@@ -15,7 +15,9 @@ never read into learning, and labels, lang, source and doc_id are no features.
 Defined cases: a null text counts as empty and is scored; a null doc_id is
 held out; of several labels of a document the largest counts, null labels
 don't; with no labels, or one class of labels, every score is the smoothed
-base rate; repeated rows are scored once each; an empty table gives no rows.
+base rate; repeated rows are scored once each; an empty table gives no rows;
+other columns pass through ``score`` untouched, and if one has the name of the
+added column, the added one gets an underscore behind its name.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, table, tidy
+from .common import free_names, held_out, table, tidy
 from .sentencepieces import slices
 
 #: Most labelled documents that learning looks at.
@@ -190,6 +192,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Gam:
 
 def score(docs: DataFrame, model: Gam, name: str = "score") -> DataFrame:
     """``docs`` with one more column, the score of each whole text."""
+    name = free_names(docs.columns, (name,))[name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

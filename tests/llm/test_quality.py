@@ -1,5 +1,6 @@
 """Licences, quality rules and the quality classifier."""
 
+import random
 import re
 import zlib
 from collections import Counter
@@ -56,6 +57,51 @@ def test_llr_against_model(spark):
     assert [r.b for r in rows if r.text == "x x x y"][0].count(2 * quality_rules.BUCKETS) == 2
 
 
+def xx(text, seed=42):
+    """Spark's xxhash64 of strings: the hash of one is the next one's seed."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(text.encode(), seed)
+
+
+def model_buckets(text):
+    import regex
+
+    n = quality_rules.BUCKETS
+    t = regex.findall(r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_ \t\n\x0b\f\r]+", text)
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    return [signed(xx(x)) % n for x in t] + [2 * n if a == b else n + signed(xx(b, xx(a))) % n for a, b in zip(t, t[1:])]
+
+
+def test_buckets_against_model(spark, docs):
+    extra = spark.createDataFrame([("a_b \u0301e -- [x]^`{|}~ 1,2 ...!!?? @@ \u00a0 é\u2019s \u2028 z",), ("",), (None,)], "text string")
+    for r in docs.select("text").union(extra).select("text", quality_rules.buckets(F.col("text")).alias("b")).collect():
+        assert r.b == model_buckets(r.text or "")
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 5, 7, 8, 13])
+def test_repeat_words_of_any_width(spark, k):
+    rnd = random.Random(k)
+    texts = [" ".join(rnd.choice("abc") for _ in range(rnd.randint(0, 40))) for _ in range(60)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in df.select(quality_rules.repeat_words(quality_rules.words_of(F.col("text")), k)).collect()]
+    want = []
+    for t in texts:
+        w = t.split()
+        seen = Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+        want.append(len({j for i in range(len(w) - k + 1) if seen[tuple(w[i : i + k])] > 1 for j in range(i, i + k)}) if len(w) > k else 0)
+    assert got == want
+
+
+def test_added_names_give_way(spark, docs):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    taken = docs.select("doc_id", "text").withColumns({c: F.lit("mine") for c in (*quality_rules.ADDED, "score", "row", "__words")})
+    r = quality_rules.judge(taken, quality_rules.learn(docs, labels)).first()
+    assert all(r[c] == "mine" for c in (*quality_rules.ADDED, "score", "row", "__words")) and r["kept_"] == (not r["base_failed_"])
+    r = quality_gam.score(taken, quality_gam.learn(docs, labels)).select("score", "score_", "kept").first()
+    assert r["score"] == r["kept"] == "mine" and 0 <= r["score_"] <= 1
+
+
 def test_rules_without_trust_or_rows(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     v = quality_rules.learn(docs, none)

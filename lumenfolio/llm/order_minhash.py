@@ -8,14 +8,17 @@ if they share its items *in the same order*; the share of equal tuples is the
 likeness of two fingerprints.
 
 ``with_next`` pairs each document with the next one by falling doc_id, in one
-shuffle of the texts: ids are cut into ranges by approximate quantiles, each
+shuffle of the texts: rows are cut into ranges of even size, by a sample, each
 range also gets a copy of the document that follows its last one, and sorted
-rows stream through, two at a time.
+rows stream through, two at a time. An id, or no id, that more than a range of
+rows share is cut further, by a hash of the text. Ranges are one task each;
+beyond ``MOST_RANGES`` of them they grow, which costs a task time, not memory.
 
 Defined cases: a null text is empty; a text shorter than k code points is one
 k-mer, an empty text is the empty k-mer; with fewer items than ``keep`` all
-are used; null doc_ids come after all others, equal ones are ordered by text;
-a document alone in its table is its own next; an empty table gives no rows.
+are used; null doc_ids come after all others, equal ones are ordered by a hash
+of the text, then the text; a document alone in its table is its own next; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,17 +28,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, text_bytes, tidy
+from .common import table, tidy
 from .texthash import U, mix, windows
 
 K, SKETCHES, KEEP = 8, 24, 2
-#: Texts of one range of ids, and the most ranges (their edges are sent to every task).
-RANGE_BYTES, MOST_RANGES = 8 << 20, 4096
+#: Texts of one range, the most ranges (their edges are sent to every task), and rows that the sample has for each.
+RANGE_BYTES, MOST_RANGES, SAMPLES = 8 << 20, 1 << 16, 16
+#: What a row weighs besides its text, and the bits of the hash that orders texts of one id.
+ROW_BYTES, TIE_BITS = 64, 40
 #: Items hashed at once by all functions; longer texts are taken in pieces.
 PIECE = 1 << 14
 
@@ -106,28 +109,69 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, fingerprint string")
 
 
-def in_ranges(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """part, is_copy, doc_id, text: ranges of ids, each with a copy of what follows its last document.
+def at_most(edges: list[int], value: Column) -> Column:
+    """How many of the sorted ``edges`` are at most ``value``: a binary search by falling powers of two."""
+    known = F.split(F.lit(",".join(map(str, edges))), ",").cast("array<bigint>")  # folded to one literal
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(edges).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(known, low + step - 1) <= value, low + step).otherwise(low))
 
-    Null ids are the last range. The copies are one document per range.
+
+def cut(sample: list[tuple[int | None, int]]) -> tuple[list[int], dict[int | None, int]]:
+    """Edges between ids, and into how many ranges an id is cut, from sampled ids and how often each was drawn."""
+    edges, split, held = [], {}, 0
+    for key, drawn in sorted((x for x in sample if x[0] is not None)):
+        if drawn >= 2 * SAMPLES:
+            split[key] = drawn // SAMPLES
+        if held + drawn > SAMPLES and held or key in split:
+            edges.append(key)
+            held = 0
+        held += drawn
+    nulls = sum(drawn for key, drawn in sample if key is None)
+    return edges, split | ({None: nulls // SAMPLES} if nulls >= 2 * SAMPLES else {})
+
+
+def in_ranges(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, int]:
+    """part, is_copy, doc_id, tie, text: ranges in reading order, each with a copy of what follows its last document; and their number.
+
+    What reaches the driver is the number of bytes and a sample of at most
+    some ``SAMPLES`` ids for each range, drawn by a hash, weighted by size.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ranges = min(MOST_RANGES, -(-text_bytes(docs) // range_bytes) or 1)
-    edges = sorted(set(docs.stat.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges))) if ranges > 1 else []
-    if edges:
-        cut = Bucketizer(splits=[-float("inf"), *edges, float("inf")], inputCol="as_double", outputCol="at", handleInvalid="keep")
-        docs = cut.transform(docs.withColumn("as_double", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0))))
-    else:
-        docs = docs.withColumn("at", F.lit(0.0))
-    docs = docs.select(F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("at").cast("int")).alias("part"), "doc_id", "text")
-    heads = docs.groupBy("part").agg(F.max("doc_id").alias("head"), F.min(F.when(F.col("doc_id").isNull(), F.col("text"))).alias("text"))
-    falling = Window.orderBy(F.col("part").desc())  # a row per range, at most MOST_RANGES
-    whole = falling.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    goes = heads.select("head", "text", F.coalesce(F.lag("part").over(falling), F.last("part").over(whole)).alias("to"))
-    by_id = F.broadcast(goes.where("head IS NOT NULL").select("head", "to"))
-    found = docs.join(by_id, docs["doc_id"] == by_id["head"]).groupBy("to", "doc_id").agg(F.min("text").alias("text"))
-    copies = found.select(F.col("to").alias("part"), "doc_id", "text").union(goes.where("head IS NULL").select("to", F.lit(None).cast("long"), "text"))
-    return docs.withColumn("is_copy", F.lit(False)).unionByName(copies.withColumn("is_copy", F.lit(True)))
+    spark, text = docs.sparkSession, F.coalesce("text", F.lit(""))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.pmod(F.xxhash64(text), F.lit(1 << TIE_BITS)).alias("tie"))
+    weight = F.octet_length("text") + ROW_BYTES
+    total = int(docs.agg(F.sum(weight)).first()[0] or 0)
+    step = max(range_bytes, -(-total // MOST_RANGES))
+    edges, split = [], {}
+    if total > step:
+        draw = F.pmod(F.xxhash64(F.lit(7), "doc_id", "text"), F.lit(1 << TIE_BITS)) * step < weight.cast("double") * SAMPLES * (1 << TIE_BITS)
+        times = F.greatest(F.lit(1), weight * SAMPLES / step).cast("long")
+        edges, split = cut([tuple(r) for r in docs.where(draw).groupBy("doc_id").agg(F.sum(times)).collect()])
+    # ranges by falling id; an id that is cut is the least one of its range, null ids are the last
+    own = [split.get(e, 1) for e in [None, *edges]]  # of the range that starts at each edge; [0] is of null ids
+    first, at = [0] * (len(edges) + 1), 0
+    for i in range(len(edges), -1, -1):
+        first[i] = at
+        at += own[i] if i else 1
+    null_first, parts = at, at + own[0]
+    bucket = at_most(edges, F.col("doc_id")) if edges else F.lit(0)
+    starts = F.split(F.lit(",".join(map(str, first))), ",").cast("array<int>")
+    sub = F.lit(0)
+    if split:
+        hot = F.broadcast(spark.createDataFrame([(k, n) for k, n in split.items()], "hot_id long, hot_parts long"))
+        docs = docs.join(hot, F.col("doc_id").eqNullSafe(F.col("hot_id")) & F.col("hot_parts").isNotNull(), "left")
+        sub = F.coalesce(F.shiftright(F.col("tie") * F.col("hot_parts"), TIE_BITS), F.lit(0)).cast("int")
+    part = F.when(F.col("doc_id").isNull(), F.lit(null_first)).otherwise(F.get(starts, bucket)) + sub
+    docs = docs.select(part.alias("part"), "doc_id", "tie", "text")
+
+    order = F.struct(F.col("doc_id").isNull(), F.bitwise_not("doc_id").alias("falling"), "tie")
+    heads = docs.groupBy("part").agg(F.min(order).alias("head"))
+    rising = Window.orderBy("part")  # a row per range, at most 2 * MOST_RANGES
+    whole = rising.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    goes = heads.select(F.bitwise_not("head.falling").alias("head_id"), F.col("head.tie").alias("head_tie"), F.coalesce(F.lag("part").over(rising), F.last("part").over(whole)).alias("to"))
+    is_head = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("tie") == F.col("head_tie"))
+    copies = docs.join(F.broadcast(goes), is_head).groupBy("to", "doc_id", "tie").agg(F.min("text").alias("text"))
+    copies = copies.select(F.col("to").alias("part"), "doc_id", "tie", "text", F.lit(True).alias("is_copy"))
+    return docs.withColumn("is_copy", F.lit(False)).unionByName(copies), parts
 
 
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -154,8 +198,10 @@ def compare_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Each document against its edited text and against the next document."""
-    rows = in_ranges(docs, range_bytes).select("part", "is_copy", "doc_id", "text").repartition("part")
-    return rows.sortWithinPartitions("part", "is_copy", F.col("doc_id").desc_nulls_last(), "text").mapInArrow(tidy(compare_rows), RESULT)
+    rows, parts = in_ranges(docs, range_bytes)
+    dealt = rows.select("part", "is_copy", "doc_id", "text", "tie").repartitionById(parts, "part")
+    ordered = dealt.sortWithinPartitions("part", "is_copy", F.col("doc_id").desc_nulls_last(), "tie", "text").drop("tie")
+    return ordered.mapInArrow(tidy(compare_rows), RESULT)
 
 
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -259,6 +259,45 @@ def test_next_documents(docs, range_bytes):
         assert r.near_edited == order_minhash.likeness(order_minhash.fingerprint(t), order_minhash.fingerprint(other))
 
 
+def model_kmers(text, k):
+    """Each k-mer with the number of times that it came before, by counting."""
+    grams = [text[i : i + k] for i in range(len(text) - k + 1)] or [text]
+    return [(g, grams[:i].count(g)) for i, g in enumerate(grams)]
+
+
+def test_kmers_are_numbered_as_by_counting():
+    rnd = random.Random(4)
+    for n in (0, 3, 8, 40, 200):
+        text = "".join(rnd.choice("ab") for _ in range(n))
+        model = model_kmers(text, 4)
+        kmers, items = order_minhash.numbered_kmers(text, 4)
+        assert len(kmers) == len(items) == len(model)
+        names, numbered = {}, {}
+        for (g, i), h, item in zip(model, kmers.tolist(), items.tolist()):
+            assert names.setdefault(g, h) == h and numbered.setdefault((g, i), item) == item
+        assert len(set(names.values())) == len(names) and len(set(numbered.values())) == len(numbered)
+
+
+def test_ranges_split_a_hot_id_and_null_ids(spark):
+    """Pairs of neighbours are those of one global order, and neither a hot id nor null ids end in one task."""
+    rnd = random.Random(6)
+    ids = [None] * 300 + [50] * 300 + [-7, -(1 << 63), (1 << 63) - 1, (1 << 60) + 1, (1 << 60) + 2] + [rnd.randrange(100) for _ in range(300)]
+    rows = [(k, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(40)))) for k in ids] + [(3, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    parts, count = order_minhash.in_ranges(df, 2000)
+    held = parts.where("NOT is_copy").groupBy("part").agg(F.count("*").alias("n"), F.max(F.col("doc_id").isNull()).alias("none"), F.max(F.col("doc_id").eqNullSafe(50)).alias("hot")).collect()
+    assert max(r.n for r in held) < 120 and max(r.part for r in held) < count
+    assert sum(r.none for r in held) > 3 and sum(r.hot for r in held) > 3
+    tie = {r.text: r.tie for r in parts.collect()}
+    order = sorted(((k, t or "") for k, t in rows), key=lambda x: (x[0] is None, -(x[0] or 0), tie[x[1]], x[1].encode()))
+    want = []
+    for (k, t), (_, other) in zip(order, order[1:] + order[:1]):
+        half = len(t) // 2
+        want.append((k, len(t), hashlib.sha256((t[: len(t) - half] + other[:half]).encode()).hexdigest()))
+    got = [(r.doc_id, r.n_chars, r.edited_sha256) for r in order_minhash.with_next(df, 2000).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("range_bytes", [1 << 30, 1 << 12])
 def test_next_of_odd_rows(spark, odd, empty, range_bytes):
     rows = order_minhash.with_next(odd, range_bytes).collect()

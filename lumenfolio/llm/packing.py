@@ -20,10 +20,14 @@ other columns of the input are ignored.
 
 from __future__ import annotations
 
+import os
+import re
+import unicodedata
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +35,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table, tidy
+from .sentencepieces import THREADS, slices
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 STEP_TOKENS = 16 * 2048
 #: Tokens and rows gathered before a block is packed.
 BLOCK_TOKENS, BLOCK_ROWS = 1 << 20, 4096
+#: Texts encoded at once.
+BATCH_ROWS = 256
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
 
@@ -46,55 +53,89 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letter that a byte-level vocabulary writes for each byte: printable
-    Latin-1 bytes stand for themselves, the others follow from U+0100 on."""
-    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+#: Distinct pre-tokens kept by a process; the cache starts anew beyond it.
+CACHE_WORDS = 800_000
+#: Code points below it, whose classes are fixed, are split here; texts with others are left to the library.
+LATIN_END = 0x250
+
+
+def _latin(test) -> str:
+    """The code points below LATIN_END that pass, as ranges of a character class."""
+    own = [c for c in range(LATIN_END) if test(chr(c))]
+    starts = [c for c in own if c - 1 not in set(own)]
+    ends = [c for c in own if c + 1 not in set(own)]
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(starts, ends, strict=True))
+
+
+def latin_splitter() -> re.Pattern:
+    """The library's byte-level split of texts, for code points below LATIN_END."""
+    letter, number = (_latin(lambda c, k=kind: unicodedata.category(c)[0] == k) for kind in "LN")
+    space = r"\t-\r \x85\xa0"
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
 
 
 class ByteLevelEncoder:
-    """Ids of a byte-level BPE file of the tokenizers library.
+    """Ids of a byte-level BPE file, by the tokenizers library.
 
-    The library defines the ids. A second BPE implementation, built from the
-    same file, is several times faster; it is used for texts in the Latin
-    range without special strings, after it has agreed with the library on the
-    first texts of the process, and never again after a disagreement.
+    Pre-tokens can't influence one another, so the library encodes each
+    distinct one once for a process, many at a time as lines of one text, and
+    a text's ids are those of its pre-tokens. The split is the library's too
+    for all code points that it is used for, which is checked when a process
+    starts; other texts, and those with special strings, the library encodes whole.
     """
 
-    PROBE = 24
+    LINE = "\n"
 
     def __init__(self, path: str):
-        import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        letters = _byte_letters()
-        special = {t.content for t in self.library.get_added_tokens_decoder().values()}
-        self.special = tuple(special)
-        ranks = {bytes(letters[c] for c in piece): i for piece, i in self.library.get_vocab().items() if piece not in special}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.fast = tiktoken.Encoding("byte_level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.probes = self.PROBE
-
-    def slow(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def __call__(self, text: str) -> np.ndarray:
-        if self.fast is None or not text or max(text) > "ɏ" or any(s in text for s in self.special):
-            return self.slow(text)
-        ids = np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), np.uint32)
-        if self.probes:
-            self.probes -= 1
-            if not np.array_equal(ids, known := self.slow(text)):
-                self.fast = None
-                return known
-        return ids
+        self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
+        self.split = latin_splitter().findall
+        self.cache: dict[str, bytes] = {}  # little-endian 32-bit ids
+        self.line_id = self.library.encode(self.LINE, add_special_tokens=False).ids
+        self.by_word = self.library.normalizer is None and len(self.line_id) == 1 and self.splits_alike()
+
+    def splits_alike(self) -> bool:
+        """Whether every code point below LATIN_END is split off from all kinds of neighbours as the library does it."""
+        tests = [f"{c}{c} {c}a{c}1{c}.{c}\n{c} '{c}  {c}s'll{c}" for c in map(chr, range(LATIN_END))]
+        return all([text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)] == self.split(text) for text in tests)
+
+    def alone(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def lines(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens that aren't white space, encoded as lines of one text."""
+        ids = np.array(self.library.encode_batch_fast([self.LINE.join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(ids == self.line_id[0])
+        if len(ends) != len(words) - 1:
+            return self.alone(words)
+        data, at = ids.tobytes(), (ends * 4).tolist()
+        return [data[a:b] for a, b in zip([0, *(x + 4 for x in at)], [*at, len(data)], strict=True)]
+
+    def learn(self, words: set[str]) -> None:
+        """Encode the pre-tokens that aren't known yet."""
+        if len(self.cache) > CACHE_WORDS:
+            self.cache.clear()
+        new = words.difference(self.cache)
+        blank = [w for w in new if w.isspace()]
+        solid = list(new.difference(blank))
+        self.cache.update(zip(blank, self.alone(blank), strict=True))
+        for a in range(0, len(solid), 2000):
+            part = solid[a : a + 2000]
+            self.cache.update(zip(part, self.lines(part), strict=True))
+
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        plain = [self.by_word and (t.isascii() or ord(max(t)) < LATIN_END) and not any(s in t for s in self.special) for t in texts]
+        split = [self.split(t) if p else [] for t, p in zip(texts, plain, strict=True)]
+        self.learn(set().union(*split))
+        others = iter(self.alone([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [np.frombuffer(b"".join(map(self.cache.__getitem__, words)) if p else next(others), "<u4") for words, p in zip(split, plain, strict=True)]
 
 
 @lru_cache(2)
 def encoder(path: str) -> ByteLevelEncoder:
+    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
     return ByteLevelEncoder(path)
 
 
@@ -141,7 +182,7 @@ def snake(costs: list[int], groups: int) -> list[int]:
 
 
 def pack_rows(batches: Iterator[pa.RecordBatch], encode, part: int, tiers: tuple[int, ...] = TIERS, end_id: int = END_ID, step_tokens: int = STEP_TOKENS) -> Iterator[pa.RecordBatch]:
-    """Pack the rows (doc_id, text) of one partition."""
+    """Pack the rows (doc_id, text) of one partition; ``encode`` gives the ids of a list of texts."""
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     types = [pa.int64()] * 7 + [pa.int32(), pa.int64()]
     longest, number, groups = tiers[-1], 0, 0
@@ -175,10 +216,10 @@ def pack_rows(batches: Iterator[pa.RecordBatch], encode, part: int, tiers: tuple
         columns = list(zip(*out, strict=True)) or [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    for batch in batches:
-        for key, text in zip(batch.column(0), batch.column(1), strict=True):
-            tokens = np.append(encode(text.as_py() or ""), np.uint32(end_id))
-            ids[rows], keys[rows] = tokens, key.as_py()
+    for batch in chain.from_iterable(slices(b, BATCH_ROWS) for b in batches):
+        for key, own in zip(batch.column(0).to_pylist(), encode([t or "" for t in batch.column(1).to_pylist()]), strict=True):
+            tokens = np.append(own, np.uint32(end_id))
+            ids[rows], keys[rows] = tokens, key
             whole = len(tokens) // longest * longest
             full += [(longest, [(longest, rows, s)]) for s in range(0, whole, longest)]
             if len(tokens) > whole:
@@ -195,7 +236,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, tiers: tuple[int, ...] =
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return pack_rows(batches, encoder(path), TaskContext.get().partitionId(), tiers, end_id, step_tokens)
+        return pack_rows(batches, encoder(path).encode_batch, TaskContext.get().partitionId(), tiers, end_id, step_tokens)
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), SCHEMA)
 

@@ -8,11 +8,11 @@ another character, words can't influence one another; then each distinct word
 is encoded once, in multithreaded batches, decoded once, and kept in a bounded
 cache.
 
-Every distinct word is also encoded by the sentencepiece library as it enters
-the cache; where words aren't independent, or text is changed before it is
-split, every text is. A share of each batch is besides encoded by the library
-and decoded as a whole. A difference is an error. Rows are independent: no
-shuffle, and lost tasks rerun.
+Every distinct word is also encoded by the sentencepiece library, and decoded,
+as it enters the cache; where words aren't independent, or text is changed
+before it is split, every whole text is. So parity is verified for all rows; a
+row whose ids differ says so in a column, and the job goes on. Rows are
+independent: no shuffle, and lost tasks rerun.
 
 Defined cases: a null text gives null ids and is treated as an empty text in
 ``op2_sentencepiece``; an empty text has no ids; texts of any length are
@@ -156,7 +156,9 @@ class Codec:
         self.by_word = m.escape and not any(MARK in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER))
         self.identity = not (m.charsmap or m.squeeze) and m.dummy_prefix and m.escape
         self.cache: dict[str, bytes] = {}  # little-endian 32-bit ids
+        #: cached words that decode to something else, and those whose ids differ from the sentencepiece library's
         self.wrong: set[str] = set()
+        self.differ: set[str] = set()
 
     def normalize(self, text: str) -> str:
         if self.identity:
@@ -177,41 +179,50 @@ class Codec:
         return out + ([MARK * run] if run else [])
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; words are split, encoded and checked once."""
+        return [ids for ids, _, _ in self.encode_checked(texts)]
+
+    def encode_checked(self, texts: list[str]) -> list[tuple[np.ndarray, bool, bool]]:
+        """Ids of each text, whether they are the sentencepiece library's, and whether they decode to the normalised text."""
         normal = [self.normalize(t) for t in texts]
         if not self.by_word:
             out = [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(normal, add_special_tokens=False)]
-            verify(self.path, texts, [i.tolist() for i in out])
-            return out
+            return list(zip(out, self.parity(texts, out), self.round_trips(texts, out), strict=True))
         split = [self.words(t) for t in normal]
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
             self.wrong.clear()
+            self.differ.clear()
         cache = self.cache
         missing = list(set(chain.from_iterable(split)).difference(cache))
         for a in range(0, len(missing), 20_000):
             part = missing[a : a + 20_000]
             ids = [e.ids for e in self.whole.encode_batch_fast(part, add_special_tokens=False)]
-            if self.identity:
-                self.verify_words(part, ids)
             cache.update(zip(part, (struct.pack(f"<{len(i)}I", *i) for i in ids), strict=True))
             self.wrong.update(w for w, back in zip(part, self.decode_batch(ids), strict=True) if back != plain_word(self, w))
+            if self.identity:
+                self.differ.update(self.differing(part, ids))
         out = [np.frombuffer(b"".join(map(cache.__getitem__, w)), "<u4") for w in split]
-        if not self.identity:
-            verify(self.path, texts, [i.tolist() for i in out])
-        return out
-
-    def verify_words(self, words: list[str], ids: list[list[int]]) -> None:
-        """Raise unless the sentencepiece library, which adds the first marker itself, gives each word's ids."""
-        if MARK in words:  # a last marker; as a text of its own it would be empty
-            at = words.index(MARK)
-            if ids[at] != [reference(self.path).piece_to_id(MARK)]:
-                raise ValueError("ids differ from the sentencepiece library's for a single marker")
-            words, ids = words[:at] + words[at + 1 :], ids[:at] + ids[at + 1 :]
-        verify(self.path, [w[1:] for w in words], ids)
-
-    def decodes(self, text: str) -> bool:
-        """Whether each word of a text encoded just now decodes to itself, so that the text does."""
-        return not self.wrong or self.wrong.isdisjoint(self.words(self.normalize(text)))
+        free = lambda bad, words: not bad or bad.isdisjoint(words)
+        same = [free(self.differ, w) for w in split] if self.identity else self.parity(texts, out)
+        return list(zip(out, same, (free(self.wrong, w) for w in split), strict=True))
+
+    def differing(self, words: list[str], ids: list[list[int]]) -> Iterator[str]:
+        """The words to which the sentencepiece library, which adds the first marker itself, gives other ids."""
+        known = reference(self.path).encode([w[1:] for w in words], num_threads=1)
+        for word, own, other in zip(words, ids, known, strict=True):
+            if word == MARK:  # a last marker; as a text of its own it would be empty
+                other = [reference(self.path).piece_to_id(MARK)]
+            if own != other:
+                yield word
+
+    def parity(self, texts: list[str], ids: list[np.ndarray]) -> list[bool]:
+        """Whether the sentencepiece library gives each whole text the same ids."""
+        return [own.tolist() == known for own, known in zip(ids, reference(self.path).encode(texts, num_threads=1), strict=True)]
+
+    def round_trips(self, texts: list[str], ids: list[np.ndarray]) -> list[bool]:
+        """Whether each text's ids decode to the normalised text."""
+        return [back == plain(self, text) for back, text in zip(self.decode_batch([i.tolist() for i in ids]), texts, strict=True)]
 
     def decode_batch(self, ids: list[list[int]]) -> list[str]:
         return self.whole.decode_batch(ids, skip_special_tokens=False)
@@ -229,29 +240,23 @@ def reference(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-def verify(path: str, texts: list[str], ids: list[np.ndarray] | list[list[int]]) -> None:
-    """Raise unless the sentencepiece library gives the same ids."""
-    for text, own, known in zip(texts, ids, reference(path).encode(texts, num_threads=1), strict=True):
-        if (own if isinstance(own, list) else own.tolist()) != known:
-            raise ValueError(f"ids differ from the sentencepiece library's for {text[:80]!r}")
-
-
 def slices(batch: pa.RecordBatch, most: int = 512) -> Iterator[pa.RecordBatch]:
     for a in range(0, batch.num_rows, most):
         yield batch.slice(a, most)
 
 
 def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
-    """doc_id, ids: the token ids of each text (null for a null text)."""
+    """doc_id, ids, parity_equal: the token ids of each text (null for a null text), and whether they are the sentencepiece library's."""
     path = model or default_model()
 
     def run(batches):
         for batch in chain.from_iterable(map(slices, batches)):
             texts = batch.column(1).to_pylist()
-            ids = codec(path).encode_batch([t or "" for t in texts])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if t is None else i.astype(np.int32) for t, i in zip(texts, ids, strict=True)], pa.list_(pa.int32()))], ["doc_id", "ids"])
+            found = codec(path).encode_checked([t or "" for t in texts])
+            ids = [None if t is None else i.astype(np.int32) for t, (i, _, _) in zip(texts, found, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([same for _, same, _ in found], pa.bool_())], ["doc_id", "ids", "parity_equal"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, ids array<int>")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, ids array<int>, parity_equal boolean")
 
 
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
@@ -267,35 +272,27 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, text string")
 
 
-RESULT = "doc_id long, n_tokens long, ids_crc32 long, n_unknown long, decoded_equal boolean, parity_checked boolean"
+RESULT = "doc_id long, n_tokens long, ids_crc32 long, n_unknown long, decoded_equal boolean, parity_equal boolean"
 
 
-def encode_digests(docs: DataFrame, model: str | None = None, parity_share: int = 32) -> DataFrame:
+def encode_digests(docs: DataFrame, model: str | None = None) -> DataFrame:
     """Encode and decode every whole text, and report per document.
 
     Columns: n_tokens; ids_crc32 (unsigned, of little-endian 32-bit ids);
-    n_unknown; decoded_equal (decoding gives the normalised text back; by
-    distinct words where these are independent); parity_checked (also encoded
-    whole by the sentencepiece library and decoded whole, and equal: one text in
-    ``parity_share`` by its CRC-32, and the first of every batch). The ids of
-    all other texts are checked by their distinct words, see above.
+    n_unknown; decoded_equal (decoding gives the normalised text back);
+    parity_equal (the ids are the sentencepiece library's). Both hold for all
+    rows, by their distinct words where these are independent.
     """
     path = model or default_model()
 
     def run(batches):
         for batch in chain.from_iterable(map(slices, batches)):
             c = codec(path)
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            ids = c.encode_batch(texts)
-            checked = [i == 0 or zlib.crc32(t.encode()) % parity_share == 0 for i, t in enumerate(texts)]
-            some = [i for i, x in enumerate(checked) if x]
-            verify(path, [texts[i] for i in some], [ids[i] for i in some])
-            whole = range(len(texts)) if not c.by_word else some
-            backs = dict(zip(whole, c.decode_batch([ids[i].tolist() for i in whole]), strict=True))
-            equal = [backs[i] == plain(c, t) if i in backs else c.decodes(t) for i, t in enumerate(texts)]
-            rows = [(len(i), zlib.crc32(i.astype("<u4").tobytes()), int((i == c.model.unk_id).sum()), e) for i, e in zip(ids, equal, strict=True)]
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(columns, [pa.int64()] * 3 + [pa.bool_()], strict=True)), pa.array(checked, pa.bool_())], [x.split()[0] for x in RESULT.split(", ")])
+            found = c.encode_checked([t or "" for t in batch.column(1).to_pylist()])
+            rows = [(len(i), zlib.crc32(i.astype("<u4", copy=False).tobytes()), int((i == c.model.unk_id).sum()), back, same) for i, same, back in found]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            types = [pa.int64()] * 3 + [pa.bool_()] * 2
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(columns, types, strict=True))], [x.split()[0] for x in RESULT.split(", ")])
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), RESULT)
 

@@ -47,11 +47,26 @@ def test_step_groups_are_even():
     assert [t for t, _ in made] == [1024] and sum(x[0] for x in rest) == 26
 
 
-def test_fast_ids_are_the_library_s():
+def ids_of(texts):
     e = packing.encoder(packing.default_tokenizer())
-    text = "".join(f"{chr(i)} a{chr(i)}b\n" for i in range(1, 0x250))
-    e.probes = 0
-    assert np.array_equal(e(text), e.slow(text)) and e("x <|endoftext|> y").tolist() == e.slow("x <|endoftext|> y").tolist()
+    want = [x.ids for x in e.library.encode_batch(texts, add_special_tokens=False)]
+    return [x.tolist() for x in e.encode_batch(texts)], want
+
+
+def test_ids_are_the_library_s():
+    e = packing.encoder(packing.default_tokenizer())
+    assert e.by_word and len(e.lines(["a b"[1:], " b", "c'"])) == 3
+    every = "".join(f"{chr(i)} a{chr(i)}b\n" for i in range(1, 0x260))
+    texts = [every, every[: every.index(chr(0x250))], "", "x <|endoftext|> y", "日本 語", "it's we'll 'twas  \t\n x\r\n", "\n", " \n a", "a\u0085b\u00a0c"]
+    got, want = ids_of(texts)
+    assert got == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("ab 's\n\t1.,'é\u00a0\u0085re"), st.characters(max_codepoint=0x251, exclude_categories=["Cs"])), max_size=40), max_size=4))
+def test_ids_of_any_text(texts):
+    got, want = ids_of(texts)
+    assert got == want
 
 
 ODD = ["", " ", "  a  b ", "日本語 テスト 😀", "a▁b", "▁▁ x", "x ", "\n\n a", "a\tb", "<s> </s>", "\x00", "<0x41>", "é" * 3000]
@@ -61,10 +76,10 @@ def test_sentencepiece_parity_and_round_trip(spark, docs):
     path = sentencepieces.default_model()
     c = sentencepieces.codec(path)
     texts = ODD + [r.text for r in docs.collect()]
-    ids = c.encode_batch(texts)
-    sentencepieces.verify(path, texts, ids)
+    found = c.encode_checked(texts)
+    ids = [i for i, _, _ in found]
+    assert all(c.parity(texts, ids)) and all(same and back for _, same, back in found)
     assert c.decode_batch([i.tolist() for i in ids]) == [sentencepieces.plain(c, t) for t in texts]
-    assert all(c.decodes(t) for t in texts)
     df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)] + [(None, None)], "doc_id long, text string")
     back = {r.doc_id: r.text for r in sentencepieces.decode(sentencepieces.encode(df)).collect()}
     assert back == {i: sentencepieces.plain(c, t) for i, t in enumerate(ODD)} | {None: None}
@@ -73,31 +88,34 @@ def test_sentencepiece_parity_and_round_trip(spark, docs):
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=30))
 def test_sentencepiece_parity_on_any_text(text):
-    path = sentencepieces.default_model()
-    sentencepieces.verify(path, [text], sentencepieces.codec(path).encode_batch([text]))
+    c = sentencepieces.codec(sentencepieces.default_model())
+    ((ids, same, back),) = c.encode_checked([text])
+    assert c.parity([text], [ids]) == c.round_trips([text], [ids]) == [True] == [same and back]
 
 
 def test_sentencepiece_runs_of_spaces():
     """Long runs, bare, inside and at either end; runs of typed markers count alike."""
-    path = sentencepieces.default_model()
+    c = sentencepieces.Codec(sentencepieces.default_model())
     runs = [x * n for n in range(1, 70) for x in (" ", "▁")]
     texts = [t for r in runs for t in (r, f"a{r}b", f"{r}word", f"word{r}", f"a{r}é😀{r}\n{r}", f"x{r}\t{r}1")]
-    sentencepieces.verify(path, texts, sentencepieces.Codec(path).encode_batch(texts))
+    assert all(c.parity(texts, c.encode_batch(texts))) and all(same for _, same, _ in c.encode_checked(texts))
 
 
 def test_sentencepiece_checks_every_word(monkeypatch):
-    """A wrong encoder is found out by any text, whether or not the sample has it."""
+    """A wrong encoder or decoder is found out by any text that it is wrong for, each time, and no other row is blamed."""
     path = sentencepieces.default_model()
     monkeypatch.setattr(sentencepieces, "merges", lambda m, f=sentencepieces.merges: [x for x in f(m) if x != ("▁", "▁")])
     wrong = sentencepieces.Codec(path)
-    wrong.encode_batch(["plain words", "a "])
-    with pytest.raises(ValueError, match="ids differ"):
-        wrong.encode_batch(["plain words", "a  b   c"])
+    assert [same for _, same, _ in wrong.encode_checked(["plain words", "a "])] == [True, True]
+    for _ in range(2):
+        assert [same for _, same, _ in wrong.encode_checked(["plain words", "a  b   c", "a b", "  b"])] == [True, False, True, False]
+    monkeypatch.setattr(sentencepieces.Codec, "decode_batch", lambda self, ids: ["?" if len(i) > 3 else self.whole.decode(i, skip_special_tokens=False) for i in ids])
+    assert [back for _, _, back in sentencepieces.Codec(path).encode_checked(["a b", "a " + "zq" * 9])] == [True, False]
 
 
 def test_sentencepiece_digests(odd, empty):
-    rows = sentencepieces.encode_digests(odd, parity_share=1).collect()
-    assert len(rows) == 15 and all(r.decoded_equal and r.parity_checked for r in rows)
+    rows = sentencepieces.encode_digests(odd).collect()
+    assert len(rows) == 15 and all(r.decoded_equal and r.parity_equal for r in rows)
     assert sentencepieces.encode_digests(empty).count() == 0
 
 
@@ -124,7 +142,7 @@ def test_unigram_model_from_protobuf(tmp_path):
     c = sentencepieces.Codec(str(tmp_path / "m.model"))
     assert (c.model.kind, c.model.byte_fallback, c.model.unk_id) == (sentencepieces.UNIGRAM, True, 0)
     (ids,) = c.encode_batch(["abc  é"])
-    sentencepieces.verify(c.path, ["abc  é"], [ids])
+    assert c.parity(["abc  é"], [ids]) == [True] == [c.encode_checked(["abc  é"])[0][1]]
     assert c.decode_batch([ids.tolist()]) == ["abc é"]
 
 

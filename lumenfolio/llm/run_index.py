@@ -1,12 +1,15 @@
 """A run-length index of a set of strings: run-compressed Burrows-Wheeler transform with sampled run ends.
 
 In the transform of a repetitive text equal letters stand in long runs. Only
-where a run begins is a suffix's position, its lexicographic predecessor and
-the length of their common prefix worked out. For all other positions they
-follow: one step on in the text, the predecessor moves one step on and the
-common prefix loses one letter. Streaming the text through these samples gives
-its matching statistics: for every position the best earlier-sorted match and
-its length.
+where a run begins are a suffix's position, the end of the run before it (its
+lexicographic predecessor) and the length of their common prefix kept. For all
+other positions they follow: one step on in the text, the predecessor moves
+one step on and the common prefix loses one letter. Streaming the text through
+these samples gives its matching statistics: for every position the best
+earlier-sorted match and its length.
+
+The suffixes are sorted once, when the index is built, and forgotten; the
+index keeps five numbers a run and answers from them.
 """
 
 from __future__ import annotations
@@ -16,106 +19,123 @@ import numpy as np
 U = np.uint64
 
 
+def sorted_suffixes(four: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """All suffixes in order, by doubling; ties up to a separator go by position.
+
+    ``four`` has the four letters at each position, ``left`` how many letters
+    there are up to the separator that follows.
+    """
+    n = len(left)
+    short = left < 4  # what follows a separator doesn't count
+    shift = U(16) * (U(3) - np.minimum(left, 3).astype(U))
+    key = np.where(short, four >> shift << shift, four)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | short[order[1:]]])
+    slot = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    rank = np.empty(n, np.int64)
+    rank[order] = slot
+    step = 4
+    open_ = _tied(order, slot)
+    while len(open_):
+        key = rank[open_] * n + rank[np.minimum(open_ + step, n - 1)]
+        by = np.argsort(key, kind="stable")
+        open_, key = open_[by], key[by]
+        old = rank[open_]
+        at = np.arange(len(open_))
+        group = np.maximum.accumulate(np.where(np.concatenate([[True], old[1:] != old[:-1]]), at, 0))
+        fresh = np.maximum.accumulate(np.where(np.concatenate([[True], key[1:] != key[:-1]]), at, 0))
+        slot = old + fresh - group
+        rank[open_] = slot
+        open_ = _tied(open_, slot)
+        step *= 2
+    suffixes = np.empty(n, np.int64)
+    suffixes[rank] = np.arange(n)
+    return suffixes
+
+
+def _tied(order: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """The suffixes that share their rank with a neighbour."""
+    same = slot[1:] == slot[:-1]
+    return order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+
+
+def common_prefixes(a: np.ndarray, b: np.ndarray, four: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Common prefix of suffixes, never past a separator; 0 where ``b`` is -1."""
+    out = np.zeros(len(a), np.int64)
+    limit = np.where(b >= 0, np.minimum(left[a], left[b]), 0)
+    live = np.flatnonzero(limit > 0)
+    done = 0
+    while len(live):
+        diff = four[a[live] + done] ^ four[b[live] + done]
+        same = (diff >> U(48) == 0).astype(np.int64)
+        for shift in (32, 16, 0):
+            same += (same == (48 - shift) // 16) & (diff >> U(shift) == 0)
+        done += 4
+        out[live] += same
+        live = live[(same == 4) & (limit[live] > done)]
+    return np.minimum(out, limit)
+
+
+def ranges(starts: np.ndarray, widths: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one range behind the other."""
+    return np.repeat(starts - (np.cumsum(widths) - widths), widths) + np.arange(widths.sum())
+
+
 class RunIndex:
-    """Index of strings, each closed by a separator of its own; positions count separators."""
+    """Index of strings, each closed by a separator of its own; positions count separators.
+
+    ``heads`` and ``run_lengths`` are the run-compressed transform. The samples,
+    in text order, are each run's first suffix, its predecessor (the last
+    suffix of the run before it) and their common prefix.
+    """
 
     def __init__(self, strings: list[bytes]):
         lengths = np.array([len(s) for s in strings], np.int64)
         self.starts = np.cumsum(lengths + 1) - lengths - 1
         ends = self.starts + lengths
-        n = int(ends[-1]) + 1 if len(strings) else 0
-        joined = np.frombuffer(b"\0".join([*strings, b""]), np.uint8)
-        self.letters = joined.astype(np.uint16) + np.uint16(1)  # 0 is for separators
-        self.letters[ends] = 0
-        #: letters up to the separator that follows
-        self.left = np.repeat(ends, lengths + 1) - np.arange(n)
-        self.suffixes, self.ranks = self._sort()
-        self._sample()
-
-    def _sort(self) -> tuple[np.ndarray, np.ndarray]:
-        """All suffixes in order, by doubling; ties up to a separator go by position."""
-        n = len(self.letters)
+        self.size = n = int(ends[-1]) + 1 if len(strings) else 0
+        letters = np.frombuffer(b"\0".join([*strings, b""]), np.uint8).astype(np.uint16) + np.uint16(1)  # 0 is for separators
         if not n:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        wide = np.concatenate([self.letters, np.zeros(3, np.uint16)]).astype(U)
-        self.four = (wide[:n] << U(48)) | (wide[1 : n + 1] << U(32)) | (wide[2 : n + 2] << U(16)) | wide[3 : n + 3]
-        short = self.left < 4  # what follows a separator doesn't count
-        key = np.where(short, self.four >> (U(16) * (U(3) - np.minimum(self.left, 3).astype(U))) << (U(16) * (U(3) - np.minimum(self.left, 3).astype(U))), self.four)
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new = np.concatenate([[True], (sorted_key[1:] != sorted_key[:-1]) | short[order[1:]]])
-        slot = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        rank = np.empty(n, np.int64)
-        rank[order] = slot
-        step = 4
-        open_ = self._open(order, slot)
-        while len(open_):
-            key = rank[open_] * n + rank[np.minimum(open_ + step, n - 1)]
-            by = np.argsort(key, kind="stable")
-            open_, key = open_[by], key[by]
-            old = rank[open_]
-            at = np.arange(len(open_))
-            group = np.maximum.accumulate(np.where(np.concatenate([[True], old[1:] != old[:-1]]), at, 0))
-            fresh = np.maximum.accumulate(np.where(np.concatenate([[True], key[1:] != key[:-1]]), at, 0))
-            slot = old + fresh - group
-            rank[open_] = slot
-            open_ = self._open(open_, slot)
-            step *= 2
-        suffixes = np.empty(n, np.int64)
-        suffixes[rank] = np.arange(n)
-        return suffixes, rank
-
-    @staticmethod
-    def _open(order: np.ndarray, slot: np.ndarray) -> np.ndarray:
-        """The suffixes that share their rank with a neighbour."""
-        same = slot[1:] == slot[:-1]
-        return order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
-
-    def _sample(self) -> None:
-        """Runs of the transform; at each run's first row: position, predecessor, common prefix."""
-        n = len(self.letters)
-        before = self.letters[self.suffixes - 1] if n else self.letters
-        first = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (before[1:] == 0)])) if n else np.zeros(0, np.int64)
-        #: the run-compressed transform
+            self.heads = self.run_lengths = self.sample_at = self.sample_ahead = self.sample_prefix = np.zeros(0, np.int64)
+            return
+        letters[ends] = 0
+        left = np.repeat(ends, lengths + 1) - np.arange(n)
+        wide = np.concatenate([letters, np.zeros(3, np.uint16)]).astype(U)
+        four = (wide[:n] << U(48)) | (wide[1 : n + 1] << U(32)) | (wide[2 : n + 2] << U(16)) | wide[3 : n + 3]
+        suffixes = sorted_suffixes(four, left)
+        before = letters[suffixes - 1]
+        first = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (before[1:] == 0)]))
         self.heads, self.run_lengths = before[first], np.diff(np.append(first, n))
-        at = self.suffixes[first]
-        ahead = np.where(first > 0, self.suffixes[first - 1], -1) if n else at
+        at, ahead = suffixes[first], np.where(first > 0, suffixes[first - 1], -1)
         by = np.argsort(at)
         self.sample_at, self.sample_ahead = at[by], ahead[by]
-        self.sample_prefix = self._common(self.sample_at, self.sample_ahead)
-
-    def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Common prefix of suffixes, never past a separator; 0 where ``b`` is -1."""
-        out = np.zeros(len(a), np.int64)
-        limit = np.where(b >= 0, np.minimum(self.left[a], self.left[b]), 0)
-        live = np.flatnonzero(limit > 0)
-        done = 0
-        while len(live):
-            diff = self.four[a[live] + done] ^ self.four[b[live] + done]
-            same = (diff >> U(48) == 0).astype(np.int64)
-            for shift in (32, 16, 0):
-                same += (same == (48 - shift) // 16) & (diff >> U(shift) == 0)
-            done += 4
-            out[live] += same
-            live = live[(same == 4) & (limit[live] > done)]
-        return np.minimum(out, limit)
-
-    def matching_statistics(self) -> tuple[np.ndarray, np.ndarray]:
-        """For each position, in text order: the predecessor's position and the match's length."""
-        n = len(self.letters)
-        spans = np.diff(np.append(self.sample_at, n))
-        on = np.arange(n) - np.repeat(self.sample_at, spans)
-        return np.repeat(self.sample_ahead, spans) + on, np.repeat(self.sample_prefix, spans) - on
+        self.sample_prefix = common_prefixes(self.sample_at, self.sample_ahead, four, left)
+
+    def matching_statistics(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(at, span, ahead, prefix) by sample: for d < span, the best earlier-sorted match of position at + d is at ahead + d, of prefix - d letters."""
+        return self.sample_at, np.diff(np.append(self.sample_at, self.size)), self.sample_ahead, self.sample_prefix
 
     def repeats(self, length: int) -> np.ndarray:
-        """True where ``length`` letters start that also start at a smaller position."""
-        out = np.zeros(len(self.letters), bool)
-        if not len(out):
-            return out
-        _, match = self.matching_statistics()
-        by_order = match[self.suffixes]
-        first = np.flatnonzero(np.concatenate([[True], by_order[1:] < length]))
-        earliest = np.minimum.reduceat(self.suffixes, first)
-        out[self.suffixes] = self.suffixes != np.repeat(earliest, np.diff(np.append(first, len(out))))
-        out[self.left < length] = False
+        """True where ``length`` letters start that also start at a smaller position.
+
+        Positions with a match that long are linked to their predecessors;
+        following the links leads all places of one string to the same end.
+        """
+        out = np.zeros(self.size, bool)
+        at, span, ahead, prefix = self.matching_statistics()
+        width = np.minimum(span, prefix - length + 1)
+        long = np.flatnonzero(width > 0)
+        matched, before = ranges(at[long], width[long]), ranges(ahead[long], width[long])
+        place = np.union1d(matched, before)  # of all strings that have a match, in text order
+        link = np.arange(len(place))
+        link[np.searchsorted(place, matched)] = np.searchsorted(place, before)
+        while True:
+            further = link[link]
+            if np.array_equal(further, link):
+                break
+            link = further
+        least = np.empty(len(place), np.int64)
+        least[link[::-1]] = np.arange(len(place))[::-1]  # of several places with one end the first in the text is written last
+        out[place[least[link] != np.arange(len(place))]] = True
         return out

@@ -8,19 +8,23 @@ meet in the shard of its anchor, and each shard's answer is exact.
 Round 1 counts anchors, and windows whose anchor occurs once are settled.
 Round 2 sends the others to their shards as fragments, the runs of
 consecutive windows with one anchor; a group sends each distinct fragment
-once. A shard builds the run-length index of its distinct fragments, in
-document order, streams their matching statistics, and answers which windows
-start earlier elsewhere. Round 3 removes the bytes that such windows cover.
+once, and a shard merges equal ones, so a passage costs it one fragment
+however many documents hold it. The shard builds the run-length index of what
+is left, in document order, streams the matching statistics, and answers which
+windows start earlier elsewhere. Round 3 removes the bytes that such windows
+cover.
 
 An anchor of more than ``HOT`` occurrences (a passage that very many documents
 share has one such anchor near each edge) is split: its windows go to shards
 one by one, by their own hash. So no shard grows with a group of copies.
 
 Defined cases: a null text is empty; a text under 100 bytes loses nothing; a
-null doc_id comes after all others; rows that repeat a doc_id are laid one
-after the other, by text; an empty table gives no rows; other columns are
-ignored. Kept bytes that no longer form UTF-8 at a cut are dropped from
-``kept_text``, not from the digests.
+null doc_id comes after all others; rows that repeat a doc_id, or have none,
+are laid one after the other, by a hash of the text (the group that it falls
+in) and then by text; an empty table gives no rows; other columns are ignored.
+Kept bytes that no longer form UTF-8 at a cut are dropped from ``kept_text``,
+not from the digests. A text of any length is taken whole by one task, at
+about 60 bytes of memory per byte of text.
 """
 
 from __future__ import annotations
@@ -35,11 +39,12 @@ from pyspark.sql import types as T
 
 from . import texthash as H
 from .common import table, text_bytes, tidy_cogroup, tidy_group
-from .rounds import ANSWER, answer_table, answers, codes, cuts, grouped, log2, unique_counts
+from .rounds import ANSWER, answer_table, answers, codes, cuts, group_size, grouped, log2, unique_counts
 from .run_index import RunIndex
 
 LENGTH, GRAM = 100, 32
-GROUP_BYTES = 2 << 20
+#: Least and most text of a group.
+GROUP_BYTES, MOST_GROUP_BYTES = 2 << 20, 8 << 20
 #: Windows of one fragment at most, and occurrences beyond which an anchor is split.
 FRAGMENT, HOT = 1024, 4096
 ANCHOR_SHARD_BITS, SHARD_BYTES = 18, 4 << 20
@@ -133,7 +138,7 @@ class Group:
         return begin[order], size[order], shard[order].astype(np.int64)
 
     def places(self, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(document key, start within what documents of that key hold) of byte positions."""
+        """(document key, start within what this group's documents of that key hold) of byte positions."""
         doc = np.searchsorted(self.offsets, begin, "right") - 1
         ids = np.array([LAST_ID if x is None else x for x in self.table["doc_id"].to_pylist()], np.int64)
         first = np.concatenate([[True], ids[1:] != ids[:-1]])
@@ -203,10 +208,11 @@ def fragment_part(t: pa.Table, replies: pa.Table, sizes: Sizes) -> pa.Table:
 
 def merge_fragments(t: pa.Table) -> pa.Table:
     """Index one shard's distinct fragments in document order, and answer per window."""
-    best: dict[bytes, tuple[int, int]] = {}
+    best: dict[bytes, tuple[int, int, int]] = {}
     asked = []
     for g, data, size, key, start in zip(*(t[c].to_pylist() for c in ("g", "bytes", "sizes", "keys", "starts")), strict=True):
-        places = list(zip(np.frombuffer(key, np.int64).tolist(), np.frombuffer(start, np.int64).tolist(), strict=True))
+        # documents that share a key are in order of their groups
+        places = [(k, g, s) for k, s in zip(np.frombuffer(key, np.int64).tolist(), np.frombuffer(start, np.int64).tolist(), strict=True)]
         at, own = 0, []
         for w, place in zip(np.frombuffer(size, np.uint16).tolist(), places, strict=True):
             f = data[at : (at := at + w + LENGTH - 1)]
@@ -265,7 +271,7 @@ def cut_rows(t: pa.Table, replies: pa.Table, sizes: Sizes, digest: bool) -> pa.T
     return base
 
 
-def cut_matches(docs: DataFrame, digest: bool = False, group_bytes: int = GROUP_BYTES, hot: int = HOT, carry: bool = False) -> DataFrame:
+def cut_matches(docs: DataFrame, digest: bool = False, group_bytes: int | None = None, hot: int = HOT, carry: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the kept bytes: as kept_text, or as their SHA-256 if ``digest``.
 
     With ``carry`` the column ``row`` of ``docs`` (anything) goes along.
@@ -273,7 +279,7 @@ def cut_matches(docs: DataFrame, digest: bool = False, group_bytes: int = GROUP_
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *["row"] * carry)
     total = text_bytes(docs)
     sizes = Sizes(total, hot)
-    texts = grouped(docs, [F.col("doc_id")], total, group_bytes).groupBy("g")
+    texts = grouped(docs, [F.col("doc_id"), F.col("text")], total, group_bytes or group_size(total, GROUP_BYTES, MOST_GROUP_BYTES)).groupBy("g")
 
     parts = texts.applyInArrow(tidy_group(lambda t: anchor_part(t, sizes)), "shard long, g long, keys binary, counts binary")
     anchors = parts.groupBy("shard").applyInArrow(tidy_group(lambda t: merge_anchors(t, sizes)), ANSWER)

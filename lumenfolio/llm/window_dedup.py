@@ -32,10 +32,11 @@ from pyspark.sql import functions as F
 
 from . import texthash as H
 from .common import table, text_bytes, tidy_cogroup, tidy_group
-from .rounds import ANSWER, answer_table, codes, cuts, grouped, log2, member, pack_sorted, unique_counts, unpack_sorted
+from .rounds import ANSWER, answer_table, codes, cuts, group_size, grouped, log2, member, pack_sorted, unique_counts, unpack_sorted
 
 WINDOW = 35
-GROUP_BYTES = 3 << 20
+#: Least and most text of a group.
+GROUP_BYTES, MOST_GROUP_BYTES = 3 << 20, 12 << 20
 #: Bytes per word that the estimate of the number of windows assumes.
 WORD_BYTES = 5
 ROWS = 2
@@ -184,12 +185,12 @@ def cut_rows(t: pa.Table, replies: pa.Table, grid: Grid) -> pa.Table:
     return _columns(out, [pa.int64(), pa.int64(), pa.int64(), pa.binary()], ["doc_id", "n_words", "n_removed", "kept_text"])
 
 
-def cut_repeats(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_BYTES, digest: bool = False) -> DataFrame:
+def cut_repeats(docs: DataFrame, window: int = WINDOW, group_bytes: int | None = None, digest: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and the kept words: as kept_text, or as their SHA-256 if ``digest``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = text_bytes(docs)
     grid = Grid(total, window)
-    texts = grouped(docs, [F.col("doc_id"), F.col("text")], total, group_bytes).groupBy("g")
+    texts = grouped(docs, [F.col("doc_id"), F.col("text")], total, group_bytes or group_size(total, GROUP_BYTES, MOST_GROUP_BYTES)).groupBy("g")
 
     parts = texts.applyInArrow(tidy_group(lambda t: sketch_part(t, grid)), "row int, shard long, g long, cells binary, twice binary")
     sketch = parts.groupBy("row", "shard").applyInArrow(tidy_group(lambda t: merge_sketch(t, grid)), ANSWER)

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lumenfolio.llm import near_dedup, suffix_dedup, texthash, window_dedup
 from lumenfolio.llm.components import components
@@ -136,8 +137,9 @@ def test_count_min_never_underestimates():
         assert {k for k in range(len(words) - 1) if pairs[words[k], words[k + 1]] > 1} <= found
 
 
-def expected_bytes(rows, length=100):
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, rows[i][1].encode()))
+def expected_bytes(rows, length=100, groups=None):
+    """``groups`` has, for texts of one id, the number that orders them before the text does."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, (groups or {}).get(rows[i], 0), rows[i][1].encode()))
     seen, out = set(), []
     for i in order:
         key, data = rows[i][0], rows[i][1].encode()
@@ -160,6 +162,22 @@ def test_suffix_dedup(request, which, hot):
     assert sorted(map(tuple, got), key=str) == expected_bytes(texts_of(df))
 
 
+@pytest.mark.parametrize("hot", [4096, 3])
+def test_suffix_dedup_spreads_one_id(spark, hot):
+    """Rows without an id, or of one id, aren't dealt to one group, and are still judged in one order."""
+    from lumenfolio.llm.rounds import grouped
+
+    rnd = random.Random(8)
+    share = ["".join(rnd.choice("abcd ") for _ in range(rnd.randint(90, 260))) for _ in range(12)]
+    rows = [(rnd.choice([None, None, 7, rnd.randrange(20)]), "".join(rnd.choice(share)[rnd.randrange(30) :] + rnd.choice(["", "x", "é"]) for _ in range(3))) for _ in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    total, size = sum(len(t.encode()) for _, t in rows), 4000
+    dealt = grouped(df, [F.col("doc_id"), F.col("text")], total, size).collect()
+    assert len({r.g for r in dealt if r.doc_id is None}) > 10 and len({r.g for r in dealt if r.doc_id == 7}) > 10
+    got = suffix_dedup.cut_matches(df, digest=True, group_bytes=size, hot=hot).collect()
+    assert sorted(map(tuple, got), key=str) == expected_bytes(rows, groups={(r.doc_id, r.text): r.g for r in dealt})
+
+
 def test_suffix_dedup_empty(empty):
     assert suffix_dedup.cut_matches(empty).count() == 0
 
@@ -172,15 +190,39 @@ def test_run_index():
         length, seen = rnd.randint(1, 9), set()
         index = RunIndex(strings)
         got = index.repeats(length)
-        assert index.run_lengths.sum() == len(index.letters) and len(index.heads) <= len(index.letters)
+        assert index.run_lengths.sum() == index.size and len(index.heads) <= index.size
         for at, s in zip(index.starts, strings):
             for i in range(len(s) + 1):
                 w = s[i : i + length]
                 assert got[at + i] == (len(w) == length and w in seen)
                 if len(w) == length:
                     seen.add(w)
-    repetitive = RunIndex([b"abcdefghij" * 300])
-    assert len(repetitive.heads) < 40
+    for times in (300, 30_000):  # what is kept grows with the runs, not with the text
+        repetitive = RunIndex([b"abcdefghij" * times])
+        assert len(repetitive.heads) < 40
+        assert sum(x.nbytes for x in vars(repetitive).values() if isinstance(x, np.ndarray)) < 40 * 40
+        assert repetitive.repeats(100).sum() == 10 * times - 99 - 10
+
+
+def test_run_index_transform_and_statistics():
+    rnd = random.Random(12)
+    for _ in range(60):
+        strings = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(0, 25))) for _ in range(rnd.randint(1, 5))]
+        text = [c for i, s in enumerate(strings) for c in (*((1, x) for x in s), (0, i))]
+        index = RunIndex(strings)
+        order = sorted(range(len(text)), key=lambda i: text[i:])
+        heads = [text[i - 1][1] + 1 if text[i - 1][0] else 0 for i in order]
+        assert np.repeat(index.heads, index.run_lengths).tolist() == heads
+        at, span, ahead, prefix = (x.tolist() for x in index.matching_statistics())
+        for a, w, b, p in zip(at, span, ahead, prefix):
+            for d in range(w):
+                i = a + d
+                k = order.index(i)
+                before = order[k - 1] if k else -1
+                same = 0
+                while before >= 0 and text[i + same] == text[before + same]:
+                    same += 1
+                assert max(0, p - d) == same and (not same or b + d == before)
 
 
 def test_hashes_don_t_depend_on_place():

@@ -272,16 +272,21 @@ def meet(x: DataFrame, key: str, percent: int, scratch: Scratch, fine: bool = Fa
     """Pairs (a, b) with equal ``key``, different roots, and alike sizes and sketches.
 
     Under each key all members meet those outside its commonest root, so the
-    members of one large component never meet each other. Two members of large
-    nodes meet over their fine sketches only, and once: at the smallest of the
-    rare shingles that they share.
+    members of one large component never meet each other. Members of a large
+    key are dealt by (key, part), and those outside are sent to each part. Two
+    members of large nodes meet over their fine sketches only, and once: at the
+    smallest of the rare shingles that they share.
     """
-    held = x.groupBy(key, "root").agg(F.count("*").alias("held")).groupBy(key)
-    bulk = held.agg(F.max(F.struct("held", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1").select(key, F.col("most.root").alias("bulk"))
-    x = scratch.keep(x.join(bulk, key))
-    y = x.where(F.col("root") != F.col("bulk"))
+    held = scratch.keep(x.groupBy(key, "root").agg(F.count("*").alias("held")))
+    total = held.agg(F.sum("held")).first()[0] or 0
+    found = held.groupBy(key).agg(F.max(F.struct("held", "root")).alias("most"), F.count("*").alias("roots"), F.sum("held").alias("members"))
+    bulk = scratch.keep(found.where("roots > 1").select(key, F.col("most.root").alias("bulk"), "members"))
+    x = join_sized(x, bulk, key, total).withColumn("parts", F.ceil(F.col("members") / max(LARGE_KEY, total // SENT_KEYS)))
+    x = scratch.keep(x.withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts"))))
+    y = x.where(F.col("root") != F.col("bulk")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     x, y = (side.toDF(*[f"{c}_{end}" for c in side.columns]) for side, end in ((x, "a"), (y, "b")))
-    apart = (F.col(f"{key}_a") == F.col(f"{key}_b")) & (F.col("root_a") != F.col("root_b")) & ((F.col("root_a") == F.col("bulk_a")) | (F.col("root_a") < F.col("root_b")))
+    apart = (F.col(f"{key}_a") == F.col(f"{key}_b")) & (F.col("part_a") == F.col("part_b"))
+    apart &= (F.col("root_a") != F.col("root_b")) & ((F.col("root_a") == F.col("bulk_a")) | (F.col("root_a") < F.col("root_b")))
     apart &= alike_sizes(F.col("n_a"), F.col("n_b"), percent)
     if fine:
         common = F.least("shared_a", "shared_b")

@@ -88,6 +88,22 @@ def is_trusted(kind: Column) -> Column:
     return kind.isin(*TRUSTED)
 
 
+def candidate_counts(text: Column) -> Column:
+    """struct(top, bottom, total) of the page-number candidates of a text."""
+    found = X.page_candidates(text)
+    of = lambda c, zone: F.size(F.filter(c, lambda s: s["zone"] == zone))
+    return X.let(found, lambda c: F.struct(of(c, "top").alias("top"), of(c, "bottom").alias("bottom"), F.size(c).alias("total")))
+
+
+def page_index(pages: DataFrame, trusted_only: bool = True) -> DataFrame:
+    """The pages that an index by (book, printed page) holds: trusted first, and only those that have both keys.
+
+    Joins on the two columns are the lookups; nothing is gathered by book.
+    """
+    rows = pages.where(is_trusted(F.col("page_type"))) if trusted_only else pages
+    return rows.where("book_id IS NOT NULL AND printed_page IS NOT NULL")
+
+
 def longest_profile(profiles: Column) -> Column:
     """Of struct(profile, text) the first with the longest text."""
     keyed = F.transform(profiles, lambda p, i: F.struct(F.length(p["text"]).alias("n"), (-i).alias("i"), p.alias("p")))
@@ -108,6 +124,10 @@ def logical_sections(pages: DataFrame, rules: DataFrame, key: str = "physical_bo
 
 
 def document_pages(docs: DataFrame) -> DataFrame:
-    """Documents as pages: a source is a book, the order of doc_id gives the scan numbers."""
-    order = Window.partitionBy("source").orderBy("doc_id")
-    return docs.select("doc_id", F.col("source").alias("book_id"), F.row_number().over(order).alias("scan_page"), "text")
+    """Documents as pages: a source is a book, the order of doc_id gives the scan numbers.
+
+    Only the numbers are ordered by source; the texts are joined to them.
+    """
+    order = Window.partitionBy("book_id").orderBy("doc_id")
+    numbers = docs.select("doc_id", F.col("source").alias("book_id")).withColumn("scan_page", F.row_number().over(order))
+    return docs.select("doc_id", "text").join(numbers, "doc_id").select("doc_id", "book_id", "scan_page", "text")

@@ -70,6 +70,77 @@ def schema_errors(rows: DataFrame, key: str, required: dict[str, str], enums: di
     return rows.select(key, F.explode(F.array_compact(F.array(*tests))).alias("error"))
 
 
+def statuses_first(status: Column, *names: str) -> list[Column]:
+    """Order keys that put rows of the named statuses first, in the order of the names."""
+    return [F.coalesce(status == n, F.lit(False)).desc() for n in names]
+
+
+def statuses_last(status: Column, *names: str) -> list[Column]:
+    """Order keys that put rows of the named statuses last, the first named one behind all others."""
+    return [F.coalesce(status == n, F.lit(False)).asc() for n in names]
+
+
+def fuzzy_candidate_order() -> list[Column]:
+    """O3: candidates of one passage."""
+    return [F.coalesce(c, F.lit(0)).desc() for c in ("ordered_run", "longest_line_run", "line_matches", "exact_lines", "score")]
+
+
+def fuzzy_row_order() -> list[Column]:
+    """O3: rows of the fuzzy report."""
+    return [*statuses_first(F.col("status"), "strong_fuzzy_review", "manual_collection_review"), F.col("line_matches").desc(), F.col("exact_lines").desc(), F.col("key").asc()]
+
+
+def ordered_candidate_order() -> list[Column]:
+    """Exact lines first."""
+    return [F.coalesce(c, F.lit(0)).desc() for c in ("exact_lines", "ordered_run", "line_matches", "score")]
+
+
+def ordered_row_order() -> list[Column]:
+    """Rows of the ordered report."""
+    return [*statuses_first(F.col("status"), "strong_ordered_review", "manual_ordered_review"), F.col("exact_lines").desc(), F.col("ordered_run").desc(), F.col("line_matches").desc(), F.col("key").asc()]
+
+
+def contents_candidate_order() -> list[Column]:
+    """Verified pages, then score, ratio and the smaller page."""
+    return [F.coalesce("verified", F.lit(False)).desc(), F.coalesce("score", F.lit(0)).desc(), F.coalesce("ratio", F.lit(0)).desc(), F.coalesce("page", F.lit(0)).asc()]
+
+
+def gap_order() -> list[Column]:
+    """Rows not yet reviewed, those with a candidate, then the better evidence."""
+    weak = F.col("bucket").isin("no_candidate", "token_or_title_only_candidate")
+    return [F.startswith("bucket", F.lit("reviewed_")).asc(), weak.asc(), F.col("evidence_score").desc(), F.coalesce("edition", F.lit("")).asc(), F.coalesce("title", F.lit("")).asc()]
+
+
+def factor_order() -> list[Column]:
+    """O7."""
+    return [F.col("posterior").desc(), F.coalesce("key", F.lit("")).asc()]
+
+
+def citation_order() -> list[Column]:
+    """What needs work first."""
+    return [*statuses_last(F.col("status"), "supported", "supported_token_only", "weak_current_citation"), F.coalesce("key", F.lit("")).asc()]
+
+
+def repair_order() -> list[Column]:
+    """O8."""
+    return [*statuses_first(F.col("status"), "safe_same_book_repair_candidate", "canonical_book_page_conflict", "alias_alternate_page_evidence"), F.coalesce("key", F.lit("")).asc()]
+
+
+def date_order() -> list[Column]:
+    """O8."""
+    return [*statuses_first(F.col("status"), "strong_date_review", "date_review"), F.coalesce("key", F.lit("")).asc()]
+
+
+def worst_page_order() -> list[Column]:
+    """Pages with the most unknown tokens."""
+    return [F.col("unknown_ratio").desc(), F.col("unknown").desc(), F.coalesce("book_id", F.lit("")).asc(), F.coalesce("scan_page", F.lit(0)).asc()]
+
+
+def suggestion_order() -> list[Column]:
+    """Suggestions of one token."""
+    return [F.col("score").desc(), F.col("count").desc(), F.col("token").asc()]
+
+
 def markdown(rows: DataFrame, title: str, most: int = 50) -> str:
     """K5: a Markdown table of the first rows; pipes are escaped. Only those rows reach the driver."""
     found = rows.limit(most).collect()

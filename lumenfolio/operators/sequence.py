@@ -229,3 +229,20 @@ def lines_after(rows: DataFrame, keys: list[str], order: str, hit: str, after: i
     rank = F.row_number().over(by.orderBy(F.col(order).desc()))
     near = F.coalesce((F.col(order) > last) & (F.col(order) <= last + after), F.lit(False))
     return rows.withColumn("__near", near).withColumn("__rank", rank).where(F.col("__near") | (F.col("__rank") <= tail)).drop("__near", "__rank")
+
+
+def numbered(rows: DataFrame, order: list[Column | str], name: str, path: str) -> DataFrame:
+    """``rows`` with their number in one order of all of them, from 1, without a task that sees all.
+
+    Rows are sorted by range and written to ``path``, a new folder that all
+    executors share; each range's rows are numbered by position, and its start
+    is the sum of the sizes of those before it, one row a range.
+    """
+    spark = rows.sparkSession
+    cut = rows.orderBy(*order).withColumns({"__range": F.spark_partition_id(), "__at": F.monotonically_increasing_id()})
+    cut.write.parquet(path)
+    done = spark.read.schema(cut.schema).parquet(path)
+    sizes = done.groupBy("__range").agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(sizes.select("__range", "__first", before.alias("__before")))  # a row a range of the sort
+    return done.join(starts, "__range").withColumn(name, F.col("__before") + F.col("__at") - F.col("__first") + 1).drop("__range", "__at", "__first", "__before")

@@ -25,6 +25,11 @@ def counts_with_zero(dim: DataFrame, rows: DataFrame, key: str, row_key: str) ->
     return dim.join(n, F.col(key) == F.col("__k"), "left").withColumn("n", F.coalesce("__n", F.lit(0))).drop("__k", "__n")
 
 
+def owner_rows(rows: DataFrame, owner: Column) -> DataFrame:
+    """An owner's rows, hidden ones too."""
+    return rows.where(owner)
+
+
 def public_rows(rows: DataFrame, owner: Column, hidden: DataFrame, key: str) -> DataFrame:
     """An owner's rows without the hidden ones."""
     return rows.where(owner).join(hidden.select(key), key, "left_anti")

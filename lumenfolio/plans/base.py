@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +30,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors share: under ``spark.checkpoint.dir``, or a temporary one of a local session."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="lumenfolio-")
+        atexit.register(shutil.rmtree, found, True)
+        spark.conf.set("spark.checkpoint.dir", found)
+    return f"{found}/lumenfolio/{uuid.uuid4().hex}"
+
+
 # SQL fragments: the Latin normalisation profile, and words of a normalised text.
 WS = r"[ \t\n\r\f\x0b]"
 

@@ -222,6 +222,9 @@ def repair_audit(spark: SparkSession, d: str) -> DataFrame:
     return audits.repair_audit(cites, c, ("weak_current_citation",)).select(F.col("citation_id").alias("doc_id"), "repair_status")
 
 
+_GAPS = f"""SELECT *, CASE WHEN excluded THEN 'reviewed_negative' WHEN status IS NULL THEN 'no_candidate' END AS x FROM ({_SCORED})"""
+
+
 @query()
 def gap_report(spark: SparkSession, d: str) -> DataFrame:
     """The gap relation with its bucket, score, posterior and action, and the backlog by category."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import evidence_queries, import_queries, matching_queries, relational_queries, sequence_queries, text_queries  # noqa: F401
+from . import evidence_queries, import_queries, matching_queries, record_queries, relational_queries, sequence_queries, source_queries, text_queries  # noqa: F401
 from .base import ORACLES, QUERIES
 
 

@@ -113,3 +113,24 @@ def page_range(pages: DataFrame, start: int | None = None, end: int | None = Non
     upper = F.col("scan_page") <= end if end is not None else F.lit(True)
     rows = pages.where(lower & upper)
     return rows.orderBy("scan_page").limit(limit) if limit is not None else rows
+
+
+def keyed_rows(rows: DataFrame, sidecar: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` with their row of a side table (the last by order of all its columns) as a map of texts, empty where there is none.
+
+    Rows of the side table without a key are ignored.
+    """
+    fields = [c for c in sidecar.columns if c != key]
+    made = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, fields)), F.array(*[F.col(c).cast("string") for c in fields])), lambda _, v: v.isNotNull())
+    side = sidecar.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(made, F.struct(*fields)).alias(name))
+    return rows.join(side, key, "left").withColumn(name, F.coalesce(name, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))))
+
+
+def option_errors(options: dict[str, str], allowed: dict[str, tuple[str, ...]], required: tuple[str, ...] = ()) -> list[tuple[str, str]]:
+    """V4: (option, error) of comma-separated options: a required one that is missing or empty, and values outside an option's list."""
+    out = [(name, "is required") for name in required if not any(x.strip() for x in options.get(name, "").split(","))]
+    for name, known in allowed.items():
+        given = {x.strip() for x in options.get(name, "").split(",")} - {"", "all"}
+        if unknown := sorted(given - set(known)):
+            out.append((name, f"unknown: {', '.join(unknown)}"))
+    return sorted(out)

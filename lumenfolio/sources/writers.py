@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,3 +42,11 @@ def report(rows: DataFrame, summary: DataFrame, path: str) -> None:
     """A relation and its one-row summary, side by side."""
     json_report(rows, f"{path}/rows")
     json_report(summary.limit(1).select(F.struct("*").alias("summary")), f"{path}/summary")
+
+
+def text_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file under a given name, by the file system that its path names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True)
+    out.write(bytearray(text.encode()))
+    out.close()

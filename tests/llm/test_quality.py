@@ -93,6 +93,14 @@ def test_repeat_words_of_any_width(spark, k):
     assert got == want
 
 
+def test_query_and_learned_verdict_agree(spark, sf, docs):
+    """The query scores each document once; learn and judge come to the same verdicts."""
+    verdict = quality_rules.learn(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    want = {r.doc_id: (r.kept, round(r.llr_score, 9)) for r in quality_rules.judge(docs.select("doc_id", "text"), verdict).collect()}
+    got = {r.doc_id: (r.kept, round(r.llr_score, 9)) for r in quality_rules.op7_quality_rules(spark, sf).collect()}
+    assert got == want and any(k for k, _ in got.values()) and not all(k for k, _ in got.values())
+
+
 def test_added_names_give_way(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     taken = docs.select("doc_id", "text").withColumns({c: F.lit("mine") for c in (*quality_rules.ADDED, "score", "row", "__words")})
@@ -110,7 +118,9 @@ def test_rules_without_trust_or_rows(spark, docs, empty):
 
 
 def test_plan_is_native(spark, sf, docs):
-    for df in (quality_rules.op7_quality_rules(spark, sf), licenses.op1_licenses(spark, sf)):
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    judged = quality_rules.judge(docs, quality_rules.learn(docs, labels))
+    for df in (judged, quality_rules.op7_quality_rules(spark, sf), licenses.op1_licenses(spark, sf)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
 

@@ -195,23 +195,25 @@ def texts_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Sc
     return docs.select(row_keys(docs)[0], "text").join(ids, "rid", "left_semi")
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) of classes, written already, whose full sets are similar enough.
+def with_sets(pairs: DataFrame, sets: DataFrame, end: str, other: str, most: int, scratch: Scratch) -> DataFrame:
+    """``pairs`` with the set of one end; pairs of an end that has more than ``most`` are dealt by (end, part), and its set is sent to each part."""
+    sets = sets.toDF(end, f"of_{end}")
+    many = scratch.keep(pairs.groupBy(end).count().where(F.col("count") > most).select(end, F.ceil(F.col("count") / most).alias("parts")))
+    if not many.limit(1).count():
+        return pairs.join(sets, end)
+    one = F.coalesce("parts", F.lit(1))
+    sets = sets.join(F.broadcast(many), end, "left").select(end, f"of_{end}", F.explode(F.sequence(F.lit(0).cast("long"), one - 1)).alias("part"))
+    dealt = pairs.join(F.broadcast(many), end, "left").withColumn("part", F.pmod(F.xxhash64(other), one)).drop("parts")
+    return dealt.join(sets, [end, "part"]).drop("part")
 
-    Pairs of an ``a`` that has many are dealt by (a, part), and its set is sent to each part.
-    """
+
+def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) of classes, written already, whose full sets are similar enough."""
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
     sets = texts_of(ends, classes, docs, scratch).select("text").mapInArrow(tidy(_set_rows), "class binary, items array<long>")
     sets = sets.groupBy("class").agg(F.first("items").alias("items"))
-    left, right, keys = sets.toDF("a", "of_a"), sets.toDF("b", "of_b"), ["a"]
-    pairs, most = pairs.select("a", "b"), max(LARGE_KEY, pairs.count() // SENT_KEYS)
-    many = scratch.keep(pairs.groupBy("a").count().where(F.col("count") > most).select("a", F.ceil(F.col("count") / most).alias("parts")))
-    if many.limit(1).count():
-        one = F.coalesce("parts", F.lit(1))
-        left = left.join(F.broadcast(many), "a", "left").select("a", "of_a", F.explode(F.sequence(F.lit(0).cast("long"), one - 1)).alias("part"))
-        pairs = pairs.join(F.broadcast(many), "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), one).alias("part"))
-        keys = ["a", "part"]
-    met = pairs.join(left, keys).join(right, "b")
+    most = max(LARGE_KEY, pairs.count() // SENT_KEYS)
+    met = with_sets(with_sets(pairs.select("a", "b"), sets, "a", "b", most, scratch), sets, "b", "a", most, scratch)
     common = F.size(F.array_intersect("of_a", "of_b"))
     similar = 100 * common >= percent * (F.size("of_a") + F.size("of_b") - common)
     return met.where(similar).select("a", "b")

@@ -125,6 +125,26 @@ def cosine_join(a: DataFrame, b: DataFrame, least: float = 0.0) -> DataFrame:
     return both.withColumn("cosine", F.col("dot") / (F.col("norm_a_id") * F.col("norm_b_id"))).where(F.col("cosine") >= least).select("a_id", "b_id", "cosine")
 
 
+def dense_topk(vectors: DataFrame, queries: DataFrame, top: int, block: int = 256) -> DataFrame:
+    """J11 over dense vectors: query_id, vec_id, cosine of the ``top`` nearest of each query.
+
+    Vectors are (vec_id, v, norm), queries (query_id, q, q_norm), a stated set
+    that is small beside the vectors. Queries go in blocks of ``block``; a block
+    is one row of bounded size that is sent to the tasks of the vectors, and
+    the rank's group limit cuts each task's pairs before the shuffle by query.
+    """
+    n = max(1, -(-queries.count() // block))
+    packed = queries.withColumn("__b", F.pmod(F.xxhash64("query_id"), F.lit(n))).groupBy("__b").agg(F.collect_list(F.struct("query_id", "q", "q_norm")).alias("__q"))
+    dot = F.aggregate(F.zip_with("v", "x.q", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    order, out = (F.round("cosine", 9).desc(), F.col("vec_id")), None
+    for i in range(n):
+        met = vectors.withColumn("__b", F.lit(i).cast("long")).join(F.broadcast(packed.where(F.col("__b") == i)), "__b").withColumn("x", F.explode("__q"))
+        part = met.where(F.col("vec_id") != F.col("x.query_id")).select(F.col("x.query_id").alias("query_id"), "vec_id", (dot / (F.col("norm") * F.col("x.q_norm"))).alias("cosine"))
+        out = part if out is None else out.unionByName(part)
+    best = out.withColumn("__rn", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    return best.where(F.col("__rn") <= top).drop("__rn")
+
+
 def contains_either_way(a: Column, b: Column) -> Column:
     """J12/J13."""
     return (a == b) | F.contains(a, b) | F.contains(b, a)

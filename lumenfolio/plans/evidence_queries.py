@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audits, evidence, gates, matching, reports
-from .base import query, table
+from .base import ORACLES, query, table
 
 UNKNOWN = "unknown"
 _EV = ("title_match", "first_line_match", "last_line_match", "high_body_coverage", "page_sequence_present", "body_token_overlap")
@@ -84,7 +84,29 @@ def stage_updates(spark: SparkSession, d: str) -> DataFrame:
     return evidence.stage_updates(scored_rows(spark, d), "doc_id").select("doc_id", "stage", F.round("delta", 6).alias("delta"), F.round("log_odds_after", 6).alias("log_odds_after"))
 
 
-@query()
+def _case(column: str, values: dict[str, float], other: str) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in values.items()) + f" ELSE {other} END"
+
+
+# One row a factor: its stage and weight, null where a candidate doesn't have it.
+_WEIGHTS = [
+    ("human_review", "CASE WHEN excluded THEN -8.0 END"),
+    ("source_prior", f"CASE WHEN edition = '{UNKNOWN}' THEN -0.9 WHEN edition_book IS NULL THEN -0.6 ELSE 0.8 END"),
+    ("source_prior", f"CASE WHEN candidate_book IS NOT NULL THEN {_case('alignment', evidence.ALIGNMENT, '0.0')} END"),
+    ("page_sequence_repair", "CASE WHEN printed_page_start IS NOT NULL THEN 1.2 WHEN status IS NOT NULL THEN -2.0 END"),
+    ("page_sequence_repair", "CASE WHEN list_contains(evidence, 'page_sequence_present') THEN 0.9 END"),
+    ("text_alignment", "CASE WHEN span_basis = 'line_anchor_cluster' THEN 1.6 WHEN span_basis IS NOT NULL THEN -0.9 END"),
+    ("text_alignment", "CASE WHEN exact_count > 0 THEN least(2.4, 0.45 * exact_count) END"),
+    ("text_alignment", "CASE WHEN line_count > 0 THEN least(1.4, 0.18 * line_count) END"),
+    *[("text_alignment", f"CASE WHEN list_contains(evidence, '{e}') THEN {w} END") for e, w in evidence.EVIDENCE.items()],
+    ("competition", "CASE WHEN runner_up_gap >= 4 THEN 0.7 WHEN runner_up_gap >= 1 THEN 0.25 WHEN runner_up_gap IS NOT NULL THEN -0.7 END"),
+    ("candidate_generation", _case("coalesce(status, 'no_candidate')", evidence.STATUS, "-0.5")),
+    ("corpus_coverage", _case("coalesce(scan_status, 'not_applicable')", evidence.SCAN, "-0.2")),
+]
+
+
+@query("WITH f AS (" + " UNION ALL ".join(f"SELECT '{stage}' AS stage, ({w})::DOUBLE AS w FROM ({_B})" for stage, w in _WEIGHTS) + """)
+SELECT stage, round(sum(w), 6) AS total, count(*) FILTER (WHERE w > 0)::BIGINT AS positive, count(*) FILTER (WHERE w < 0)::BIGINT AS negative FROM f WHERE w IS NOT NULL GROUP BY stage""")
 def stage_totals(spark: SparkSession, d: str) -> DataFrame:
     """Totals and signs by stage."""
     return evidence.stage_totals(scored_rows(spark, d)).withColumn("total", F.round("total", 6))
@@ -119,16 +141,46 @@ def scan_statuses(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", evidence.scan_status(k % 4 != 0, k % 6, k % 4, (k % 10) / 20.0, k % 2 == 0).alias("status"))
 
 
+#: The driver's rows fire most gates; one made-up row for each gate, which holds just what it asks for, fires the others.
+_GATE_COLUMNS = (
+    "doc_id bigint, edition string, candidate_book_id string, printed_page_start int, printed_page_end int, status string, evidence array<string>, span_basis string, span_exact_line_match_count int, span_line_match_count int, "
+    "span_anchor_count int, runner_up_gap double, score double, book_title string, is_alias boolean, has_marker boolean, has_reference boolean, outside_corpus boolean, pages_exist boolean, has_existing_source boolean"
+)
+
+
+def _row_of(i: int, g: gates.Gate) -> tuple:
+    book, title = ("b2", "B2") if g.single_book else ("b1-copy", "B1") if g.alias else ("b1", "B1")
+    edition = {"same": title, "unknown": UNKNOWN, "different": "B9"}[g.edition]
+    end = 5 if g.pages == "single" or g.anchors == "one" else 6
+    anchors = 1 if g.anchors in ("one", "some") else 2
+    status = next((x for x in g.status if x != gates.ACCEPTED), g.status[0])
+    return (-1 - i, edition, book, 5, end, status, [*g.evidence, *g.one_of[-1:]], "line_anchor_cluster", g.exact, g.lines, anchors, None if g.gap is None else float(g.gap), float(g.score), title, bool(g.alias), g.marker, g.reference, g.outside, True, False)
+
+
+_MADE = [_row_of(i, g) for i, g in enumerate((*gates.OVERRIDES, *gates.REVIEWED))]
+_MADE.append((-1000, "B1", "b7", 5, 6, gates.ACCEPTED, ["title_match"], "line_anchor_cluster", 3, 9, 2, 5.0, 30.0, None, False, False, False, False, True, False))
+
+
+def _sql_value(v: object) -> str:
+    if isinstance(v, list):
+        return "[" + ", ".join(map(_sql_value, v)) + "]"
+    return "NULL" if v is None else str(v).lower() if isinstance(v, bool) else repr(v)
+
+
 def gate_rows(spark: SparkSession, d: str) -> DataFrame:
     k, b = F.col("doc_id"), F.col("candidate_book_id")
     t = candidate_rows(spark, d).withColumnRenamed("exact_count", "span_exact_line_match_count").withColumnRenamed("line_count", "span_line_match_count").withColumnRenamed("anchor_count", "span_anchor_count")
-    return t.withColumns({
+    t = t.withColumns({
         "book_title": F.when(b.isin("b1", "b1-copy"), "B1").when(b == "b2", "B2"), "is_alias": F.coalesce(b == "b1-copy", F.lit(False)),
         "has_marker": k % 3 == 0, "has_reference": k % 4 == 0, "outside_corpus": k % 5 != 0, "pages_exist": k % 19 != 0, "has_existing_source": k % 2 == 0,
     })
+    made = spark.createDataFrame(_MADE, _GATE_COLUMNS)
+    return t.select(*made.columns).unionByName(made)
 
 
-_GATE_ROWS = f"SELECT *, exact_count AS span_exact_line_match_count, line_count AS span_line_match_count, anchor_count AS span_anchor_count, CASE WHEN candidate_book_id IN ('b1', 'b1-copy') THEN 'B1' WHEN candidate_book_id = 'b2' THEN 'B2' END AS book_title, coalesce(candidate_book_id = 'b1-copy', false) AS is_alias, doc_id % 3 = 0 AS has_marker, doc_id % 4 = 0 AS has_reference, doc_id % 5 <> 0 AS outside_corpus, doc_id % 19 <> 0 AS pages_exist, doc_id % 2 = 0 AS has_existing_source FROM ({_ROWS})"
+_TABLE_ROWS = f"SELECT *, CASE WHEN candidate_book_id IN ('b1', 'b1-copy') THEN 'B1' WHEN candidate_book_id = 'b2' THEN 'B2' END AS book_title, coalesce(candidate_book_id = 'b1-copy', false) AS is_alias, doc_id % 3 = 0 AS has_marker, doc_id % 4 = 0 AS has_reference, doc_id % 5 <> 0 AS outside_corpus, doc_id % 19 <> 0 AS pages_exist, doc_id % 2 = 0 AS has_existing_source FROM ({_ROWS})"
+_GATE_NAMES = "doc_id, edition, candidate_book_id, printed_page_start, printed_page_end, status, evidence, span_basis, exact_count, line_count, anchor_count, runner_up_gap, score, book_title, is_alias, has_marker, has_reference, outside_corpus, pages_exist, has_existing_source"
+_GATE_ROWS = f"SELECT {_GATE_NAMES} FROM ({_TABLE_ROWS}) UNION ALL SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(_sql_value, r)) + ")" for r in _MADE) + ")"
 _SPAN_SQL = "coalesce(span_basis = 'line_anchor_cluster' AND anchor_count > 0 AND (exact_count > 0 OR line_count >= 2) AND printed_page_start IS NOT NULL AND (printed_page_end - printed_page_start + 1 < 5 OR anchor_count >= printed_page_end - printed_page_start + 1), false)"
 
 
@@ -163,7 +215,11 @@ def gate_reasons(spark: SparkSession, d: str) -> DataFrame:
     return gates.dispatch(gate_rows(spark, d), UNKNOWN, "b2").select("doc_id", "reason")
 
 
-@query()
+_FILLED = f"CASE WHEN edition = '{UNKNOWN}' THEN {{}} END"
+
+
+@query(f"""WITH r AS (SELECT *, {_REASONS} AS reason FROM ({_GATE_ROWS})) SELECT doc_id, reason, CASE WHEN edition = '{UNKNOWN}' THEN book_title ELSE edition END AS edition, {_FILLED.format("1954")}::INTEGER AS source_year, {_FILLED.format("'late'")} AS phase_id,
+ '[{{"role":"primary","title_bn":"' || book_title || '","page_start":' || printed_page_start || ',"page_end":' || printed_page_end || '}}]' AS sources FROM r WHERE starts_with(reason, 'eligible')""")
 def gated_upsert(spark: SparkSession, d: str) -> DataFrame:
     """K4: the new version of the records that the gates let through."""
     t = gates.dispatch(gate_rows(spark, d), UNKNOWN, "b2").withColumns({"book_year": F.lit(1954), "book_phase": F.lit("late"), "source_year": F.lit(None).cast("int"), "phase_id": F.lit(None).cast("string"), "book_sources": F.lit(None).cast("array<struct<role:string,title_bn:string,page_start:int,page_end:int>>")})
@@ -222,10 +278,10 @@ def repair_audit(spark: SparkSession, d: str) -> DataFrame:
     return audits.repair_audit(cites, c, ("weak_current_citation",)).select(F.col("citation_id").alias("doc_id"), "repair_status")
 
 
-_GAPS = f"""SELECT *, CASE WHEN excluded THEN 'reviewed_negative' WHEN status IS NULL THEN 'no_candidate' END AS x FROM ({_SCORED})"""
+_BY = "SELECT '{0}' AS category, {1} AS priority, {2}::VARCHAR AS grp, count(*)::BIGINT AS n FROM {3} GROUP BY {2}"
 
 
-@query()
+@query(f"""WITH b AS ({ORACLES['gap_buckets']}), a AS ({ORACLES['next_actions']}), r AS ({_B}) """ + " UNION ALL ".join(_BY.format(*x) for x in (("bucket", 1, "bucket", "b"), ("action", 2, "action", "a"), ("edition", 3, "edition", "r"), ("alignment", 4, "alignment", "r"), ("status", 5, "status", "r"))))
 def gap_report(spark: SparkSession, d: str) -> DataFrame:
     """The gap relation with its bucket, score, posterior and action, and the backlog by category."""
     t = scored_rows(spark, d)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.profiles import LATIN_CLASSES
-from ..operators import audits, joins, lexicon, matching, sequence
+from ..operators import audits, joins, lexicon, matching, reports, sequence
 from ..operators import pages as P
-from .base import norm, query, table, words
+from . import text_queries  # noqa: F401  (its SQL is part of some here)
+from .base import ORACLES, norm, query, table, words
 from .relational_queries import document_tokens
 
 _WINDOWS = """w AS (SELECT id, list_filter({words}, lambda x: NOT regexp_full_match(x, '[0-9]+') AND length(x) >= 2) AS w FROM (SELECT {id} AS id, {norm} AS n FROM {table})), s AS (SELECT id, w, unnest([6, 5, 4]) AS size FROM w), p AS (SELECT id, w, size, unnest(range(0, len(w) - size + 1)) AS start FROM s) SELECT id, start, size, array_to_string(w[start + 1:start + size], ' ') AS phrase FROM p"""
@@ -41,22 +42,25 @@ def corpus(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 _PASSAGES = f"""i AS (SELECT item_id, {norm("array_to_string(string_split(text, ' ')[1:6], ' ')")} AS title, {norm('text')} AS n, list_filter(list_transform(string_split(text, chr(10)), lambda x: {norm('x')}), lambda x: length(x) >= 8) AS lines FROM benchmark),
 d AS (SELECT doc_id, source AS book_id, row_number() OVER (PARTITION BY source ORDER BY doc_id)::INTEGER AS scan_page, {norm('text')} AS n, list_filter(list_transform(string_split(text, chr(10)), lambda x: {norm('x')}), lambda x: x <> '') AS lines FROM documents),
 it AS (SELECT item_id, unnest(list_distinct(list_filter({words('n')}, lambda x: length(x) >= 3))) AS token FROM i), dt AS (SELECT doc_id, book_id, unnest(list_distinct(list_filter({words('n')}, lambda x: length(x) >= 3))) AS token FROM d),
-pr AS (SELECT item_id, doc_id, count(*) AS overlap FROM it JOIN dt USING (token) GROUP BY 1, 2 HAVING count(*) >= 4), sz AS (SELECT item_id, count(*) AS n FROM it GROUP BY 1)"""
+pr AS (SELECT item_id, doc_id, count(*) AS overlap FROM it JOIN dt USING (token) GROUP BY 1, 2), sz AS (SELECT item_id, count(*) AS n FROM it GROUP BY 1)"""
 _HEAD = r"""len(list_filter(d.lines, lambda x: trim(regexp_replace(regexp_replace(x, '(^|[ ])[0-9]+([ ][0-9]+)*([ ]|$)', ' ', 'g'), '^ +| +$', '', 'g')) = i.title OR (contains(i.title, ' ') AND starts_with(x || ' ', i.title || ' ') AND len(string_split(x, ' ')) <= len(string_split(i.title, ' ')) + 2))) > 0"""
 
 
-@query(f"""WITH {_PASSAGES}, t AS (SELECT pr.item_id, pr.doc_id, pr.overlap, sz.n AS total, i.title <> '' AND {_HEAD} AS heading, contains(d.n, i.title) AS phrase, coalesce(contains(d.n, i.lines[1]), false) AS first, coalesce(contains(d.n, i.lines[len(i.lines)]), false) AS last, d.doc_id % 5 <> 0 AS paged FROM pr JOIN i USING (item_id) JOIN d USING (doc_id) JOIN sz USING (item_id)),
-s AS (SELECT item_id, doc_id, (least(overlap, 40) * 0.4 + CASE WHEN heading THEN 12 WHEN phrase THEN 2 ELSE 0 END + CASE WHEN first THEN 8 ELSE 0 END + CASE WHEN last THEN 8 ELSE 0 END + CASE WHEN paged THEN 1 ELSE 0 END)::DOUBLE AS score,
- list_sort(list_filter([CASE WHEN heading THEN 'title_match' END, CASE WHEN phrase AND NOT heading THEN 'title_phrase_match' END, CASE WHEN first THEN 'first_line_match' END, CASE WHEN last THEN 'last_line_match' END, CASE WHEN overlap >= 8 THEN 'body_token_overlap' END, CASE WHEN overlap / total >= 0.35 THEN 'high_body_coverage' END, CASE WHEN paged THEN 'page_sequence_present' END], lambda x: x IS NOT NULL)) AS e FROM t)
-SELECT item_id, doc_id, round(score, 6) AS score, array_to_string(e, ',') AS evidence FROM s WHERE score >= 10""")
+_SCORES = f"""t AS (SELECT i.item_id, d.doc_id, d.book_id, d.scan_page, coalesce(pr.overlap, 0) AS overlap, coalesce(sz.n, 0) AS total, i.title <> '' AND {_HEAD} AS heading, i.title <> '' AND contains(d.n, i.title) AS phrase, coalesce(contains(d.n, i.lines[1]), false) AS first, coalesce(contains(d.n, i.lines[len(i.lines)]), false) AS last, d.doc_id % 5 <> 0 AS paged FROM i CROSS JOIN d LEFT JOIN pr ON pr.item_id = i.item_id AND pr.doc_id = d.doc_id LEFT JOIN sz ON sz.item_id = i.item_id),
+s AS (SELECT *, (least(overlap, 40) * 0.4 + CASE WHEN heading THEN 12 WHEN phrase THEN 2 ELSE 0 END + CASE WHEN first THEN 8 ELSE 0 END + CASE WHEN last THEN 8 ELSE 0 END + CASE WHEN paged THEN 1 ELSE 0 END)::DOUBLE AS score,
+ list_sort(list_filter([CASE WHEN heading THEN 'title_match' END, CASE WHEN phrase AND NOT heading THEN 'title_phrase_match' END, CASE WHEN first THEN 'first_line_match' END, CASE WHEN last THEN 'last_line_match' END, CASE WHEN overlap >= 8 THEN 'body_token_overlap' END, CASE WHEN overlap / greatest(total, 1) >= 0.35 THEN 'high_body_coverage' END, CASE WHEN paged THEN 'page_sequence_present' END], lambda x: x IS NOT NULL)) AS e FROM t)"""
+
+
+@query(f"""WITH {_PASSAGES}, {_SCORES} SELECT item_id, doc_id, round(score, 6) AS score, array_to_string(e, ',') AS evidence FROM s WHERE score >= 10""")
 def page_score(spark: SparkSession, d: str) -> DataFrame:
     """The scores of all documents for each passage."""
     passages, pages = corpus(spark, d)
-    s = matching.score_pages(matching.candidate_pairs(passages, pages), passages, pages)
+    s = matching.score_pages(passages, pages)
     return s.select("item_id", F.col("page_id").alias("doc_id"), F.round("score", 6).alias("score"), F.array_join("evidence", ",").alias("evidence"))
 
 
-_ANCHORS = f"""{_PASSAGES}, l AS (SELECT item_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS k FROM i), c AS (SELECT pr.item_id, pr.doc_id, d.book_id, l.k, l.line, contains(d.n, l.line) AS exact FROM pr JOIN l USING (item_id) JOIN d USING (doc_id)),
+_BOOKS = "w AS (SELECT item_id, book_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, book_id, scan_page) AS rn FROM s WHERE score >= 10), bb AS (SELECT item_id, book_id FROM w WHERE rn = 1)"
+_ANCHORS = f"""{_PASSAGES}, {_SCORES}, {_BOOKS}, l AS (SELECT item_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS k FROM i), c AS (SELECT l.item_id, d.doc_id, d.book_id, l.k, l.line, contains(d.n, l.line) AS exact FROM bb JOIN l USING (item_id) JOIN d USING (book_id)),
 df AS (SELECT book_id, token, count(*) AS df FROM dt GROUP BY 1, 2), bp AS (SELECT book_id, count(*) AS pages FROM d GROUP BY 1), lt AS (SELECT item_id, k, unnest(list_distinct(list_filter({words('line')}, lambda x: length(x) >= 3))) AS token FROM l),
 f AS (SELECT c.item_id, c.doc_id, c.k, count(*) AS n, count(dt.token) AS found, count(*) FILTER (WHERE coalesce(df.df, 0) <= greatest(3, floor(bp.pages * 0.08))) AS rare, count(dt.token) FILTER (WHERE coalesce(df.df, 0) <= greatest(3, floor(bp.pages * 0.08))) AS rare_found FROM c JOIN lt ON lt.item_id = c.item_id AND lt.k = c.k JOIN bp ON bp.book_id = c.book_id LEFT JOIN df ON df.book_id = c.book_id AND df.token = lt.token LEFT JOIN dt ON dt.doc_id = c.doc_id AND dt.token = lt.token WHERE NOT c.exact GROUP BY 1, 2, 3),
 m AS (SELECT item_id, doc_id, k, 'exact' AS kind FROM c WHERE exact UNION ALL SELECT item_id, doc_id, k, 'fuzzy' FROM f WHERE n >= 4 AND found / n >= 0.82 AND (rare = 0 OR rare_found >= least(2, rare)))"""
@@ -64,10 +68,9 @@ m AS (SELECT item_id, doc_id, k, 'exact' AS kind FROM c WHERE exact UNION ALL SE
 
 @query(f"WITH {_ANCHORS} SELECT item_id, doc_id, k::INTEGER AS line_index, kind FROM m")
 def line_anchors(spark: SparkSession, d: str) -> DataFrame:
-    """M2, A3: lines of passages on documents."""
+    """M2, A3, O1: lines of passages on the documents of the book that has their best page."""
     passages, pages = corpus(spark, d)
-    pairs = matching.candidate_pairs(passages, pages)
-    return matching.line_anchors(pairs, passages, pages, matching.token_frequency(pages)).withColumnRenamed("page_id", "doc_id").select("item_id", "doc_id", "line_index", "kind")
+    return matching.line_anchors(matching.best_page(matching.score_pages(passages, pages)), passages, pages).withColumnRenamed("page_id", "doc_id").select("item_id", "doc_id", "line_index", "kind")
 
 
 @query(f"""WITH {_ANCHORS}, a AS (SELECT item_id, doc_id, count(*) AS n, count(*) FILTER (WHERE kind = 'exact') AS x, bool_or(kind = 'exact' AND k = 0) AS x0, list(k) FILTER (WHERE kind = 'exact') AS xs FROM m GROUP BY 1, 2)
@@ -75,7 +78,7 @@ SELECT a.item_id, a.doc_id, a.n::BIGINT AS matches, x::BIGINT AS exact, (i.title
 def anchor_flag(spark: SparkSession, d: str) -> DataFrame:
     """M3."""
     passages, pages = corpus(spark, d)
-    matches = matching.line_anchors(matching.candidate_pairs(passages, pages), passages, pages, matching.token_frequency(pages))
+    matches = matching.line_anchors(matching.best_page(matching.score_pages(passages, pages)), passages, pages)
     return matching.anchor_pages(matches, passages, pages).select("item_id", F.col("page_id").alias("doc_id"), "matches", "exact", "is_anchor")
 
 
@@ -87,13 +90,13 @@ def span_proposal(spark: SparkSession, d: str) -> DataFrame:
     return t.select("item_id", "book_id", "start_scan", "end_scan", "printed_page_start", "printed_page_end", "score", F.array_join("evidence", ",").alias("evidence"), "basis", "anchor_count", "line_matches", "exact_matches", "gap", "status")
 
 
-@query(f"""WITH {_PASSAGES}, b AS (SELECT pr.item_id, pr.doc_id, overlap, row_number() OVER (PARTITION BY pr.item_id ORDER BY overlap DESC, pr.doc_id) AS rn FROM pr) SELECT item_id, doc_id, overlap::BIGINT AS common FROM b WHERE rn <= 3""")
+@query(f"""WITH {_PASSAGES}, b AS (SELECT pr.item_id, pr.doc_id, overlap, row_number() OVER (PARTITION BY pr.item_id ORDER BY overlap DESC, pr.doc_id) AS rn FROM pr WHERE overlap >= 4) SELECT item_id, doc_id, overlap::BIGINT AS common FROM b WHERE rn <= 3""")
 def overlap_topk(spark: SparkSession, d: str) -> DataFrame:
     """The three documents that share the most tokens with a passage."""
     passages, pages = corpus(spark, d)
-    a = passages.select(F.col("item_id").alias("a_id"), F.explode("body_tokens").alias("gram"))
-    b = pages.select(F.col("page_id").alias("b_id"), F.explode("tokens").alias("gram")).join(a.select("gram").distinct(), "gram", "left_semi")
-    return joins.overlap_join(a, b, 4, 3).select(F.col("a_id").alias("item_id"), F.col("b_id").alias("doc_id"), "common")
+    met = matching.candidate_pairs(passages, pages, 4)
+    w = Window.partitionBy("item_id").orderBy(F.col("overlap").desc(), "page_id")
+    return met.withColumn("rn", F.row_number().over(w)).where("rn <= 3").select("item_id", F.col("page_id").alias("doc_id"), F.col("overlap").alias("common"))
 
 
 _GRAMS = "SELECT {id} AS id, list_distinct(list_transform(range(1, length(c) - 3), lambda i: substr(c, i, 5))) AS g FROM (SELECT {id}, replace({norm}, ' ', '') AS c FROM {table})"
@@ -120,9 +123,9 @@ def passage_lines(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "benchmark").select("item_id", F.explode(cut).alias("l")).select("item_id", "l.*")
 
 
-def document_regions(spark: SparkSession, d: str) -> DataFrame:
-    w = sequence.region_windows(X.region_lines(F.col("text")), 1)
-    return table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.posexplode(w).alias("window", "w")).select("page_id", "window", F.col("w.text").alias("text"))
+def _audit_pages(spark: SparkSession, d: str) -> DataFrame:
+    p = P.document_pages(table(spark, d, "documents")).withColumnRenamed("doc_id", "page_id")
+    return p.withColumns({"printed_page": F.when(F.col("page_id") % 9 != 0, F.col("scan_page")), "text": F.coalesce("text", F.lit(""))})
 
 
 @query()
@@ -134,27 +137,33 @@ def sparse_cosine_hashed(spark: SparkSession, d: str) -> DataFrame:
     return out.select("a_id.item_id", "a_id.line_index", F.col("b_id.page_id").alias("other_id"), F.col("b_id.window").alias("other_line"), F.round("cosine", 6).alias("cosine"))
 
 
-def fuzzy_matches(spark: SparkSession, d: str) -> DataFrame:
-    lines, regions = passage_lines(spark, d), document_regions(spark, d)
-    passages, pages = corpus(spark, d)
-    grams = passages.select(F.col("item_id").alias("a_id"), F.explode("body_tokens").alias("gram"))
-    tokens = pages.select(F.col("page_id").alias("b_id"), F.explode("tokens").alias("gram")).join(grams.select("gram").distinct(), "gram", "left_semi")
-    pairs = joins.overlap_join(grams, tokens, 8, 8).select(F.col("a_id").alias("item_id"), F.col("b_id").alias("page_id"))
-    t = matching.best_regions(pairs, lines, regions, 0.5, 3, 16, 5)
-    plain = lambda c: F.replace(c, F.lit(" "), F.lit(""))
-    t = t.withColumn("fuzzy", matching.fuzzy_line_score(plain(F.col("line")), plain(F.col("text")))).withColumn("ordered", matching.ordered_token_score(F.col("line"), F.col("text")))
-    return t.where("fuzzy >= 0.62").withColumn("kind", F.when(F.contains("text", "line"), "exact").otherwise("fuzzy"))
+def _reviewed(best: DataFrame, status: Column) -> DataFrame:
+    return best.select("item_id", "book_id", F.col("start").alias("start_scan"), F.col("end").alias("end_scan"), "line_matches", "exact_lines", "longest_line_run", "ordered_run", F.round("total_score", 4).alias("total_score"), status.alias("status"))
 
 
 @query()
 def fuzzy_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Fuzzy and ordered scores of lines, grouped by passage and source, with runs and statuses."""
-    m = fuzzy_matches(spark, d).join(P.document_pages(table(spark, d, "documents")).select(F.col("doc_id").alias("page_id"), "book_id", "scan_page"), "page_id")
-    m = m.withColumns({"score": F.col("fuzzy"), "source": F.lit("text"), "line_start": F.col("window"), "line_end": F.col("window")})
-    groups = matching.group_summary(m, ["item_id", "book_id"]).join(matching.ordered_runs(m.select("item_id", "book_id", "line_index", "scan_page", "source", "line_start", "line_end"), ["item_id", "book_id"]), ["item_id", "book_id"])
-    yes, no = F.lit(True), F.lit(False)
-    run, exact, lines, pages = F.col("ordered_run"), F.col("exact_lines"), F.col("line_matches"), F.col("span_pages")
-    return groups.select("item_id", "book_id", "first_scan", "last_scan", "line_matches", "exact_lines", "longest_line_run", "ordered_run", F.round("total_score", 4).alias("total_score"), matching.fuzzy_status(yes, F.col("longest_line_run"), run, exact, lines, pages, no).alias("fuzzy_status"), matching.ordered_status(yes, run, exact, lines, pages, no).alias("ordered_status"))
+    """Fuzzy lines of passages on the documents that share their rare grams."""
+    lines, pages = passage_lines(spark, d), _audit_pages(spark, d)
+    plain = X.compact(F.col("text"))
+    pairs = matching.page_pool(table(spark, d, "benchmark"), pages, X.char_ngram_set(plain, 5), X.char_ngram_set(X.class_signature(plain, LATIN_CLASSES), 5), 8)
+    found = matching.audit_candidates(matching.fuzzy_matches(pairs, lines, matching.regions_of(pages)), pages, 2)
+    best = matching.best_candidates(found.withColumn("score", F.col("total_score")), reports.fuzzy_candidate_order())
+    paged = F.col("printed_page_start").isNotNull() & F.col("printed_page_end").isNotNull()
+    return _reviewed(best, matching.fuzzy_status(paged, F.col("longest_line_run"), F.col("ordered_run"), F.col("exact_lines"), F.col("line_matches"), F.col("span_pages"), F.col("item_id") % 4 == 0))
+
+
+@query()
+def ordered_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Ordered tokens of passages' lines on the documents that share their rare tokens."""
+    lines, pages = passage_lines(spark, d), _audit_pages(spark, d)
+    tokens = X.token_set(X.normalize(F.col("text")))
+    pairs = matching.page_pool(table(spark, d, "benchmark"), pages, tokens, F.transform(tokens, lambda x: X.class_signature(x, LATIN_CLASSES)), 36)
+    regions = matching.regions_of(pages, 4, 700, 3)
+    found = matching.audit_candidates(matching.ordered_matches(pairs, lines.where(F.size(X.token_list(F.col("text"))) >= 3), regions), pages, 3, strict=False)
+    best = matching.best_candidates(found.withColumn("score", F.col("total_score")), reports.ordered_candidate_order())
+    paged = F.col("printed_page_start").isNotNull() & F.col("printed_page_end").isNotNull()
+    return _reviewed(best, matching.ordered_status(paged, F.col("ordered_run"), F.col("exact_lines"), F.col("line_matches"), F.col("span_pages"), F.col("item_id") % 4 == 0))
 
 
 _CITE = "SELECT item_id AS citation_id, 'src' || (item_id % 20)::VARCHAR AS book, (item_id % 30 + 1)::INTEGER AS s, (item_id % 30 + 3)::INTEGER AS e, text FROM benchmark"
@@ -176,7 +185,11 @@ def _citations(spark: SparkSession, d: str) -> DataFrame:
     return audits.citation_evidence(c, p)
 
 
-@query()
+@query(f"""WITH c AS ({_CITE}), p AS (SELECT source AS book_id, row_number() OVER (PARTITION BY source ORDER BY doc_id)::INTEGER AS scan, text FROM documents), r AS (SELECT book_id, min(scan) AS lo, max(scan) AS hi, count(*) AS n FROM p GROUP BY 1),
+j AS (SELECT citation_id, count(*) AS rows, string_agg(p.text, chr(10) ORDER BY scan) AS t FROM c JOIN p ON p.book_id = c.book AND p.scan BETWEEN c.s AND c.e GROUP BY 1),
+k AS (SELECT c.*, coalesce(j.rows, 0) AS rows, {norm("coalesce(j.t, '')")} AS pt, {norm("array_to_string(string_split(c.text, ' ')[1:3], ' ')")} AS title, {norm('c.text')} AS ct, list_filter(list_transform(string_split(c.text, chr(10)), lambda x: {norm('x')}), lambda x: length(replace(x, ' ', '')) >= 18) AS lines, r.n, r.lo, r.hi FROM c LEFT JOIN j USING (citation_id) LEFT JOIN r ON r.book_id = c.book),
+x AS (SELECT *, citation_id % 4 = 0 AS conflict, title <> '' AND contains(pt, title) AS has_title, coalesce(contains(pt, lines[1]), false) AS first, len(list_filter(lines, lambda x: contains(pt, x))) AS hits, round(len(list_intersect(list_distinct(list_filter({words('ct')}, lambda x: length(x) >= 3)), list_distinct(list_filter({words('pt')}, lambda x: length(x) >= 3)))) / greatest(1, len(list_distinct(list_filter({words('ct')}, lambda x: length(x) >= 3)))), 4) AS coverage FROM k)
+SELECT citation_id, CASE WHEN rows = 0 AND n IS NULL THEN 'missing_book_corpus' WHEN rows = 0 AND (e < lo OR s > hi) THEN 'outside_corpus_range' WHEN rows = 0 THEN 'missing_page_rows' WHEN conflict AND NOT (has_title OR hits >= 2 OR coverage >= 0.45) THEN 'candidate_conflict' WHEN has_title OR first OR hits >= 2 THEN 'supported' WHEN coverage >= 0.45 THEN 'supported_token_only' ELSE 'weak_current_citation' END AS status FROM x""")
 def citation_status(spark: SparkSession, d: str) -> DataFrame:
     """M20, C13."""
     return _citations(spark, d).select("citation_id", audits.citation_status(F.col("citation_id") % 4 == 0).alias("status"))
@@ -213,11 +226,23 @@ def substitution_pick(spark: SparkSession, d: str) -> DataFrame:
     return lexicon.substitutions(odd, lexicon.suggestions(odd, known), 1, 0.9, 3)
 
 
+_SUGGESTED = "SELECT o_custkey AS c, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rank, CASE o_custkey % 4 WHEN 0 THEN 0.9 ELSE 0.95 END AS score, o_orderkey % 41 AS n FROM orders"
+
+
+@query(f"""WITH s AS (SELECT *, lead(score) OVER w AS s2, lead(n) OVER w AS n2 FROM ({_SUGGESTED}) WINDOW w AS (PARTITION BY c ORDER BY rank)) SELECT 't' || c AS odd_token, 'k' || o_orderkey AS replacement, c % 17 AS odd_count, n AS known_count FROM s
+WHERE rank = 1 AND score >= 0.94 AND n >= 20 AND c % 17 >= 8 AND (s2 IS NULL OR s2 <> score OR n >= floor(n2 * 2.0))""")
+def substitution_rules(spark: SparkSession, d: str) -> DataFrame:
+    """M16 over made-up suggestions: sure ones for frequent tokens, twice as frequent as the next of the same score."""
+    c, k = F.col("o_custkey"), F.col("o_orderkey")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    made = table(spark, d, "orders").select(F.concat(F.lit("t"), c.cast("string")).alias("odd_token"), F.concat(F.lit("k"), k.cast("string")).alias("token"), F.when(c % 4 == 0, 0.9).otherwise(0.95).alias("score"), (k % 41).alias("count"), F.lit("key").alias("basis"), F.row_number().over(w).alias("rank"))
+    odd = table(spark, d, "orders").select(F.concat(F.lit("t"), c.cast("string")).alias("token"), (c % 17).alias("count")).distinct()
+    return lexicon.substitutions(odd, made).select("odd_token", "replacement", "odd_count", "known_count")
+
+
 @query()
 def levenshtein_suggestions(spark: SparkSession, d: str) -> DataFrame:
     """Extension of M15: the nearest known token within two edits of code points (DuckDB counts bytes, so it has no SQL)."""
-    from pyspark.sql import Window
-
     odd, known = _odd(spark, d)
     a = odd.select(F.col("token").alias("odd_token")).withColumn("len", F.explode(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda x: F.length("odd_token") + x)))
     p = a.join(known.select("token", "count"), (F.substring("odd_token", 1, 1) == F.substring("token", 1, 1)) & (F.col("len") == F.length("token"))).withColumn("distance", F.levenshtein("odd_token", "token")).where("distance <= 2")
@@ -230,7 +255,7 @@ def toc_audit(spark: SparkSession, d: str) -> DataFrame:
     """passages' titles and lines against the entries of made-up contents lines."""
     docs = P.document_pages(table(spark, d, "documents"))
     line = F.concat(F.get(F.split("text", "\n"), F.lit(0)), F.lit(" "), F.col("scan_page").cast("string"))
-    entries = docs.where("scan_page <= 5").select("doc_id", "book_id", F.explode(X.toc_entries(line)).alias("e"))
+    entries = docs.select("doc_id", "book_id", F.explode(X.toc_entries(line)).alias("e"))
     entries = entries.select(F.col("doc_id").alias("entry_id"), "book_id", X.normalize(F.col("e.title")).alias("entry_title"), F.col("e.page").alias("page"))
     items = table(spark, d, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("title"), F.col("text").alias("body"))
     best = matching.best_surface(matching.surfaces(items, "title", "body"), entries.select("entry_id", "entry_title"))
@@ -240,7 +265,10 @@ def toc_audit(spark: SparkSession, d: str) -> DataFrame:
     return known.select("item_id", "entry_id", "basis", "score", "runner_up_gap", status.alias("status"))
 
 
-@query()
+_ISSUES = ORACLES["line_issues"].replace("SELECT unnest(string_split(text, chr(10))) AS raw FROM documents", "SELECT doc_id, unnest(string_split(text, chr(10))) AS raw FROM documents").replace("SELECT trim(raw) AS s FROM l", "SELECT doc_id, trim(raw) AS s FROM l").replace("k AS (SELECT unnest(", "k AS (SELECT doc_id, unnest(").replace("SELECT kind, count(*)::BIGINT AS n FROM k GROUP BY kind", "SELECT doc_id, count(*)::BIGINT AS issues FROM k GROUP BY doc_id")
+
+
+@query(f"SELECT d.doc_id, coalesce(i.issues, 0) AS issues, coalesce(u.unknown, 0) AS unknown, u.unknown_ratio FROM documents d LEFT JOIN ({_ISSUES}) i USING (doc_id) LEFT JOIN ({ORACLES['unknown_token_ratio']}) u USING (doc_id)")
 def text_quality(spark: SparkSession, d: str) -> DataFrame:
     """Line issues and unknown tokens of each document."""
     issues = lexicon.quality_issues(table(spark, d, "documents"), "doc_id", "text").groupBy("doc_id").agg(F.sum("n").alias("issues"))
@@ -249,7 +277,15 @@ def text_quality(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id").join(issues, "doc_id", "left").join(odd, "doc_id", "left").select("doc_id", F.coalesce("issues", F.lit(0)).alias("issues"), F.coalesce("unknown", F.lit(0)).alias("unknown"), "unknown_ratio")
 
 
-@query()
+_LETTERS = "".join(LATIN_CLASSES)
+_SIGNS = "".join(chr(0xE000 + i) for i, g in enumerate(LATIN_CLASSES) for _ in g)
+_SIX = "SELECT item_id, unnest(list_distinct(list_transform(range(1, length(c) - 4), lambda i: substr(c, i, 6)))) AS g FROM ({})"
+_COMPACT = f"SELECT item_id, replace({norm('text')}, ' ', '') AS c FROM benchmark"
+_CLASSED = f"SELECT item_id, translate(c, '{_LETTERS}', '{_SIGNS}') AS c FROM ({_COMPACT})"
+
+
+@query(f"""WITH e AS ({_SIX.format(_COMPACT)}), k AS ({_SIX.format(_CLASSED)}), p AS (SELECT a.item_id AS a_id, b.item_id AS b_id, 1.0 AS w FROM e a JOIN e b USING (g) WHERE a.item_id < b.item_id UNION ALL SELECT a.item_id, b.item_id, 0.5 FROM k a JOIN k b USING (g) WHERE a.item_id < b.item_id)
+SELECT a_id, b_id, sum(w)::DOUBLE AS score FROM p GROUP BY 1, 2 HAVING sum(w) >= 3""")
 def class_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Passages whose grams agree exactly (weight 1) and by class (0.5)."""
     t = table(spark, d, "benchmark").select("item_id", X.compact(F.col("text")).alias("c"))

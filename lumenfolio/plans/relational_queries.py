@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import audits, joins, lexicon, pages, reports, views
+from ..operators import audits, joins, lexicon, pages, reports, sequence, views
 from ..sources import readers
-from .base import norm, query, table, words
+from .base import folder, norm, query, table, words
 
 _TOKENS = f"SELECT doc_id, source, unnest(list_filter({words(norm('text'))}, lambda x: length(x) >= 3)) AS token FROM documents"
 
@@ -62,8 +62,8 @@ def zero_count_groups(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT item_id, row_number() OVER (ORDER BY CASE WHEN item_id % 3 = 0 THEN NULL ELSE item_id % 7 END ASC NULLS LAST, text)::INTEGER AS place FROM benchmark")
 def nulls_last_sort(spark: SparkSession, d: str) -> DataFrame:
     """By an order number, missing ones last, then by text."""
-    w = Window.orderBy(F.when(F.col("item_id") % 3 != 0, F.col("item_id") % 7).asc_nulls_last(), "text")
-    return table(spark, d, "benchmark").select("item_id", F.row_number().over(w).alias("place"))
+    order = [F.when(F.col("item_id") % 3 != 0, F.col("item_id") % 7).asc_nulls_last(), "text"]
+    return sequence.numbered(table(spark, d, "benchmark"), order, "place", folder(spark)).select("item_id", F.col("place").cast("int").alias("place"))
 
 
 _RULES = "(VALUES (1, 'src1', 5, 12, 'copy-a'), (2, 'src1', 10, 20, 'copy-b'), (3, 'src3', 1, 8, 'appendix'), (4, 'src0', 30, 45, 'part-two')) AS r(o, k, s, e, b)"
@@ -246,21 +246,26 @@ def asof_join(spark: SparkSession, d: str) -> DataFrame:
     return joins.asof_join(left, right, ["user_id"], "ts", "ts", ["click_id", "click_value"]).select("event_id", "click_id", "click_value")
 
 
-@query("""WITH t AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings), q AS (SELECT * FROM t WHERE vec_id % 100 = 0), s AS (SELECT q.vec_id AS query_id, t.vec_id, list_cosine_similarity(q.v, t.v) AS cosine FROM q JOIN t ON q.vec_id <> t.vec_id AND q.label = t.label),
+@query("""WITH t AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings), q AS (SELECT * FROM t WHERE vec_id % 100 = 0), s AS (SELECT q.vec_id AS query_id, t.vec_id, list_cosine_similarity(q.v, t.v) AS cosine FROM q JOIN t ON q.vec_id <> t.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cosine, 9) DESC, vec_id) AS rn FROM s) SELECT query_id, vec_id, round(cosine, 6) AS cosine FROM r WHERE rn <= 5""")
 def dense_cosine_topk(spark: SparkSession, d: str) -> DataFrame:
-    """J11 over dense vectors: the queries (ids divisible by 100) against all vectors of their label, the best five."""
-    t = table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    """J11 over dense vectors: the queries (ids divisible by 100) against all vectors, the best five.
+
+    Queries are dealt in blocks; each block is one row that meets every vector
+    once, and keeps the best of its task before anything is shuffled.
+    """
+    t = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     t = t.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
-    q = t.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "label", F.col("v").alias("q"), F.col("norm").alias("q_norm"))
-    dot = F.aggregate(F.zip_with("v", "q", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    s = t.join(q, "label").where("vec_id <> query_id").select("query_id", "vec_id", (dot / (F.col("norm") * F.col("q_norm"))).alias("cosine"))
-    w = Window.partitionBy("query_id").orderBy(F.round("cosine", 9).desc(), "vec_id")
-    return s.withColumn("rn", F.row_number().over(w)).where("rn <= 5").select("query_id", "vec_id", F.round("cosine", 6).alias("cosine"))
+    q = t.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("norm").alias("q_norm"))
+    return joins.dense_topk(t, q, 5).select("query_id", "vec_id", F.round("cosine", 6).alias("cosine"))
+
+
+_URL = "CASE page_id % 5 WHEN 0 THEN 'not a url' WHEN 1 THEN 'ftp://host/x' WHEN 2 THEN NULL ELSE url END"
 
 
-@query("SELECT page_id, CAST(NULL AS VARCHAR) AS error FROM pages WHERE false")
+@query(f"SELECT page_id, 'page-' || lpad((page_id % 1000)::VARCHAR, 3, '0') AS name, 'not a URL' AS error FROM pages WHERE coalesce(NOT regexp_matches({_URL}, '^https?://[^/ ]+'), true)")
 def checked_urls(spark: SparkSession, d: str) -> DataFrame:
-    """Pages whose URL doesn't parse; the crawled table stands for fetching."""
-    t = table(spark, d, "pages")
-    return t.where(~X.is_url(F.col("url"))).select("page_id", F.lit("not a URL").alias("error"))
+    """Pages whose URL isn't an absolute one of the web; the crawled table stands for fetching."""
+    k = F.col("page_id")
+    url = F.when(k % 5 == 0, "not a url").when(k % 5 == 1, "ftp://host/x").when(k % 5 != 2, F.col("url"))
+    return table(spark, d, "pages").where(~X.is_url(url)).select("page_id", X.numbered_id(F.lit("page"), k % 1000).alias("name"), F.lit("not a URL").alias("error"))

@@ -189,12 +189,19 @@ def stanza_lines(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.size(X.stanzas(F.col("text"))).cast("long").alias("stanzas"), F.md5(F.array_join(X.first_lines(F.col("text"), 3), "\n")).alias("first_md5"))
 
 
-@query()
+_STRIP = r"regexp_replace(x, '^[ \t\n\r\f\x0b]+|[ \t\n\r\f\x0b]+$', '', 'g')"
+_VERSE = r"text || chr(10) || '১২ *' || chr(10) || chr(10) || 'a' || chr(10) || 'b' || chr(10) || '(note)' || chr(10) || '— said' || chr(10) || 'c'"
+
+
+@query(rf"""WITH l AS (SELECT doc_id, [{_STRIP} for x in string_split({_VERSE}, chr(10))] AS l FROM documents), e AS (SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM l),
+k AS (SELECT *, CASE WHEN s = '' THEN 'blank' WHEN regexp_full_match(s, '[\p{{Nd}}*.·\-–— ]+') THEN 'section-marker' WHEN (s[1] IN ('(', '[') AND s[-1] IN (')', ']')) OR s[1] = '—' THEN 'source-note' ELSE 'stanza' END AS k FROM e),
+b AS (SELECT *, lag(k) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM k) SELECT doc_id, k AS kind, count(*)::BIGINT AS n FROM b WHERE k <> 'blank' AND (k <> 'stanza' OR before IS DISTINCT FROM 'stanza') GROUP BY doc_id, k""")
 def verse_blocks(spark: SparkSession, d: str) -> DataFrame:
     """Kinds and sizes of verse blocks."""
     from ..functions.kernels import verse_blocks as blocks
 
-    t = table(spark, d, "documents").select("doc_id", F.explode(blocks(F.col("text"))).alias("b"))
+    text = F.concat("text", F.lit("\n১২ *\n\na\nb\n(note)\n— said\nc"))
+    t = table(spark, d, "documents").select("doc_id", F.explode(blocks(text)).alias("b"))
     return t.select("doc_id", F.substring_index("b", "|", 1).alias("kind")).groupBy("doc_id", "kind").agg(F.count("*").alias("n"))
 
 

@@ -10,7 +10,8 @@ class. The model is trained here, on templates of each family, altered and
 cut, and on paragraphs that only sound like licences. Its temperature and the
 least probability for a family are calibrated on examples held out from the
 training. A prediction counts only if enough of a template of that family is
-found in the paragraph.
+found in the paragraph; a template of two words, as ``License: MIT``, is found
+only where it is the whole paragraph.
 
 All of it is DataFrame expressions: no Python runs on executors, and scoring
 is row-local, without a shuffle. Words that every confirmable paragraph must
@@ -36,7 +37,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import SPACE_CLASS, table
 from .quality_rules import let
 
 #: Usual notices of each family.
@@ -111,6 +112,14 @@ OTHERS = (
     "Terms and conditions of the warranty are in the manual.",
     "Licensed premises, licensed drivers and licensed dealers only.",
 )
+TEMPLATES["isc"] = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",)
+#: Short names of each family, as tags and identifiers have them.
+NAMES = {
+    "apache-2.0": ("Apache-2.0",), "mit": ("MIT",), "gpl-3.0": ("GPL-3.0-only", "GPL-3.0-or-later"), "gpl-2.0": ("GPL-2.0-only", "GPL-2.0-or-later"), "lgpl": ("LGPL-2.1-only", "LGPL-2.1-or-later"),
+    "bsd": ("BSD-3-Clause", "BSD-2-Clause"), "mpl-2.0": ("MPL-2.0",), "cc-by": ("CC-BY-4.0",), "cc-by-sa": ("CC-BY-SA-4.0",), "cc-by-nc": ("CC-BY-NC-4.0",), "cc0": ("CC0-1.0",), "isc": ("ISC",),
+}
+for _family, _names in NAMES.items():
+    TEMPLATES[_family] += tuple(f"SPDX-License-Identifier: {x}" for x in _names) + tuple(f"License: {x}" for x in _names)
 UNKNOWN = "unknown"
 LABELS = (UNKNOWN, *sorted(TEMPLATES))
 SLOTS = 1 << 14
@@ -265,6 +274,11 @@ def ngrams(t: Column, n: int) -> Column:
     return F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), join)).otherwise(F.array().cast("array<string>"))
 
 
+def trigrams(t: Column) -> Column:
+    """Word 3-grams, or all words of a shorter text as one, as ``grams`` makes them of a template."""
+    return F.when(F.size(t) >= 3, ngrams(t, 3)).when(F.size(t) > 0, F.array(F.array_join(t, " "))).otherwise(F.array().cast("array<string>"))
+
+
 def holds(text: Column, least: float) -> Column:
     """Whether a text has so large a share of the 3-grams of any template."""
     templates = [grams(tokens(t), (3,)) for ts in TEMPLATES.values() for t in ts]
@@ -272,7 +286,7 @@ def holds(text: Column, least: float) -> Column:
     known = array(sorted({g for x in templates for g in x}))
     share = lambda x, g: F.size(F.array_intersect(x, g)) / F.size(x)
     some = lambda g: F.exists(F.array(*map(array, templates)), lambda x: share(x, g) >= least)
-    return let(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0), lambda t: let(F.array_intersect(known, ngrams(t, 3)), lambda g: (F.size(g) > 0) & some(g)))
+    return let(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0), lambda t: let(F.array_intersect(known, trigrams(t)), lambda g: (F.size(g) > 0) & some(g)))
 
 
 def runs(lines: Column, block: Column, pattern: str) -> Column:
@@ -324,7 +338,7 @@ def scan_paragraph(paragraph: Column, model: Model) -> Column:
         total = F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp(x - F.array_max(z)))
         family = F.element_at(F.array(*map(F.lit, LABELS[1:])), F.array_position(F.slice(z, 2, k - 1), top).cast("int"))
         made = F.struct(family.alias("family"), (F.exp(top - F.array_max(z)) / total).alias("probability"))
-        return let(made, lambda m: let(F.array_distinct(ngrams(t, 3)), lambda g: F.struct(m["family"].alias("family"), m["probability"].alias("probability"), similarity(m["family"], g, t).alias("similarity"))))
+        return let(made, lambda m: let(F.array_distinct(trigrams(t)), lambda g: F.struct(m["family"].alias("family"), m["probability"].alias("probability"), similarity(m["family"], g, t).alias("similarity"))))
 
     def similarity(family: Column, g: Column, t: Column) -> Column:
         out = F.lit(0.0)
@@ -343,9 +357,10 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Per document: paragraphs, licence paragraphs, and the licences found."""
     model = model or train()
     text = F.coalesce(F.col("text"), F.lit(""))
-    pattern = r"(?i)\b(?:" + "|".join(map(re.escape, sorted(anchors()))) + r")\b"
-    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
-    blocks = F.transform(F.split(text, r"\n[^\p{L}\p{N}]*\n"), lambda x: F.filter(F.split(x, "\n"), lambda y: F.trim(y) != ""))
+    pattern = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, sorted(anchors()))) + r")(?![\p{L}\p{N}])"  # as TOKEN cuts words
+    filled = lambda x: x.rlike(f"[^{SPACE_CLASS}]")
+    lines = F.filter(F.split(text, "\n"), filled)
+    blocks = F.transform(F.split(text, r"\n[^\p{L}\p{N}]*\n"), lambda x: F.filter(F.split(x, "\n"), filled))
     likely = F.flatten(F.transform(blocks, lambda x, i: runs(x, i, pattern)))
     scanned = F.transform(likely, lambda c: let(scan_paragraph(c["text"], model), lambda s: F.struct(*[s[n].alias(n) for n in ("family", "probability", "similarity")], *[c[n].alias(n) for n in ("block", "first", "last")])))
     found = distinct_runs(F.filter(scanned, lambda s: (s["probability"] >= model.threshold) & (s["similarity"] >= MIN_SIMILARITY)))

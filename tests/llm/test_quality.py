@@ -236,3 +236,17 @@ def test_scan_finds_wrapped_notices(spark):
     rows = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")
     got = {r.doc_id: (r.families, r.n_license_paragraphs) for r in licenses.scan(rows).collect()}
     assert got == {i: (f, n) for i, (_, f, n) in enumerate(cases)}
+
+
+def test_scan_finds_tags_and_marked_up_notices(spark):
+    """Identifiers, short tags, the ISC grant, and words that underscores or other signs set off; not mere mentions."""
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies."
+    cases = [
+        ("// SPDX-License-Identifier: MIT", "mit"), ("# SPDX-License-Identifier: Apache-2.0\nimport x", "apache-2.0"), ("SPDX-License-Identifier: GPL-2.0-only", "gpl-2.0"), ("License: CC-BY-SA-3.0", "cc-by-sa"), ("text before\n\nLicense: MIT\n\nmore", "mit"),
+        (isc, "isc"), ("_Released_ _under_ _the_ _MIT_ _License_.", "mit"), ("**Licensed under the BSD 3-Clause License.**", "bsd"),
+        ("The license: mit students wrote a long text about it.", ""), ("MIT and ISC are names. A license is a text.", ""), ("\t\t\n \t", ""),
+    ]
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(rows).collect()}
+    assert {i: r.families for i, r in got.items()} == {i: f for i, (_, f) in enumerate(cases)}
+    assert got[len(cases) - 1].n_paragraphs == 0

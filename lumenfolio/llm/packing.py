@@ -53,8 +53,8 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-#: Distinct pre-tokens kept by a process; the cache starts anew beyond it.
-CACHE_WORDS = 800_000
+#: Distinct pre-tokens kept by a process; beyond it only those of one token, which are the frequent ones, stay.
+CACHE_WORDS = 500_000
 #: Code points below it, whose classes are fixed, are split here; texts with others are left to the library.
 LATIN_END = 0x250
 
@@ -116,7 +116,7 @@ class ByteLevelEncoder:
     def learn(self, words: set[str]) -> None:
         """Encode the pre-tokens that aren't known yet."""
         if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
+            self.cache = {w: ids for w, ids in self.cache.items() if len(ids) == 4}
         new = words.difference(self.cache)
         blank = [w for w in new if w.isspace()]
         solid = list(new.difference(blank))
@@ -125,8 +125,17 @@ class ByteLevelEncoder:
             part = solid[a : a + 2000]
             self.cache.update(zip(part, self.lines(part), strict=True))
 
+    @staticmethod
+    def latin(text: str) -> bool:
+        """Whether all code points are below LATIN_END; most texts that are, are Latin-1, which is quicker to see."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return ord(max(text)) < LATIN_END
+        return True
+
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [self.by_word and (t.isascii() or ord(max(t)) < LATIN_END) and not any(s in t for s in self.special) for t in texts]
+        plain = [self.by_word and self.latin(t) and not any(s in t for s in self.special) for t in texts]
         split = [self.split(t) if p else [] for t, p in zip(texts, plain, strict=True)]
         self.learn(set().union(*split))
         others = iter(self.alone([t for t, p in zip(texts, plain, strict=True) if not p]))

@@ -28,7 +28,7 @@ def grouped(docs: DataFrame, by: list[Column], total_bytes: int, group_bytes: in
 
 def group_size(total_bytes: int, least: int, most: int) -> int:
     """Bytes of a group's texts: they grow as the root of the total, so that what a group sends to a shard doesn't dwindle, up to what a worker can hold."""
-    return int(min(most, max(least, 134 * total_bytes**0.5)))
+    return int(min(most, max(least, 90 * total_bytes**0.5)))
 
 
 def log2(n: float, least: int, most: int = 60) -> int:

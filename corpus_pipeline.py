@@ -59,7 +59,9 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     keys = grouped.groupBy("rid", "rid2").agg(F.max(wins).alias("wins"), F.count("*").alias("copies"))
     keys = scratch.keep(keys.where("NOT wins OR copies > 1"))
     rows = docs.select(*near_dedup.row_keys(docs), F.struct("*").alias("row"))
-    out = rows.join(keys, ["rid", "rid2"], "left_anti").select("row")
+    sent = keys.select("rid", "rid2")
+    sent = F.broadcast(sent) if sent.count() <= near_dedup.BROADCAST_IDS else sent  # or else the texts are shuffled
+    out = rows.join(sent, ["rid", "rid2"], "left_anti").select("row")
     if keys.where("wins").limit(1).count():
         out = out.union(rows.join(keys.where("wins"), ["rid", "rid2"], "left_semi").groupBy("rid", "rid2").agg(F.first("row").alias("row")).select("row"))
     return out.select("row.*")

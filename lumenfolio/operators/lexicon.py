@@ -65,6 +65,8 @@ def suggestions(odd: DataFrame, known: DataFrame, most: int = 5, least_ratio: fl
     left = a.join(have, "odd_token", "left").withColumn("have", F.coalesce("have", F.lit(0))).where(F.col("have") < most)
     lengths = left.withColumn("len", F.explode(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda d: F.length("odd_token") + d)))
     pairs = lengths.join(usable, (F.substring("odd_token", 1, 1) == F.substring("token", 1, 1)) & (F.col("len") == F.length("token")))
+    # no common subsequence is longer than the edit distance leaves, so only pairs that can reach the ratio come to the kernel
+    pairs = pairs.where(F.levenshtein("odd_token", "token") <= (1 - least_ratio) * (F.length("odd_token") + F.length("token")) + 1e-9)
     similar = less_own(pairs.where(F.col("token") != F.col("odd_token")).select("odd_token", "have", "token", "count")).withColumn("score", gestalt_ratio(F.col("odd_token"), F.col("token"))).where(F.col("score") >= least_ratio)
     rank = F.row_number().over(Window.partitionBy("odd_token").orderBy(F.col("count").desc(), "token"))
     similar = similar.withColumn("rn", rank).where(F.col("rn") <= 6 * most - F.col("have")).select("odd_token", "token", "score", "count", F.lit("edit_similarity").alias("basis"))

@@ -147,3 +147,20 @@ def test_numbers_of_a_global_order(spark):
     got = {(r.a, r.b): r.place for r in sequence.numbered(t, ["a", F.col("b").desc()], "place", folder(spark)).collect()}
     assert got == {x: i + 1 for i, x in enumerate(sorted(rows, key=lambda x: (x[0], -x[1])))}
     assert sequence.numbered(t.limit(0), ["a"], "place", folder(spark)).count() == 0
+
+
+def test_best_surface_loses_none(spark):
+    """Length and edit-distance bounds leave every pair that shares a token and reaches the least score."""
+    rnd = random.Random(7)
+    vocabulary = [f"w{chr(97 + i)}{chr(97 + j)}rd" for i in range(6) for j in range(5)]
+    surface = [(i, "title" if i % 2 else "body_line", None if i % 2 else 1, " ".join(rnd.choices(vocabulary, k=rnd.randint(1, 5)))) for i in range(40)]
+    entries = []
+    for k in range(80):
+        t = surface[rnd.randrange(40)][3]
+        entries.append((k, rnd.choice([t, t + " more", t[:-1] + "x", t.replace("a", "b", 1), " ".join(rnd.choices(vocabulary, k=3))])))
+    s = spark.createDataFrame(surface, "item_id long, basis string, line_index int, text string")
+    e = spark.createDataFrame(entries, "entry_id long, entry_title string")
+    brute = s.crossJoin(e).where(F.arrays_overlap(X.token_set(F.col("text"), 2), X.token_set(F.col("entry_title"), 2))).withColumn("score", matching.title_similarity(F.col("text"), F.col("entry_title")))
+    want = {(r.item_id, r.entry_id): r.score for r in brute.where("score >= 0.82").collect()}
+    got = {(r.item_id, r.entry_id): r.score for r in matching.best_surface(s, e).collect()}
+    assert got == want and len(got) > 20

@@ -169,6 +169,21 @@ def longest_integer_run(values: Column) -> Column:
     return F.aggregate(F.array_sort(F.array_distinct(F.array_compact(values))), start, step)["best"]
 
 
+def longest_flag_runs(rows: DataFrame, keys: list[str], order: list[str], flag: Column, name: str = "longest") -> DataFrame:
+    """W9 over rows: the longest run of rows with the flag of each key, 0 without any; islands by windows, so no key is gathered."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    n = F.when(flag, 1).otherwise(0)
+    t = rows.withColumn("__f", n).withColumn("__g", F.row_number().over(w) - F.sum("__f").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return t.groupBy(*keys, "__g").agg(F.sum("__f").alias("__n")).groupBy(*keys).agg(F.max("__n").cast("int").alias(name))
+
+
+def longest_number_runs(rows: DataFrame, keys: list[str], value: str, name: str = "longest") -> DataFrame:
+    """W10 over rows: the longest run of consecutive integers of each key, repeats counted once."""
+    t = rows.select(*keys, value).where(F.col(value).isNotNull()).distinct()
+    t = t.withColumn("__g", F.col(value) - F.row_number().over(Window.partitionBy(*keys).orderBy(value)))
+    return t.groupBy(*keys, "__g").agg(F.count("*").alias("__n")).groupBy(*keys).agg(F.max("__n").cast("int").alias(name))
+
+
 def gap_groups(rows: DataFrame, keys: list[str], order: str, gap: int = 1, name: str = "grp") -> DataFrame:
     """A new group where the step to the row before is more than ``gap``."""
     w = Window.partitionBy(*keys).orderBy(order)

@@ -84,7 +84,7 @@ def anchor_flag(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def span_proposal(spark: SparkSession, d: str) -> DataFrame:
-    """The proposed span of each passage; a Python model checks the walk in the tests."""
+    """The proposed span of each passage; the walk is checked by hand-made cases in the tests."""
     passages, pages = corpus(spark, d)
     t = matching.propose(passages, pages)
     return t.select("item_id", "book_id", "start_scan", "end_scan", "printed_page_start", "printed_page_end", "score", F.array_join("evidence", ",").alias("evidence"), "basis", "anchor_count", "line_matches", "exact_matches", "gap", "status")

@@ -70,16 +70,15 @@ def seq_repaired(spark: SparkSession, d: str) -> DataFrame:
 SELECT user_id, coalesce(max(n), 0)::INTEGER AS longest FROM (SELECT user_id, grp, count(*) FILTER (WHERE f) AS n FROM g GROUP BY user_id, grp, f) GROUP BY user_id""")
 def longest_run(spark: SparkSession, d: str) -> DataFrame:
     """Each user's longest run of events over 50."""
-    e = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", (F.col("value") > 50).alias("f")))).alias("e"))
-    return e.select("user_id", S.longest_true_run(F.transform("e", lambda x: x["f"])).alias("longest"))
+    return S.longest_flag_runs(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], F.col("value") > 50)
 
 
 @query("""WITH e AS (SELECT DISTINCT user_id, floor(epoch(ts) / 3600)::BIGINT AS h FROM events), g AS (SELECT user_id, h - row_number() OVER (PARTITION BY user_id ORDER BY h) AS grp FROM e)
 SELECT user_id, max(n)::INTEGER AS longest FROM (SELECT user_id, count(*) AS n FROM g GROUP BY user_id, grp) GROUP BY user_id""")
 def consecutive_run(spark: SparkSession, d: str) -> DataFrame:
     """Each user's longest run of consecutive hours."""
-    h = F.floor(F.unix_timestamp("ts") / 3600)
-    return table(spark, d, "events").groupBy("user_id").agg(F.collect_set(h).alias("h")).select("user_id", S.longest_integer_run(F.col("h")).alias("longest"))
+    hours = table(spark, d, "events").select("user_id", F.floor(F.unix_timestamp("ts") / 3600).alias("h"))
+    return S.longest_number_runs(hours, ["user_id"], "h")
 
 
 _HOURS = "SELECT DISTINCT user_id, floor(epoch(ts) / 3600)::BIGINT AS h FROM events"

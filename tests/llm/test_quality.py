@@ -250,3 +250,54 @@ def test_scan_finds_tags_and_marked_up_notices(spark):
     got = {r.doc_id: r for r in licenses.scan(rows).collect()}
     assert {i: r.families for i, r in got.items()} == {i: f for i, (_, f) in enumerate(cases)}
     assert got[len(cases) - 1].n_paragraphs == 0
+
+
+def test_gam_scores_are_table_sums():
+    """Vectorised bin additions against one row at a time."""
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(400, 4))
+    model = quality_gam.fit(x, ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float), rounds=20, pair_rounds=10, pairs=2)
+    for row, got in zip(x[:60], model.score(x[:60])):
+        bins = [sum(1 for e in edges if e <= v) for edges, v in zip(model.edges, row)]
+        logit = model.intercept + sum(t[b] for t, b in zip(model.tables, bins)) + sum(t[a[bins[i]], c[bins[j]]] for i, j, a, c, t in model.pairs)
+        assert abs(got - 1 / (1 + np.exp(-logit))) < 1e-12
+
+
+def test_gam_trees_take_the_best_cuts():
+    """The first cut of a tree, and the quadrants of a pair, against every possible one."""
+    rnd = np.random.default_rng(4)
+    ridge = 4.0
+    gain = lambda g, h: g * g / (h + ridge)
+    for _ in range(40):
+        g, h = rnd.normal(size=9), rnd.uniform(0.1, 2, 9)
+        gains = [gain(g[:k].sum(), h[:k].sum()) + gain(g[k:].sum(), h[k:].sum()) for k in range(1, 9)]
+        tree = quality_gam._tree(g, h, 2, ridge)
+        k = 1 + int(np.argmax(gains))
+        if max(gains) > gain(g.sum(), h.sum()) + 1e-9:
+            assert np.allclose(tree, [g[:k].sum() / (h[:k].sum() + ridge)] * k + [g[k:].sum() / (h[k:].sum() + ridge)] * (9 - k))
+        grid, weight = rnd.normal(size=(4, 5)), rnd.uniform(0.1, 2, (4, 5))
+        best = max(sum(gain(grid[a, b].sum(), weight[a, b].sum()) for a in (slice(0, i), slice(i, None)) for b in (slice(0, j), slice(j, None))) for i in range(1, 4) for j in range(1, 5))
+        found, values = quality_gam._quadrants(grid, weight, ridge)
+        assert abs(found - best) < 1e-9 and len(np.unique(values.round(12))) <= 4
+
+
+def test_scan_of_single_lines_against_brute_force(spark, docs):
+    """Every line of the table, without the prefilter and one at a time: those that are a licence by the model and a template."""
+    model = licenses.train()
+    templates = {f: [licenses.grams(licenses.tokens(t), (3,)) for t in ts] for f, ts in licenses.TEMPLATES.items()}
+
+    def family(line):
+        words = licenses.tokens(line)
+        if not words:
+            return None
+        p = model.probabilities(words)
+        best = 1 + int(p[1:].argmax())
+        own = set(licenses.grams(words, (3,)))
+        share = max(sum(g in own for g in t) / len(t) for t in templates[licenses.LABELS[best]])
+        return licenses.LABELS[best] if p[best] >= model.threshold and share >= licenses.MIN_SIMILARITY else None
+
+    lines = sorted({x for r in docs.collect() for x in (r.text or "").split("\n") if len(x) < 400})
+    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.license for r in licenses.scan(rows).collect()}
+    want = {i: family(x) for i, x in enumerate(lines)}
+    assert got == want and sum(f is not None for f in want.values()) >= 3

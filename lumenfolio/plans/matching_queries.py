@@ -254,7 +254,8 @@ def levenshtein_suggestions(spark: SparkSession, d: str) -> DataFrame:
 def toc_audit(spark: SparkSession, d: str) -> DataFrame:
     """passages' titles and lines against the entries of made-up contents lines."""
     docs = P.document_pages(table(spark, d, "documents"))
-    line = F.concat(F.get(F.split("text", "\n"), F.lit(0)), F.lit(" "), F.col("scan_page").cast("string"))
+    head = F.array_join(F.slice(F.split(F.get(F.split("text", "\n"), F.lit(0)), " "), 1, 6), " ")
+    line = F.concat(head, F.lit(" "), F.col("scan_page").cast("string"))
     entries = docs.select("doc_id", "book_id", F.explode(X.toc_entries(line)).alias("e"))
     entries = entries.select(F.col("doc_id").alias("entry_id"), "book_id", X.normalize(F.col("e.title")).alias("entry_title"), F.col("e.page").alias("page"))
     items = table(spark, d, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("title"), F.col("text").alias("body"))

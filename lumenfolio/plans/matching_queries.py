@@ -259,7 +259,8 @@ def toc_audit(spark: SparkSession, d: str) -> DataFrame:
     entries = docs.select("doc_id", "book_id", F.explode(X.toc_entries(line)).alias("e"))
     entries = entries.select(F.col("doc_id").alias("entry_id"), "book_id", X.normalize(F.col("e.title")).alias("entry_title"), F.col("e.page").alias("page"))
     items = table(spark, d, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("title"), F.col("text").alias("body"))
-    best = matching.best_surface(matching.surfaces(items, "title", "body"), entries.select("entry_id", "entry_title"))
+    # documents' heads are no titles of these passages, so what is asked for is less than a review would ask for
+    best = matching.best_surface(matching.surfaces(items, "title", "body"), entries.select("entry_id", "entry_title"), 0.5)
     top = sequence.runner_up(best, ["item_id"], "score", ["entry_id"])
     known = top.join(entries.select("entry_id", "book_id", "page"), "entry_id", "left")
     status = matching.toc_status(F.col("page").isNotNull(), F.lit(False), F.col("basis"), F.lit(False), F.lit(True), F.col("score"), F.coalesce("runner_up_gap", F.col("score")))

@@ -42,6 +42,13 @@ def folder(spark: SparkSession) -> str:
     return f"{found}/lumenfolio/{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: worked out once, however many steps read it, and safe from lost executors."""
+    path = folder(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # SQL fragments: the Latin normalisation profile, and words of a normalised text.
 WS = r"[ \t\n\r\f\x0b]"
 

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.profiles import LATIN_CLASSES
-from ..operators import audits, joins, lexicon, matching, reports, sequence
+from ..operators import audits, joins, lexicon, matching, page_pool, regions, reports, sequence
 from ..operators import pages as P
 from . import text_queries  # noqa: F401  (its SQL is part of some here)
-from .base import ORACLES, norm, query, table, words
+from .base import ORACLES, norm, query, table, words, written
 from .relational_queries import document_tokens
 
 _WINDOWS = """w AS (SELECT id, list_filter({words}, lambda x: NOT regexp_full_match(x, '[0-9]+') AND length(x) >= 2) AS w FROM (SELECT {id} AS id, {norm} AS n FROM {table})), s AS (SELECT id, w, unnest([6, 5, 4]) AS size FROM w), p AS (SELECT id, w, size, unnest(range(0, len(w) - size + 1)) AS start FROM s) SELECT id, start, size, array_to_string(w[start + 1:start + size], ' ') AS phrase FROM p"""
@@ -123,9 +123,11 @@ def passage_lines(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "benchmark").select("item_id", F.explode(cut).alias("l")).select("item_id", "l.*")
 
 
-def _audit_pages(spark: SparkSession, d: str) -> DataFrame:
-    p = P.document_pages(table(spark, d, "documents")).withColumnRenamed("doc_id", "page_id")
-    return p.withColumns({"printed_page": F.when(F.col("page_id") % 9 != 0, F.col("scan_page")), "text": F.coalesce("text", F.lit(""))})
+def _audit_pages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Documents cut into pages (written), and their places: page_id, book_id, scan_page, printed_page."""
+    texts = written(matching.leaves(table(spark, d, "documents")))
+    places = matching.leaf_numbers(texts)
+    return texts, places.withColumn("printed_page", F.when(F.col("scan_page") % 9 != 0, F.col("scan_page")))
 
 
 @query()
@@ -141,13 +143,91 @@ def _reviewed(best: DataFrame, status: Column) -> DataFrame:
     return best.select("item_id", "book_id", F.col("start").alias("start_scan"), F.col("end").alias("end_scan"), "line_matches", "exact_lines", "longest_line_run", "ordered_run", F.round("total_score", 4).alias("total_score"), status.alias("status"))
 
 
+def _texts(t: DataFrame, key: str, name: str, plain: Column) -> DataFrame:
+    """A side of the page pool: its id, a text and the text's class signature."""
+    return t.select(F.col(key).alias(name), plain.alias("plain")).withColumn("signed", X.class_signature(F.col("plain"), LATIN_CLASSES))
+
+
+def _gram_texts(t: DataFrame, key: str, name: str, normal: bool = False) -> DataFrame:
+    return _texts(t, key, name, F.translate("text", " \n", "") if normal else X.compact(F.col("text")))
+
+
+def _token_texts(t: DataFrame, key: str, name: str, normal: bool = False) -> DataFrame:
+    return _texts(t, key, name, F.translate("text", "\n", " ") if normal else X.normalize(F.col("text")))
+
+
+def _pool(spark: SparkSession, d: str, pages: DataFrame, texts, features, top: int, **least: float) -> DataFrame:
+    """The exact page pool of all passages, written, as several steps read it."""
+    return written(page_pool.page_pool(texts(table(spark, d, "benchmark"), "item_id", "item_id"), texts(pages, pages.columns[0], "page_id", pages.columns[0] == "page_id"), features, top, **least))
+
+
+#: Sizes of n-grams and pages of the fuzzy pool (twice the pages that vectors leave), and pages of the ordered one.
+POOL_GRAMS, FUZZY_PAGES, ORDERED_PAGES = 5, 16, 36
+
+
+def fuzzy_pool(spark: SparkSession, d: str, pages: DataFrame) -> DataFrame:
+    return _pool(spark, d, pages, _gram_texts, page_pool.gram_features(POOL_GRAMS), FUZZY_PAGES, least_sum=3.0 * POOL_GRAMS)
+
+
+def ordered_pool(spark: SparkSession, d: str, pages: DataFrame) -> DataFrame:
+    return _pool(spark, d, pages, _token_texts, page_pool.token_features(), ORDERED_PAGES, least_share=0.02)
+
+
+_LETTERS = "".join(LATIN_CLASSES)
+_SIGNS = "".join(chr(0xE000 + i) for i, g in enumerate(LATIN_CLASSES) for _ in g)
+
+
+def _pool_sql(features: str, top: int, able: str) -> str:
+    """All pairs' common features and classes; ``features`` is a list over a text t."""
+    part = lambda name, key: f"SELECT {key} AS id, {features.format(t='n')} AS e, {features.format(t=f"translate(n, '{_LETTERS}', '{_SIGNS}')")} AS c FROM (SELECT {key}, {norm('text')} AS n FROM {name})"
+    return f"""WITH a AS MATERIALIZED ({part('benchmark', 'item_id')}), b AS MATERIALIZED ({part('documents', 'doc_id')}), ae AS (SELECT id, len(e) AS n, unnest(e) AS f FROM a), be AS (SELECT id, unnest(e) AS f FROM b), ac AS (SELECT id, unnest(c) AS f FROM a), bc AS (SELECT id, unnest(c) AS f FROM b),
+e AS (SELECT ae.id AS item_id, be.id AS doc_id, count(*) AS e FROM ae JOIN be USING (f) GROUP BY 1, 2), c AS (SELECT ac.id AS item_id, bc.id AS doc_id, count(*) AS c FROM ac JOIN bc USING (f) GROUP BY 1, 2), n AS (SELECT id AS item_id, len(e) AS n FROM a),
+p AS (SELECT item_id, doc_id, n, coalesce(e, 0) AS e, c, coalesce(e, 0) + 0.5 * greatest(0, c - coalesce(e, 0)) AS score FROM c LEFT JOIN e USING (item_id, doc_id) JOIN n USING (item_id))
+SELECT item_id, doc_id, score::DOUBLE AS score, e::BIGINT AS exact, c::BIGINT AS by_class FROM p WHERE {able} QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, e DESC, doc_id) <= {top}"""
+
+
+#: All 5-grams of a text without spaces: those at each of five offsets are neighbours that don't overlap.
+_FIVE = "list_distinct(flatten([{parts}]))".replace("{parts}", ", ".join(f"regexp_extract_all(substr(replace({{t}}, ' ', ''), {k + 1}), '.{{{{5}}}}')" for k in range(POOL_GRAMS)))
+
+
+@query(_pool_sql(_FIVE, FUZZY_PAGES, f"e + c >= {3 * POOL_GRAMS}"))
+def fuzzy_pages(spark: SparkSession, d: str) -> DataFrame:
+    """J9 and the first step of M10: of all documents those that share most 5-grams with a passage, class ones by half."""
+    return fuzzy_pool(spark, d, table(spark, d, "documents").select("doc_id", "text")).withColumnRenamed("page_id", "doc_id")
+
+
+@query(_pool_sql("list_distinct(list_filter(string_split({t}, ' '), lambda x: length(x) >= 3))", ORDERED_PAGES, "score >= 0.02 * n"))
+def ordered_pages(spark: SparkSession, d: str) -> DataFrame:
+    """J9 and the first step of M12: of all documents those that share most words with a passage."""
+    return ordered_pool(spark, d, table(spark, d, "documents").select("doc_id", "text")).withColumnRenamed("page_id", "doc_id")
+
+
+def _chosen(pages: DataFrame, pool: DataFrame) -> DataFrame:
+    return pages.join(pool.select("page_id").distinct(), "page_id", "left_semi")
+
+
+def _vector_pages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Places of pages, lines, regions of the pool's pages (written), and the pages that vectors leave (M8)."""
+    texts, places = _audit_pages(spark, d)
+    pool = fuzzy_pool(spark, d, texts.select("page_id", "text"))
+    lines = regions.gathered_lines(passage_lines(spark, d))
+    made = written(matching.page_regions(_chosen(texts, pool)))
+    return places, lines, made, regions.vector_pages(pool, lines, made)
+
+
+@query()
+def vector_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Of each passage's pool the eight pages whose regions' vectors are nearest to its representative lines."""
+    found = _vector_pages(spark, d)[3]
+    return found.select("item_id", "page_id", "ordered_run", "line_run", "line_hits", F.round("vector_score", 6).alias("vector_score"))
+
+
 @query()
 def fuzzy_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Fuzzy lines of passages on the documents that share their rare grams."""
-    lines, pages = passage_lines(spark, d), _audit_pages(spark, d)
-    plain = X.compact(F.col("text"))
-    pairs = matching.page_pool(table(spark, d, "benchmark"), pages, X.char_ngram_set(plain, 5), X.char_ngram_set(X.class_signature(plain, LATIN_CLASSES), 5), 8)
-    found = matching.audit_candidates(matching.fuzzy_matches(pairs, lines, matching.regions_of(pages)), pages, 2)
+    """Fuzzy lines of passages on the pages that share most grams and are nearest by vectors."""
+    places, lines, made, chosen = _vector_pages(spark, d)
+    matches = written(regions.fuzzy_matches(chosen, lines, made))
+    found = matching.audit_candidates(matches, places, 2)
     best = matching.best_candidates(found.withColumn("score", F.col("total_score")), reports.fuzzy_candidate_order())
     paged = F.col("printed_page_start").isNotNull() & F.col("printed_page_end").isNotNull()
     return _reviewed(best, matching.fuzzy_status(paged, F.col("longest_line_run"), F.col("ordered_run"), F.col("exact_lines"), F.col("line_matches"), F.col("span_pages"), F.col("item_id") % 4 == 0))
@@ -155,12 +235,13 @@ def fuzzy_audit(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def ordered_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Ordered tokens of passages' lines on the documents that share their rare tokens."""
-    lines, pages = passage_lines(spark, d), _audit_pages(spark, d)
-    tokens = X.token_set(X.normalize(F.col("text")))
-    pairs = matching.page_pool(table(spark, d, "benchmark"), pages, tokens, F.transform(tokens, lambda x: X.class_signature(x, LATIN_CLASSES)), 36)
-    regions = matching.regions_of(pages, 4, 700, 3)
-    found = matching.audit_candidates(matching.ordered_matches(pairs, lines.where(F.size(X.token_list(F.col("text"))) >= 3), regions), pages, 3, strict=False)
+    """Ordered tokens of passages' lines on the pages that share most words."""
+    texts, places = _audit_pages(spark, d)
+    pool = ordered_pool(spark, d, texts.select("page_id", "text"))
+    lines = regions.gathered_lines(passage_lines(spark, d).where(F.size(X.token_list(F.col("text"))) >= 3))
+    made = written(matching.page_regions(_chosen(texts, pool), 4, 700, 3))
+    matches = written(regions.ordered_matches(pool, lines, made))
+    found = matching.audit_candidates(matches, places, 3, strict=False)
     best = matching.best_candidates(found.withColumn("score", F.col("total_score")), reports.ordered_candidate_order())
     paged = F.col("printed_page_start").isNotNull() & F.col("printed_page_end").isNotNull()
     return _reviewed(best, matching.ordered_status(paged, F.col("ordered_run"), F.col("exact_lines"), F.col("line_matches"), F.col("span_pages"), F.col("item_id") % 4 == 0))
@@ -279,8 +360,6 @@ def text_quality(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id").join(issues, "doc_id", "left").join(odd, "doc_id", "left").select("doc_id", F.coalesce("issues", F.lit(0)).alias("issues"), F.coalesce("unknown", F.lit(0)).alias("unknown"), "unknown_ratio")
 
 
-_LETTERS = "".join(LATIN_CLASSES)
-_SIGNS = "".join(chr(0xE000 + i) for i, g in enumerate(LATIN_CLASSES) for _ in g)
 _SIX = "SELECT item_id, unnest(list_distinct(list_transform(range(1, length(c) - 4), lambda i: substr(c, i, 6)))) AS g FROM ({})"
 _COMPACT = f"SELECT item_id, replace({norm('text')}, ' ', '') AS c FROM benchmark"
 _CLASSED = f"SELECT item_id, translate(c, '{_LETTERS}', '{_SIGNS}') AS c FROM ({_COMPACT})"

@@ -1,12 +1,14 @@
 """Matchers against brute force over all pairs, and rules that no driver row fires."""
 
 import random
+import zlib
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from lumenfolio.functions import text as X
-from lumenfolio.operators import gates, matching, sequence
+from lumenfolio.operators import gates, matching, page_pool, regions, sequence
 from lumenfolio.plans import evidence_queries
 from lumenfolio.plans.base import folder
 
@@ -94,34 +96,196 @@ def audit_input(spark, seed=3):
 
 
 def test_fuzzy_lines_against_all_pairs(spark):
-    """The page pool and the bounds before the kernels find at least nine tenths of what all pairs and regions give; here all of it."""
-    items, pages, lines, whole, frame = audit_input(spark)
-    regions = matching.regions_of(frame)
+    """The kernel over arrays finds what the definition of M7 finds in all pairs and regions."""
+    items, pages, lines, _, frame = audit_input(spark)
+    windows = matching.regions_of(frame)
     every = spark.createDataFrame([(i, p[0]) for i, _ in items for p in pages], "item_id long, page_id long")
-    plain = X.compact(F.col("text"))
-    pool = matching.page_pool(whole, frame, X.char_ngram_set(plain, 5), X.char_ngram_set(X.class_signature(plain, matching.LATIN_CLASSES), 5), 8)
     bare = lambda c: F.replace(c, F.lit(" "), F.lit(""))
     score = matching.fuzzy_line_score(bare(F.col("line")), bare(F.col("text")))
-    brute = every.join(lines.withColumnRenamed("text", "line"), "item_id").join(regions, "page_id").withColumn("s", F.when(F.contains("text", "line"), 1.0).otherwise(score))
-    want = {(r.item_id, r.line_index, r.page_id) for r in brute.where("s >= 0.62").select("item_id", "line_index", "page_id").distinct().collect()}
-    got = {(r.item_id, r.line_index, r.page_id) for r in matching.fuzzy_matches(pool, lines, regions).collect()}
-    assert got <= want and len(got) >= 0.9 * len(want) and len(want) >= 30
+    brute = every.join(lines.withColumnRenamed("text", "line"), "item_id").join(windows, "page_id").withColumn("s", F.when(F.contains("text", "line"), 1.0).otherwise(score))
+    want = {(r.item_id, r.line_index, r.page_id): r.s for r in brute.where("s >= 0.62").groupBy("item_id", "line_index", "page_id").agg(F.max("s").alias("s")).collect()}
+    found = regions.fuzzy_matches(every, regions.gathered_lines(lines), matching.page_regions(frame)).collect()
+    got = {(r.item_id, r.line_index, r.page_id): r.score for r in found}
+    assert got == pytest.approx(want) and len(want) >= 30 and len(got) == len(found)
 
 
 def test_ordered_lines_against_all_pairs(spark):
-    items, pages, lines, whole, frame = audit_input(spark)
-    regions = matching.regions_of(frame, 4, 700, 3)
+    items, pages, lines, _, frame = audit_input(spark)
+    windows = matching.regions_of(frame, 4, 700, 3)
     every = spark.createDataFrame([(i, p[0]) for i, _ in items for p in pages], "item_id long, page_id long")
-    brute = every.join(lines.withColumnRenamed("text", "line"), "item_id").join(regions, "page_id").withColumn("s", matching.ordered_token_score(F.col("line"), F.col("text")))
-    want = {(r.item_id, r.line_index, r.page_id) for r in brute.where("s >= 0.78").select("item_id", "line_index", "page_id").distinct().collect()}
-    got = {(r.item_id, r.line_index, r.page_id) for r in matching.ordered_matches(every, lines, regions).collect()}
-    assert got == want and want
-    found = matching.audit_candidates(matching.fuzzy_matches(every, lines, matching.regions_of(frame)), frame, 2)
+    brute = every.join(lines.withColumnRenamed("text", "line"), "item_id").join(windows, "page_id").withColumn("s", matching.ordered_token_score(F.col("line"), F.col("text")))
+    want = {(r.item_id, r.line_index, r.page_id): r.s for r in brute.where("s >= 0.78").groupBy("item_id", "line_index", "page_id").agg(F.max("s").alias("s")).collect()}
+    gathered = regions.gathered_lines(lines)
+    got = {(r.item_id, r.line_index, r.page_id): r.score for r in regions.ordered_matches(every, gathered, matching.page_regions(frame, 4, 700, 3)).collect()}
+    assert got == pytest.approx(want) and want
+    found = matching.audit_candidates(regions.fuzzy_matches(every, gathered, matching.page_regions(frame)), frame, 2)
     best = {r.item_id: r for r in matching.best_candidates(found.withColumn("score", F.col("total_score")), [F.col("line_matches").desc()]).collect()}
     for i in range(12):
         assert best[i].book_id == f"b{i % 3}" and best[i].start <= i // 3 <= best[i].end and best[i].ordered_run >= 2
 
 
+SIGNS = regions.signature_table()
+PAGE = "page_id long, book_id string, text string"
+
+
+def hot_input(spark, n=520, seed=11):
+    """Over 500 pages of a small vocabulary; one passage stands on half of them, others on a few, one nowhere."""
+    rnd = random.Random(seed)
+    vocabulary = ["".join(rnd.choice("abcdeimnoprstu") for _ in range(rnd.randint(3, 8))) for _ in range(300)]
+    items = [(i, " ".join(rnd.choices(vocabulary, k=30))) for i in range(9)] + [(9, ""), (10, "zzz qqq www")]
+    pages = []
+    for p in range(n):
+        words = rnd.choices(vocabulary, k=60)
+        if p % 2:
+            words += items[0][1].split()
+        if p % 40 == 3:
+            words += items[1 + p // 40 % 8][1].split()[: rnd.randint(5, 30)]
+        rnd.shuffle(words) if p % 7 == 0 else None
+        pages.append((p, f"b{p % 4}", " ".join(words)))
+    side = lambda t: t.withColumns({"plain": F.replace("text", F.lit(" "), F.lit("")), "signed": F.translate(F.replace("text", F.lit(" "), F.lit("")), *signs())})
+    return items, pages, side(spark.createDataFrame(items, "item_id long, text string")), side(spark.createDataFrame(pages, PAGE)).repartition(5)
+
+
+def signs():
+    return "".join(map(chr, SIGNS)), "".join(map(chr, SIGNS.values()))
+
+
+def pooled(items, pages, features, top, least_sum, allowed=None):
+    """Every passage against every page."""
+    out = set()
+    made = {p: (features(t), features(t.translate(SIGNS))) for p, _, t in pages}
+    for i, text in items:
+        e0, c0 = features(text), features(text.translate(SIGNS))
+        rows = []
+        for p, book, _ in pages:
+            e, c = len(e0 & made[p][0]), len(c0 & made[p][1])
+            if e + c >= least_sum and (allowed is None or allowed.get(i) is None or book in allowed[i]):
+                rows.append((-max(e, (e + c) / 2), -e, p, c))
+        out |= {(i, p, -s, -e, c) for s, e, p, c in sorted(rows)[:top]}
+    return out
+
+
+@pytest.mark.parametrize("block", [1 << 22, 400])
+def test_page_pool_against_all_pairs(spark, monkeypatch, block):
+    """No page is lost to a common gram, in one block of passages or many, with ties and with allowed books."""
+    monkeypatch.setattr(page_pool, "BLOCK_BYTES", block)
+    items, pages, a, b = hot_input(spark)
+    five = lambda t: set(regions.grams(t.replace(" ", ""), 5))
+    got = {tuple(r) for r in page_pool.page_pool(a, b, page_pool.gram_features(5), 16, least_sum=15.0).select("item_id", "page_id", "score", "exact", "by_class").collect()}
+    want = pooled(items, pages, five, 16, 15)
+    assert got == want and len([x for x in want if x[0] == 0]) == 16 and len(want) > 100
+    books = {0: ["b1"], 1: [], 2: None, 3: ["b0", "b3"]}
+    limited = a.withColumn("allowed", F.expr("CASE item_id WHEN 0 THEN array('b1') WHEN 1 THEN array() WHEN 3 THEN array('b0', 'b3') END"))
+    got = {tuple(r) for r in page_pool.page_pool(limited, b, page_pool.gram_features(5), 4, least_sum=15.0).select("item_id", "page_id", "score", "exact", "by_class").collect()}
+    assert got == pooled(items, pages, five, 4, 15, books) and not any(x[0] == 1 for x in got)
+
+
+def test_pool_of_tokens_and_its_bounds():
+    """Shares of a passage's tokens; most pairs never need their common features once thresholds stand."""
+    rnd = random.Random(2)
+    vocabulary = [f"word{i}" for i in range(40)] + [f"rare{i}" for i in range(3000)]
+    weights = [60] * 40 + [1] * 3000
+    items = [(i, " ".join(rnd.choices(vocabulary, weights, k=40))) for i in range(30)]
+    pages = [(p, "b", " ".join(rnd.choices(vocabulary, weights, k=120) + items[p % 30][1].split()[: 8 * (p % 5)])) for p in range(900)]
+    features = page_pool.token_features()
+    block = page_pool.Block.of([{"item_id": i, "plain": t, "signed": t.translate(SIGNS), "allowed": None} for i, t in items], features, 3, 0.02, 1.0)
+    best = page_pool.Best(block)
+    for p, book, t in pages:
+        best.add(p, book, features(t), features(t.translate(SIGNS)))
+    assert {(i, p, s, e, c) for i, p, s, e, c in best.rows()} == pooled(items, pages, lambda t: {w for w in t.split() if len(w) >= 3}, 3, 1)
+    assert best.counted < 0.6 * len(items) * len(pages)
+    assert page_pool.Best(page_pool.Block.of([], features, 3, 0.0, 1.0)).rows() == []
+
+
+def vector_model(lines, windows, most=6, per_line=2, least=0.03, needed=3, gap=4):
+    """M8 by dictionaries."""
+
+    def vector(text):
+        plain, out = text.replace(" ", ""), Counter()
+        for name, t, base in (("exact", plain, 1.0), ("class", plain.translate(SIGNS), 0.5)):
+            for n in (3, 5, 8):
+                for g in set(regions.grams(t, n)):
+                    out[zlib.crc32(f"{name}:{n}:{g}".encode()) % 32768] += base * n / 3
+        return out, sum(w * w for w in out.values()) ** 0.5
+
+    asked = lines if len(lines) <= most else [lines[i] for i in sorted({round(k * (len(lines) - 1) / (most - 1)) for k in range(most)})]
+    made, hits, placed = [(vector(w[2]), w) for w in windows], [], []
+    for index, text in asked:
+        v, n = vector(text)
+        ranked = []
+        for k, ((u, m), (start, end, _)) in enumerate(made):
+            cosine = sum(w * u[f] for f, w in v.items()) / (n * m) if n and m else 0.0
+            if cosine >= least:
+                ranked.append((-cosine, end - start, k))
+        if ranked:
+            ranked.sort()
+            hits.append((index, -ranked[0][0]))
+            placed += [(index, 0, "text", *made[k][1][:2]) for _, _, k in ranked[:per_line]]
+    if len(hits) < min(needed, len(asked)) or not asked:
+        return None
+    run, best = 0, 0
+    for i in range(max(k for k, _ in hits) + 1):
+        run = run + 1 if i in {k for k, _ in hits} else 0
+        best = max(best, run)
+    needed = min(needed, len(asked))
+    return matching.ordered_run(placed, gap), best, len(hits), sum(sorted((s for _, s in hits), reverse=True)[:needed]) / needed
+
+
+def test_vector_pages_against_a_model(spark):
+    """300 pairs of passages and pages: columns, and the best eight of each passage."""
+    items, pages, lines, _, frame = audit_input(spark)
+    rnd = random.Random(8)
+    pairs = sorted({(i, rnd.randrange(48)) for i in range(12) for _ in range(45)} | {(i, i) for i in range(12)})[:320]
+    frame = frame.where("page_id < 47").unionByName(spark.createDataFrame([(47, "b2", 15, 47, "normal_poem_page", "12 34")], BOOK))
+    windows = {r.page_id: [(w.line_start, w.line_end, w.text) for w in r.regions] for r in matching.page_regions(frame).collect()}
+    want = {}
+    for i in range(12):
+        rows = [(p, vector_model(list(enumerate(items[i][1])), windows[p])) for x, p in pairs if x == i]
+        rows = sorted((r for r in rows if r[1]), key=lambda r: ([-v for v in r[1]], r[0]))[:8] or [(p, (None,) * 4) for x, p in pairs if x == i]
+        want |= {(i, p): v for p, v in rows}
+    got = {(r.item_id, r.page_id): (r.ordered_run, r.line_run, r.line_hits, r.vector_score) for r in regions.vector_pages(spark.createDataFrame(pairs, "item_id long, page_id long"), regions.gathered_lines(lines), matching.page_regions(frame)).collect()}
+    assert got.keys() == want.keys() and len(pairs) >= 300
+    for k, v in got.items():
+        assert v == pytest.approx(want[k])
+
+
+def test_hashes_of_windows():
+    """CRC-32 of many windows at once, letters of one to four bytes, n-grams that don't fit 63 bits."""
+    rnd = random.Random(3)
+    for letters in ("ab c\u00e9\ud55c\U0001f600xyz", "".join(chr(0x4E00 + i) for i in range(400))):
+        texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 30))) for _ in range(12)]
+        for n, hashes, owner in regions.hashed_windows(texts, (1, 3, 8, 13), "exact"):
+            want = sorted((zlib.crc32(f"exact:{n}:{g}".encode()) % 32768, i) for i, t in enumerate(texts) for g in set(regions.grams(t, n)))
+            assert sorted(zip(hashes.tolist(), owner.tolist(), strict=True)) == want
+
+
+def test_long_pages_go_in_blocks(monkeypatch):
+    """Tables of few regions each give what one table gives."""
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("abcdeimnoprstu") for _ in range(5)) for _ in range(80)]
+    stretches = [" ".join(rnd.choices(words, k=8)) for _ in range(30)]
+    windows = [{"line_start": i, "line_end": j, "text": " ".join(stretches[i : j + 1])} for i in range(30) for j in range(i, min(30, i + 3))]
+    told = lambda found: [(x.index, f.region, f.score) for x, f in found]
+    results = []
+    for block in (512, 7):
+        monkeypatch.setattr(regions, "BLOCK_REGIONS", block)
+        gram, token = regions.gram_line(3), regions.token_line
+        lines = [[f(i, s, SIGNS) for i, s in enumerate(stretches[::3])] for f in (gram, token)]
+        page = regions.Page(windows, gram, SIGNS)
+        results.append((told(regions.fuzzy_lines(lines[0], page)), told(regions.ordered_lines(lines[1], regions.Page(windows, token, SIGNS))), regions.vector_score(lines[0], page, 6, 2, 0.03, 3, 4)))
+    assert results[0][0] == results[1][0] and results[0][1] == results[1][1] and results[0][2] == pytest.approx(results[1][2])
+
+
+def test_leaves_hold_every_word(spark):
+    rows = [(1, "s", "\n".join(f"line {i} of words" for i in range(95))), (2, "s", " ".join(f"w{i}" for i in range(1500))), (3, None, ""), (4, "t", None), (None, "s", "x"), (5, "s", "one")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    pages = matching.leaves(docs)
+    got = sorted((r.doc_id, r.part, r.text) for r in pages.collect())
+    assert " ".join(t for d, _, t in got if d == 2).split() == [f"w{i}" for i in range(1500)] and [d for d, *_ in got].count(1) == 3
+    places = {r.page_id: (r.book_id, r.scan_page) for r in matching.leaf_numbers(pages).collect()}
+    assert [places[(d << 20) + k] for d, k, _ in got] == [("s", i + 1) for i in range(len(got))]
+
+
 def test_runs_of_ordered_lines():
     at = lambda line, scan, start, end: (line, scan, "text", start, end)
     events = [at(0, 1, 0, 0), at(1, 1, 30, 31), at(2, 1, 2, 2), at(2, 2, 0, 0)]

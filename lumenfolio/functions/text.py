@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .entities import SPACES, unescape
 from .profiles import ASCII_DIGITS, BANGLA_CLASSES, BANGLA_DIGITS, LATIN, LEXICON_EQUIVALENCES, LOOSE_MARKS, NOISE_FRAGMENTS, ZERO_WIDTH, NormProfile
 
 #: White space as an explicit class, equal in Java, RE2 and here.
@@ -196,24 +197,19 @@ def lines_with(text: Column, word: Column, most: int) -> Column:
     return F.slice(F.filter(numbered, lambda s: F.contains(s["text"], word)), 1, most)
 
 
-#: The entities that are resolved.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
-
-
 def html_text(html: Column, clean: bool = False) -> Column:
-    """Tags become spaces, entities are resolved, white space collapses.
+    """Tags become spaces, character references are resolved, white space collapses.
 
     Text of scripts and styles stays, unless ``clean`` (an extension).
     """
     t = F.coalesce(html, F.lit(""))
     t = F.regexp_replace(t, r"(?is)<(script|style)\b.*?</\1>", " ") if clean else t
-    t = replace_all(F.regexp_replace(t, "<[^>]+>", " "), ENTITIES)
-    return F.trim(F.regexp_replace(t, "[ \\t\\n\\r\\f\\x0b ]+", " "))
+    return F.trim(F.regexp_replace(unescape(F.regexp_replace(t, "<[^>]+>", " ")), SPACES, " "))
 
 
 def html_labels(html: Column, pattern: str) -> Column:
-    """Distinct captures of a pattern, in order."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(pattern), 1), lambda x: F.trim(x)))
+    """Distinct captures of a pattern, resolved and collapsed, in order."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(pattern), 1), lambda x: F.trim(F.regexp_replace(unescape(x), SPACES, " "))))
 
 
 def canonical_url(url: Column, rewrites: Sequence[tuple[str, str]] = (("http://", "https://"),)) -> Column:
@@ -234,25 +230,45 @@ def unique_marker(found: Column) -> Column:
     return let(F.array_distinct(found), lambda x: F.when(F.size(x) == 1, F.get(x, F.lit(0))))
 
 
-def embedded_marker(text: Column, markers: Sequence[str], patterns: Sequence[str] = (r"^%s$", r"^\(%s\)$", r"^\[%s\]$", r"^[-–—] ?%s$")) -> Column:
-    """struct(line, marker) if exactly one line is a marker in one of the forms, else null.
+#: Fixed values of T29: the forms in which a marker ends a line; {m} is the marker, {label} a collection's label.
+MARKER_FORMS = (
+    r"\s*[#＃]\s*{m}\s*$",
+    r"\s*[—-]?\s*[(\[]\s*{m}\s*[)\]]\s*$",
+    r"\s*(?:{label})\s*[:：-]\s*{m}\s*$",
+    r"\s*[(\[]\s*{m}\s+(?:{label})\s*[)\]]\s*$",
+)
+
 
-    A pattern has ``%s`` for the marker; markers are literal.
+def embedded_marker(text: Column, markers: Sequence[str], forms: Sequence[str] = MARKER_FORMS, labels: Sequence[str] = ("collection", "book")) -> Column:
+    """struct(line, marker, start, length, text) if exactly one (line, marker, form) matches at a line's end, else null.
+
+    Text may stand before a marker; ``text`` is the matched span, ``start`` (from
+    0) and ``length`` its place in the line. A line is looked at by the forms
+    only if it contains some marker, which one pass of alternatives tells.
     """
     import re
 
+    none = F.array().cast("array<struct<line: int, marker: string, start: int, length: int, text: string>>")
+    label = "|".join(map(re.escape, labels))
+    some = "|".join(map(re.escape, sorted(markers, key=len, reverse=True)))
+
+    def hit(line: Column, i: Column, marker: str, form: str) -> Column:
+        span = F.regexp_extract(line, "(?U)" + form.format(m=re.escape(marker), label=label), 0)
+        start = F.length(line) - F.length(span)
+        return F.when(span != "", F.struct(i.alias("line"), F.lit(marker).alias("marker"), start.alias("start"), F.length(span).alias("length"), span.alias("text")))
+
     def hits(line: Column, i: Column) -> Column:
-        each = [F.when(F.trim(line).rlike(p % re.escape(m)), F.struct(i.alias("line"), F.lit(m).alias("marker"))) for m in markers for p in patterns]
-        return F.array_compact(F.array(*each))
+        each = F.array_compact(F.array(*[hit(line, i, m, f) for m in markers for f in forms]))
+        return F.when(line.rlike(some), each).otherwise(none)
 
-    every = F.flatten(F.transform(lines(text), hits))
-    return let(every, lambda x: F.when(F.size(x) == 1, F.get(x, F.lit(0))))
+    return let(F.flatten(F.transform(lines(text), hits)), lambda x: F.when(F.size(x) == 1, F.get(x, F.lit(0))))
 
 
-def without_line(text: Column, number: Column) -> Column:
-    """The text without line ``number`` (from 0); null leaves it as it is."""
-    kept = F.filter(lines(text), lambda x, i: i != number)
-    return F.when(number.isNull(), text).otherwise(F.array_join(kept, "\n"))
+def without_span(text: Column, marker: Column) -> Column:
+    """The text without a marker's span, and without its line if nothing else is in it; null leaves the text as it is."""
+    cut = lambda x: F.rtrim(F.substring(x, F.lit(1), marker["start"]))
+    kept = F.transform(lines(text), lambda x, i: F.when(i == marker["line"], F.when(cut(x) != "", cut(x))).otherwise(x))
+    return F.when(marker.isNull(), text).otherwise(F.array_join(F.filter(kept, lambda x: x.isNotNull()), "\n"))
 
 
 def has_reference(text: Column, pattern: str) -> Column:

@@ -121,11 +121,12 @@ def marker_conflict(marker: Column, edition: Column, unknown: str) -> Column:
 
 
 def marker_audit(rows: DataFrame, text: str, markers: tuple[str, ...], edition: str, unknown: str) -> DataFrame:
-    """The only embedded marker of each text, the text without it, status and conflict."""
+    """The only embedded marker of each text, the text without its span, status and conflict."""
     t = rows.withColumn("found", X.embedded_marker(F.col(text), markers))
     return t.withColumns({
         "marker": F.col("found.marker"),
+        "marker_span": F.col("found.text"),
         "marker_status": marker_status(F.col("found.marker"), F.col(edition), unknown),
         "marker_conflict": marker_conflict(F.col("found.marker"), F.col(edition), unknown),
-        "clean_text": X.without_line(F.col(text), F.col("found.line")),
+        "clean_text": X.without_span(F.col(text), F.col("found")),
     }).drop("found")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -243,27 +245,46 @@ def best_per_key(spark: SparkSession, d: str) -> DataFrame:
     return joins.keep_first(table(spark, d, "documents"), ["source", "lang"], [F.col("n_chars").desc(), "doc_id"]).select("source", "lang", "doc_id", "n_chars")
 
 
-_MARKED = "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text WHEN doc_id % 3 = 1 THEN text || chr(10) || 'Alpha' ELSE 'Beta' || chr(10) || text END AS text, CASE doc_id % 4 WHEN 0 THEN 'unknown' WHEN 1 THEN 'Alpha' WHEN 2 THEN 'Beta' END AS edition FROM documents"
+#: What is written around a document's text, by doc_id % 8: each form of a marker, a bare name, two markers.
+_AROUND = ("{t}", "{t} # Alpha", "{t}\n— (Alpha) ", "[Beta]\n{t}", "{t}\nverse text  book: Beta", "{t} (Alpha  collection)", "Beta\n{t}", "# Alpha\n{t}\nlast (Beta)")
+_AROUND_SQL = "CASE doc_id % 8 " + " ".join(f"WHEN {i} THEN " + " || ".join({"t": "text", "\n": "chr(10)"}.get(x, f"'{x}'") for x in re.split(r"(\n)|\{(t)\}", a) if x) for i, a in enumerate(_AROUND)) + " END"
+_MARKED = f"SELECT doc_id, {_AROUND_SQL} AS text, CASE doc_id % 3 WHEN 0 THEN 'unknown' WHEN 1 THEN 'Alpha' WHEN 2 THEN 'Beta' END AS edition FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)"
+_S = r"[\s\p{Z}]"
+_FORMS = (rf"{_S}*[#＃]{_S}*M{_S}*$", rf"{_S}*[—-]?{_S}*[(\[]{_S}*M{_S}*[)\]]{_S}*$", rf"{_S}*(collection|book){_S}*[:：-]{_S}*M{_S}*$", rf"{_S}*[(\[]{_S}*M{_S}+(collection|book){_S}*[)\]]{_S}*$")
+_FOUND = ", ".join(f"('{m}', '{f.replace('M', m)}')" for m in ("Alpha", "Beta") for f in _FORMS)
 
 
-@query(f"""WITH t AS (SELECT doc_id, edition, CASE WHEN doc_id % 3 = 1 THEN 'Alpha' WHEN doc_id % 3 = 2 THEN 'Beta' END AS m FROM ({_MARKED}))
-SELECT doc_id, m AS marker, CASE WHEN m IS NULL THEN 'no_marker' WHEN edition = 'unknown' THEN 'unknown_edition_marker' WHEN m = edition THEN 'match' ELSE 'conflict' END AS status, m IS NOT NULL AND edition IS NOT NULL AND edition <> 'unknown' AND edition <> m AS clash FROM t""")
+@query(rf"""WITH t AS MATERIALIZED ({_MARKED}), s AS (SELECT doc_id, string_split(text, chr(10)) AS s FROM t), l AS (SELECT doc_id, raw, i FROM (SELECT doc_id, unnest(s) AS raw, generate_subscripts(s, 1) - 1 AS i, len(s) AS n FROM s) WHERE NOT (i = n - 1 AND raw = '')),
+f(m, form) AS (VALUES {_FOUND}), h AS (SELECT doc_id, i, m, regexp_extract(raw, form) AS span FROM (SELECT * FROM l WHERE contains(raw, 'Alpha') OR contains(raw, 'Beta')), f WHERE regexp_matches(raw, form)), o AS (SELECT doc_id, min(i) AS i, min(m) AS m, min(span) AS span FROM h GROUP BY doc_id HAVING count(*) = 1),
+c AS (SELECT l.doc_id, l.i, CASE WHEN l.i = o.i THEN nullif(rtrim(raw[1:length(raw) - length(span)]), '') ELSE raw END AS raw FROM l JOIN o USING (doc_id)), k AS (SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (WHERE raw IS NOT NULL), '') AS t FROM c GROUP BY doc_id)
+SELECT t.doc_id, m AS marker, CASE WHEN m IS NULL THEN 'no_marker' WHEN edition = 'unknown' THEN 'unknown_edition_marker' WHEN m = edition THEN 'match' ELSE 'conflict' END AS status, m IS NOT NULL AND edition <> 'unknown' AND edition <> m AS clash, span, md5(coalesce(k.t, t.text)) AS clean_md5 FROM t LEFT JOIN o USING (doc_id) LEFT JOIN k USING (doc_id)""")
 def marker_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Markers that stand in a line of a text, against its edition."""
+    """Markers in each of their forms at a line's end, also behind other text, against the edition."""
     k = F.col("doc_id")
-    text = F.when(k % 3 == 0, F.col("text")).when(k % 3 == 1, F.concat("text", F.lit("\nAlpha"))).otherwise(F.concat(F.lit("Beta\n"), "text"))
-    rows = table(spark, d, "documents").select("doc_id", text.alias("text"), F.when(k % 4 == 0, "unknown").when(k % 4 == 1, "Alpha").when(k % 4 == 2, "Beta").alias("edition"))
+    around = lambda a: F.concat(*[F.col("t") if x == "{t}" else F.lit(x) for x in re.split(r"(\{t\})", a) if x])
+    text = F.element_at(F.array(*map(around, _AROUND)), (k % len(_AROUND) + 1).cast("int"))
+    rows = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t")).select("doc_id", text.alias("text"), F.element_at(F.array(*map(F.lit, ("unknown", "Alpha", "Beta"))), (k % 3 + 1).cast("int")).alias("edition"))
     t = audits.marker_audit(rows, "text", ("Alpha", "Beta"), "edition", "unknown")
-    return t.select("doc_id", "marker", F.col("marker_status").alias("status"), F.col("marker_conflict").isNotNull().alias("clash"))
+    return t.select("doc_id", "marker", F.col("marker_status").alias("status"), F.col("marker_conflict").isNotNull().alias("clash"), F.col("marker_span").alias("span"), F.md5("clean_text").alias("clean_md5"))
+
+
+_LINE = f"SELECT item_id AS id, k, array_to_string(w[k * 12 + 1:k * 12 + 12], ' ') AS t, w[k * 12 + 1:k * 12 + 12] AS w FROM (SELECT item_id, {words(norm('text'))} AS w FROM benchmark), unnest(range(0, (len(w) + 11) // 12)) AS u(k)"
 
 
-@query(f"SELECT item_id, 1.0::DOUBLE AS same, (CASE WHEN length(text) > 0 THEN length(text) END)::INTEGER AS run, len({words(norm('text'))})::INTEGER AS lcs FROM benchmark")
-def self_kernels(spark: SparkSession, d: str) -> DataFrame:
-    """T41, T43, T44, T45 of texts against themselves: ratio 1, and the whole text in common; tests hold them against models on other pairs."""
+@query(rf"""WITH RECURSIVE l AS MATERIALIZED ({_LINE}), p AS MATERIALIZED (SELECT a.id, a.k, a.t AS a, b.t AS b, a.w AS x, b.w AS y FROM l a JOIN l b ON b.id = a.id + 1 AND b.k = a.k),
+s AS (SELECT id, k, max(n) AS n FROM (SELECT id, k, n FROM p, unnest(range(1, length(a) + 1)) AS u(i), unnest(range(1, length(a) + 1)) AS v(n) WHERE i + n <= length(a) + 1 AND contains(b, substr(a, i, n))) GROUP BY 1, 2),
+r AS (SELECT id, k, max(n) AS n FROM (SELECT id, k, n FROM p, unnest(range(1, len(x) + 1)) AS u(i), unnest(range(1, len(x) + 1)) AS v(n) WHERE i + n <= len(x) + 1 AND contains(' ' || array_to_string(y, ' ') || ' ', ' ' || array_to_string(x[i:i + n - 1], ' ') || ' ')) GROUP BY 1, 2),
+q AS (SELECT id, k, 0 AS i, list_transform(y, lambda z: 0) AS row FROM p UNION ALL SELECT q.id, q.k, q.i + 1, list_transform(range(1, len(y) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda t: greatest(q.row[t], CASE WHEN p.x[q.i + 1] = p.y[t] THEN 1 + CASE WHEN t > 1 THEN q.row[t - 1] ELSE 0 END ELSE 0 END)))) FROM q JOIN p ON p.id = q.id AND p.k = q.k WHERE q.i < len(p.x)),
+z AS (SELECT id, k, max(row[len(row)]) AS n FROM q GROUP BY 1, 2)
+SELECT p.id AS item_id, p.k::INTEGER AS line_index, coalesce(s.n, 0)::INTEGER AS run, coalesce(r.n, 0)::INTEGER AS token_run, coalesce(z.n, 0)::INTEGER AS lcs FROM p LEFT JOIN s ON s.id = p.id AND s.k = p.k LEFT JOIN r ON r.id = p.id AND r.k = p.k LEFT JOIN z ON z.id = p.id AND z.k = p.k""")
+def pair_kernels(spark: SparkSession, d: str) -> DataFrame:
+    """T43-T45 of unlike texts: each line of a passage and the same line of the next passage."""
     w = X.words(X.normalize(F.col("text")))
-    t = table(spark, d, "benchmark").select("item_id", "text", w.alias("w"))
-    run, lcs, tokens = kernels.common_substring("text", "text"), kernels.token_lcs("w", "w"), kernels.token_common_run("w", "w")
-    return t.select("item_id", kernels.gestalt_ratio("text", "text").alias("same"), run.alias("run"), lcs.alias("lcs"), tokens.alias("tokens")).where("lcs = tokens").drop("tokens")
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 12).cast("int")), lambda i: F.slice("w", i * 12 + 1, 12))
+    lines = table(spark, d, "benchmark").select("item_id", w.alias("w")).where("size(w) > 0").select("item_id", F.posexplode(cut).alias("line_index", "x"))
+    after = lines.select((F.col("item_id") - 1).alias("item_id"), "line_index", F.col("x").alias("y"))
+    t = lines.join(after, ["item_id", "line_index"]).withColumns({"a": F.array_join("x", " "), "b": F.array_join("y", " ")})
+    return t.select("item_id", "line_index", kernels.common_substring("a", "b").alias("run"), kernels.token_common_run("x", "y").alias("token_run"), kernels.token_lcs("x", "y").alias("lcs"))
 
 
 # Report orders: rows by arithmetic on the id, and the place that each order gives them.

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.entities import REFERENCE, REPLACED
 from ..functions.profiles import LATIN_CLASSES
 from ..operators import pages as P
 from .base import norm, query, table, words
@@ -136,12 +139,26 @@ def line_issues(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.explode(kinds).alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
 
 
-_HTML = r"""trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(coalesce(html, ''), '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&#x27;', ''''), '&apos;', ''''), '&nbsp;', chr(160)), '&amp;', '&'), '[ \t\n\r\f\x0b\x{a0}]+', ' ', 'g'))"""
+_QUOTED = lambda x: "'" + x.replace("'", "''") + "'"
+_NAMES = ", ".join(f"({_QUOTED(k)}, {_QUOTED(v)})" for k, v in html5.items())
+_NUMBERS = ", ".join(f"({k}, chr({ord(v)}))" for k, v in REPLACED.items())
+_SPACES = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+#: References meet the table of all names: whole, or by the longest one that they begin with.
+_HTML = f"""names(name, value) AS (VALUES {_NAMES}), numbers(number, value) AS (VALUES {_NUMBERS}),
+h AS (SELECT page_id, regexp_replace(coalesce(html, ''), '<[^>]+>', ' ', 'g') AS t FROM pages),
+p AS (SELECT page_id, string_split_regex(t, '{REFERENCE}') AS between, regexp_extract_all(t, '{REFERENCE}') AS refs FROM h),
+r AS (SELECT page_id, i, refs[i][2:] AS body FROM p, unnest(range(1, len(refs) + 1)) AS u(i)), b AS (SELECT DISTINCT body FROM r),
+f AS (SELECT body, arg_max(n.value || body[length(n.name) + 1:], length(n.name)) AS value FROM b JOIN names n ON starts_with(body, n.name) AND (n.name = body OR NOT ends_with(n.name, ';')) GROUP BY body),
+d AS (SELECT body, (CASE WHEN body[2] IN ('x', 'X') THEN list_reduce(list_prepend(0::BIGINT, list_transform(string_split(lower(rtrim(body[3:], ';')), ''), lambda c: (strpos('0123456789abcdef', c) - 1)::BIGINT)), lambda a, c: least(16 * a + c, 2000000)) ELSE list_reduce(list_prepend(0::BIGINT, list_transform(string_split(rtrim(body[2:], ';'), ''), lambda c: c::BIGINT)), lambda a, c: least(10 * a + c, 2000000)) END) AS number FROM b WHERE body[1] = '#'),
+g AS (SELECT body, coalesce(n.value, CASE WHEN number BETWEEN 55296 AND 57343 OR number > 1114111 THEN chr(65533) WHEN number BETWEEN 1 AND 8 OR number = 11 OR number BETWEEN 14 AND 31 OR number BETWEEN 127 AND 159 OR number BETWEEN 64976 AND 65007 OR number % 65536 >= 65534 THEN '' ELSE chr(number::INTEGER) END) AS value FROM d LEFT JOIN numbers n USING (number)),
+v AS (SELECT page_id, i, coalesce(g.value, f.value, '&' || r.body) AS value FROM r LEFT JOIN g ON g.body = r.body LEFT JOIN f ON f.body = r.body), a AS (SELECT page_id, list(value ORDER BY i) AS values FROM v GROUP BY 1),
+x AS (SELECT page_id, array_to_string(list_transform(range(1, len(between) + 1), lambda i: between[i] || coalesce(values[i], '')), '') AS x FROM p LEFT JOIN a USING (page_id)), y AS (SELECT page_id, regexp_replace(regexp_replace(x, '{_SPACES}', ' ', 'g'), '^ | $', '', 'g') AS x FROM x)"""
 
 
-@query(f"SELECT page_id, md5({_HTML}) AS text_md5, length({_HTML})::BIGINT AS text_chars FROM pages")
+@query(f"WITH {_HTML} SELECT page_id, md5(x) AS text_md5, length(x)::BIGINT AS text_chars FROM y")
 def html_text(spark: SparkSession, d: str) -> DataFrame:
-    """Script and style text stays."""
+    """All character references are resolved; script and style text stays."""
     t = X.html_text(F.col("html"))
     return table(spark, d, "pages").select("page_id", F.md5(t).alias("text_md5"), F.length(t).cast("long").alias("text_chars"))
 
@@ -164,14 +181,17 @@ def url_filter(spark: SparkSession, d: str) -> DataFrame:
 _MARKERS = ("Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "Licensed under the Apache License, Version 2.0.")
 
 
-@query(rf"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
-h AS (SELECT doc_id, i, trim(raw) AS m FROM l WHERE trim(raw) IN ({', '.join(f"'{m}'" for m in _MARKERS)})), o AS (SELECT doc_id, min(i) AS i, min(m) AS m FROM h GROUP BY doc_id HAVING count(*) = 1),
-k AS (SELECT l.doc_id, string_agg(raw, chr(10) ORDER BY l.i) AS t FROM l LEFT JOIN o USING (doc_id) WHERE o.i IS NULL OR l.i <> o.i GROUP BY l.doc_id)
-SELECT d.doc_id, o.m AS marker, o.i::INTEGER AS line, md5(coalesce(CASE WHEN o.m IS NULL THEN d.text ELSE k.t END, '')) AS rest_md5 FROM documents d LEFT JOIN o USING (doc_id) LEFT JOIN k USING (doc_id)""")
+_SPOTS = " UNION ALL ".join(f"SELECT doc_id, i, '{m}' AS m, regexp_extract(raw, '[\\s\\p{{Z}}]*{m.replace('.', '[.]')}[\\s\\p{{Z}}]*$') AS span FROM l WHERE contains(raw, '{m}')" for m in _MARKERS)
+
+
+@query(rf"""WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents), l AS (SELECT doc_id, raw, i FROM (SELECT doc_id, unnest(s) AS raw, generate_subscripts(s, 1) - 1 AS i, len(s) AS n FROM s) WHERE NOT (i = n - 1 AND raw = '')),
+h AS (SELECT * FROM ({_SPOTS}) WHERE span <> ''), o AS (SELECT doc_id, min(i) AS i, min(m) AS m, min(span) AS span FROM h GROUP BY doc_id HAVING count(*) = 1),
+c AS (SELECT l.doc_id, l.i, CASE WHEN l.i = o.i THEN nullif(rtrim(raw[1:length(raw) - length(span)]), '') ELSE raw END AS raw FROM l JOIN o USING (doc_id)), k AS (SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (WHERE raw IS NOT NULL), '') AS t FROM c GROUP BY doc_id)
+SELECT d.doc_id, o.m AS marker, o.i::INTEGER AS line, md5(coalesce(k.t, d.text, '')) AS rest_md5 FROM documents d LEFT JOIN o USING (doc_id) LEFT JOIN k USING (doc_id)""")
 def line_markers(spark: SparkSession, d: str) -> DataFrame:
-    """The only marker line of a document, and the text without it."""
-    t = table(spark, d, "documents").select("doc_id", "text", X.embedded_marker(F.col("text"), _MARKERS, ("^%s$",)).alias("m"))
-    return t.select("doc_id", F.col("m.marker").alias("marker"), F.col("m.line").alias("line"), F.md5(X.without_line(F.col("text"), F.col("m.line"))).alias("rest_md5"))
+    """The only marker at a line's end of a document, and the text without its span."""
+    t = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), X.embedded_marker(F.col("text"), _MARKERS, (r"\s*{m}\s*$",)).alias("m"))
+    return t.select("doc_id", F.col("m.marker").alias("marker"), F.col("m.line").alias("line"), F.md5(X.without_span(F.col("text"), F.col("m"))).alias("rest_md5"))
 
 
 @query(r"""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents)

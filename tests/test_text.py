@@ -1,6 +1,9 @@
 """Scalar functions against hand-made cases."""
 
 import difflib
+import html
+import random
+from html.entities import html5
 
 import pytest
 from hypothesis import given, settings
@@ -73,9 +76,7 @@ def test_line_issues(spark, text, kinds):
 
 def test_markers(spark):
     text = "#one\nbody\nend"
-    assert one(spark, X.embedded_marker(F.col("t"), ("one", "two"), ("^#%s$",)), t=text).asDict() == {"line": 0, "marker": "one"}
-    assert one(spark, X.embedded_marker(F.col("t"), ("one", "two"), ("^#%s$",)), t="#one\n#two") is None
-    assert one(spark, X.without_line(F.col("t"), F.lit(1)), t="a\nb\nc") == "a\nc"
+    assert one(spark, X.embedded_marker(F.col("t"), ("one", "two")), t="#one\n#two") is None
     assert one(spark, X.unique_marker(F.col("a")), a=["x", "x"]) == "x" and one(spark, X.unique_marker(F.col("a")), a=["x", "y"]) is None
 
 
@@ -118,11 +119,11 @@ def test_kernels_against_definitions(a, b):
     def inside(s):
         it = iter(b)
         return all(x in it for x in s)
-    assert K.lcs_length(a, b) == max(len(s) for s in subs if inside(s))
+    x, y = [K.code_points("".join(a))], [K.code_points("".join(b))]
+    assert K.common_subsequences(x, y)[0] == max(len(s) for s in subs if inside(s))
     runs = [n for n in range(len(a) + 1) for i in range(len(a) - n + 1) for j in range(len(b) - n + 1) if a[i : i + n] == b[j : j + n]]
-    assert K.common_run(a, b) == max(runs, default=0)
-    assert K.common_substring_length("".join(a), "".join(b)) == K.common_run(a, b)
-    assert K._ratio("".join(a), "".join(b)) == difflib.SequenceMatcher(None, "".join(a), "".join(b)).ratio()
+    assert K.common_runs(x, y)[0] == max(runs, default=0)
+    assert K.gestalt_ratios(x, y)[0] == difflib.SequenceMatcher(None, "".join(a), "".join(b)).ratio()
 
 
 def test_verse_blocks():
@@ -137,3 +138,34 @@ def test_line_scores(spark):
     assert round(one(spark, M.fuzzy_line_score(F.col("a"), F.col("b"), 3, identity), a="abcdef", b="abcxef"), 6) == 0.34
     assert one(spark, M.fuzzy_line_score(F.col("a"), F.col("b"), 3, identity), a="ab", b="abc") is None
     assert LATIN.lower
+
+
+@pytest.mark.parametrize("text, span, rest", [
+    ("some verse (one)", " (one)", "some verse"), ("# one", "# one", ""), ("(one)\nlast", "(one)", "last"), ("first\nverse — [ one ] ", " — [ one ] ", "first\nverse"), ("verse  book: one", "  book: one", "verse"),
+    ("verse ( one  collection )", " ( one  collection )", "verse"), ("one", None, "one"), ("(one) more", None, "(one) more"), ("(one)\n(two)", None, "(one)\n(two)"), ("a #one\nb", " #one", "a\nb"), ("collections: onef", None, "collections: onef"), (None, None, None),
+])
+def test_marker_spans(spark, text, span, rest):
+    """The four forms stand at a line's end, also behind other text; only the span goes, and its line if nothing is left."""
+    found = X.embedded_marker(F.col("t"), ("one", "two"))
+    row = spark.createDataFrame([(text,)], "t string").select(found.alias("m"), X.without_span(F.col("t"), found).alias("rest")).first()
+    assert (row.m.text if row.m else None, row.rest) == (span, rest)
+    if row.m:
+        line = text.split("\n")[row.m.line]
+        assert line[row.m.start : row.m.start + row.m.length] == span
+
+
+def test_character_references(spark):
+    """Any names, with and without semicolon, and any numbers, as the standard library resolves them."""
+    rnd = random.Random(6)
+    names, rows = sorted(html5), []
+    odd = ["&", "&;", "&#", "&#x", "&#;", "&amp", "&amplt;", "&notit;", "&nosuch;", "&copy2", "&AMP;lt;", "&#0;", "&#13;", "&#128;", "&#x9f;", "&#x81;", "&#55296;", "&#1114112;", "&#99999999999999999999;", "&#x110000;", "&#xfdd0;", "&#1;", "&#127;", "&#x1F600;", "&#00065", "&eacute;", "&#233;", "&mdash;", "&acE;"]
+    for _ in range(60):
+        parts = rnd.choices(odd, k=3) + ["&" + n for n in rnd.sample(names, 30)] + [f"&#{rnd.randrange(1 << rnd.randint(1, 21))}{rnd.choice(['', ';'])}" for _ in range(10)] + [f"&#{rnd.choice('xX')}{rnd.randrange(1 << 21):x};" for _ in range(10)]
+        parts = [p + rnd.choice(["", " ", "x", "1", ";", "é"]) for p in parts]
+        rnd.shuffle(parts)
+        rows.append("".join(parts))
+    rows += ["", "no references", None, *odd]
+    t = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t string")
+    got = {r.i: r.u for r in t.select("i", X.unescape(F.col("t")).alias("u")).collect()}
+    for i, r in enumerate(rows):
+        assert got[i] == (html.unescape(r) if r is not None else None), r

@@ -21,8 +21,10 @@ in it, so typed parts cost a window over the conversation; plain texts don't.
 
 Defined cases: a null text is empty; a null role is written as an empty role;
 turns are ordered by (turn, role, text), nulls first; rows with a null conv_id
-form one conversation with a null id; repeated rows are repeated turns; empty
-text parts leave no trace in what is read back; an empty table leaves
+form one conversation with a null id; repeated rows are repeated turns; a null
+part is left out; a part of a null or unknown type is a text part (its reference
+and tokens are ignored); a null reference is empty; empty text parts leave no
+trace in what is read back; an empty table leaves
 conversation -1 alone; other columns are ignored.
 """
 
@@ -74,7 +76,7 @@ class Flat:
 
 
 class PartVisitor:
-    """Visits typed parts, given as dicts with ``type``; an unknown type is an error."""
+    """Visits typed parts, given as dicts with ``type``; whatever is no attachment is text, so that no row can end a job."""
 
     def __init__(self, first: int = 0):
         self.flat, self.next, self.open = Flat(), first, []
@@ -86,11 +88,9 @@ class PartVisitor:
             self.open = []
         return self.flat
 
-    def visit(self, part: dict) -> None:
-        getattr(self, f"visit_{part.get('type')}", self.unknown)(part)
-
-    def unknown(self, part: dict) -> None:
-        raise ValueError(f"no such part type: {part.get('type')!r}")
+    def visit(self, part: dict | None) -> None:
+        if part is not None:
+            getattr(self, f"visit_{part.get('type')}", self.visit_text)(part)
 
     def visit_text(self, part: dict) -> None:
         self.open.append(part.get("text") or "")
@@ -160,7 +160,7 @@ def format_turns(turns: DataFrame) -> DataFrame:
     chosen = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", F.col("parts" if typed else "text").alias("content"), F.lit(0).cast("long").alias("first"))
     if typed:
         before = Window.partitionBy("conv_id").orderBy("turn", "role", F.to_json("content")).rowsBetween(Window.unboundedPreceding, -1)
-        attached = F.size(F.filter(F.coalesce("content", F.array()), lambda x: x["type"] != "text"))
+        attached = F.size(F.filter(F.coalesce("content", F.array()), lambda x: x["type"].isin(*EXPANDED)))
         chosen = chosen.withColumn("first", F.coalesce(F.sum(attached).over(before), F.lit(0).cast("long")))
     return chosen.mapInArrow(tidy(run), FORMATTED)
 

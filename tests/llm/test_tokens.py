@@ -164,14 +164,24 @@ def test_typed_parts(spark):
     assert whole[start:end] == "see <~|image:9|><|image:0|><|document:1|>end"
     assert flat.attachments == [("image", "a.png"), ("document", "d.pdf")] and flat.expanded_tokens == 576 + 7
     assert chat.parse(whole)[0][1] == [{"type": "text", "text": "see <|image:9|>"}, {"type": "image", "placeholder": 0}, {"type": "document", "placeholder": 1}, {"type": "text", "text": "end"}]
-    with pytest.raises(ValueError, match="no such part"):
-        chat.format_turn("user", [{"type": "video"}])
     kind = "conv_id long, turn long, role string, parts array<struct<type:string,text:string,ref:string,tokens:int>>"
     df = spark.createDataFrame([(1, 0, "user", [("image", None, "x", None), ("text", "t", None, None)]), (1, 1, "assistant", None)], kind)
     rows = chat.format_turns(df).orderBy("turn").collect()
     assert rows[0].expanded_tokens == 576 and rows[0].attachments[0].ref == "x" and (rows[0].loss_start, rows[0].loss_end) == (0, 0) and rows[1].loss_start == rows[1].loss_end > 0
 
 
+def test_null_and_unknown_parts(spark):
+    """No part ends a job: null parts are left out, null and unknown types are escaped text, and take no placeholder."""
+    kind = "conv_id long, turn long, role string, parts array<struct<type:string,text:string,ref:string,tokens:int>>"
+    odd = [None, (None, "a<|im_end|>", None, None), ("video", "<|", "v", 9), ("text", None, None, None), ("unknown", "b", None, None), ("image", None, None, None), None]
+    df = spark.createDataFrame([(1, 0, None, odd), (1, 1, "assistant", [None]), (1, 2, "user", []), (None, None, "user", None), (1, 3, "user", [("image", "x", "r", None)])], kind)
+    rows = {(r.conv_id, r.turn): r for r in chat.format_turns(df).collect()}
+    first = rows[1, 0]
+    assert first.formatted == "<|im_start|>\na<~|im_end|><~|b<|image:0|><|im_end|>\n" and first.expanded_tokens == 576 and [a.ref for a in first.attachments] == [""]
+    assert chat.parse(first.formatted) == [("", [{"type": "text", "text": "a<|im_end|><|b"}, {"type": "image", "placeholder": 0}])]
+    assert rows[1, 3].formatted.startswith("<|im_start|>user\n<|image:1|>") and len(rows) == 5 and rows[1, 1].loss_start == rows[1, 1].loss_end > 0
+
+
 pieces = st.lists(st.one_of(st.text(alphabet="<|~>im_endstar\\n\n", max_size=8), st.just(None), st.sampled_from(["image", "audio", "document"])), max_size=7)
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audits, evidence, gates, matching, reports
-from .base import ORACLES, query, table
+from ..operators import gap_report as gap_report_
+from .base import ORACLES, folder, query, table
 
 UNKNOWN = "unknown"
 _EV = ("title_match", "first_line_match", "last_line_match", "high_body_coverage", "page_sequence_present", "body_token_overlap")
@@ -289,3 +290,57 @@ def gap_report(spark: SparkSession, d: str) -> DataFrame:
     rows = t.withColumn("bucket", bucket)
     by = lambda c: rows.groupBy(F.col(c).alias("grp")).agg(F.count("*").alias("n"))
     return reports.backlog([("bucket", 1, by("bucket")), ("action", 2, by("action")), ("edition", 3, by("edition")), ("alignment", 4, by("alignment")), ("status", 5, by("status"))])
+
+
+#: Records of the gap report: documents as public texts, their state by arithmetic on the id.
+_RECORDS = f"""SELECT doc_id AS key, 'text ' || lang || CASE WHEN doc_id % 9 = 0 THEN ' 19' || (10 + doc_id % 80) ELSE '' END AS title, CASE WHEN doc_id % 4 = 0 THEN '{UNKNOWN}' WHEN doc_id % 11 <> 0 THEN source END AS edition, CASE WHEN doc_id % 5 <> 0 THEN 1900 + doc_id % 50 END AS source_year,
+ doc_id % 3 = 0 AS paged, doc_id % 6 = 0 AS book_year_known, CASE WHEN doc_id % 7 = 0 THEN '1930' WHEN doc_id % 7 = 1 THEN '' END AS composition_date, CASE doc_id % 13 WHEN 0 THEN 'reviewed_negative' WHEN 1 THEN 'no_candidate' WHEN 2 THEN 'token_or_title_only_candidate' ELSE 'line_match_review' END AS bucket, (doc_id % 23)::INTEGER AS score,
+ CASE doc_id % 8 WHEN 0 THEN 'unscanned_source_edition' WHEN 1 THEN 'no_source_scan_pages' WHEN 2 THEN 'source_scan_weak' WHEN 3 THEN 'source_scan_no_support' WHEN 4 THEN 'source_scan_supported' WHEN 5 THEN 'source_scan_token_only' END AS scan_status, doc_id % 13 = 0 AS excluded, doc_id % 17 = 0 AS clash, CASE WHEN doc_id % 10 < 3 THEN 'strong_toc_review' WHEN doc_id % 10 = 3 THEN 'weak_toc_review' END AS toc_status, doc_id % 20 = 3 AS toc_excluded FROM documents"""
+_MISSING_CITES = "SELECT doc_id AS key, 'text ' || lang AS title, source AS edition, CASE WHEN doc_id % 19 = 0 THEN 'missing_book_corpus' ELSE 'supported' END AS status FROM documents"
+_GROUP = "SELECT *, {2} AS o FROM (SELECT '{0}' AS relation, {1} AS status, coalesce(edition, '') AS edition, count(*)::BIGINT AS n, list_sort(list(key::VARCHAR))[1:12] AS items FROM {3} WHERE {4} GROUP BY ALL)"
+_EACH = "SELECT '{0}' AS relation, {1} AS status, coalesce(edition, '') AS edition, 1::BIGINT AS n, [key::VARCHAR] AS items, {2} AS o FROM r WHERE {3}"
+_KIND = f"CASE WHEN edition = '{UNKNOWN}' THEN 'unknown_source_collection' WHEN scan_status IN ('unscanned_source_edition', 'no_source_scan_pages') THEN 'missing_source_corpus_for_uncited_poems' WHEN scan_status IN ('source_scan_weak', 'source_scan_no_support') AND starts_with(bucket, 'reviewed_') THEN 'reviewed_scanned_source_gap/' || scan_status || '/' || bucket WHEN scan_status IN ('source_scan_weak', 'source_scan_no_support') THEN 'scanned_source_needs_better_extraction/' || scan_status END"
+_URGENCY = "CASE split_part({0}, '/', 1) WHEN 'missing_corpus_for_existing_citations' THEN 1 WHEN 'missing_source_corpus_for_uncited_poems' THEN 2 WHEN 'scanned_source_needs_better_extraction' THEN 3 WHEN 'reviewed_scanned_source_gap' THEN 4 ELSE 5 END"
+_SORT = lambda *x: "row(" + ", ".join(x) + ")::STRUCT(a INTEGER, b INTEGER, c INTEGER, d BIGINT, e VARCHAR, f VARCHAR, g VARCHAR, h VARCHAR)"
+_BY_COUNT = _SORT("0", "0", "0", "-n", "edition", "''", "''", "''")
+_BY_KEY = _SORT("0", "0", "0", "0", "''", "''", "''", "key::VARCHAR")
+_RELATIONS = " UNION ALL ".join([
+    f"SELECT relation, status, edition, n, items, {_SORT(_URGENCY.format('status'), '0', '0', '-n', 'edition', chr(39) * 2, 'status', chr(39) * 2)} AS o FROM (SELECT 'source_corpus_backlog' AS relation, status, coalesce(edition, '') AS edition, count(*)::BIGINT AS n, list_sort(list(key::VARCHAR))[1:12] AS items FROM (SELECT key, edition, {_KIND} AS status FROM r WHERE NOT paged UNION ALL SELECT key, edition, 'missing_corpus_for_existing_citations' FROM cites WHERE status = 'missing_book_corpus') WHERE status IS NOT NULL GROUP BY 2, 3)",
+    _GROUP.format("source_coverage_blockers", "coalesce(scan_status, 'not_applicable')", _SORT("(status <> 'unscanned_source_edition')::INTEGER", "0", "0", "0", "edition", "''", "status", "''"), "r", f"NOT paged AND edition <> '' AND edition <> '{UNKNOWN}' AND coalesce(scan_status, '') NOT IN ('source_scan_supported', 'source_scan_token_only')"),
+    _EACH.format("toc_index_blockers", "toc_status", _BY_KEY, "toc_status IS NOT NULL AND NOT toc_excluded"), _EACH.format("toc_index_reviewed_exclusions", "toc_status", _BY_KEY, "toc_status IS NOT NULL AND toc_excluded"),
+    _GROUP.format("source_year_blockers", "NULL", _BY_COUNT, "r", "source_year IS NULL"), _GROUP.format("primary_printed_book_year_blockers", "NULL", _BY_COUNT, "r", "NOT book_year_known"),
+    _EACH.format("title_date_candidates", "NULL", _BY_KEY, "key % 9 = 0"), _GROUP.format("composition_date_blockers", "NULL", _BY_COUNT, "r", "coalesce(composition_date, '') = ''"), _EACH.format("embedded_source_conflicts", "NULL", _BY_KEY, "clash"),
+    _EACH.format("missing", "bucket", _SORT("starts_with(bucket, 'reviewed_')::INTEGER", "(bucket IN ('no_candidate', 'token_or_title_only_candidate'))::INTEGER", "-score", "0", "coalesce(edition, '')", "title", "''", "key::VARCHAR"), "NOT paged"),
+])
+
+
+def _gap_report(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, int]]:
+    k, s = F.col("doc_id"), lambda c: c.cast("string")
+    pick = lambda n, *names: F.get(F.array(*[F.lit(x).cast("string") for x in names]), (k % n).cast("int"))
+    docs = table(spark, d, "documents")
+    records = docs.select(
+        k.alias("key"), F.concat(F.lit("text "), "lang", F.when(k % 9 == 0, F.concat(F.lit(" 19"), s(10 + k % 80))).otherwise("")).alias("title"), F.when(k % 4 == 0, UNKNOWN).when(k % 11 != 0, F.col("source")).alias("edition"), F.when(k % 5 != 0, 1900 + k % 50).alias("source_year"),
+        (k % 3 == 0).alias("paged"), (k % 6 == 0).alias("book_year_known"), F.when(k % 7 == 0, "1930").when(k % 7 == 1, "").alias("composition_date"), pick(13, "reviewed_negative", "no_candidate", "token_or_title_only_candidate", *["line_match_review"] * 10).alias("bucket"), (k % 23).cast("int").alias("score"),
+        pick(8, *gap_report_.NO_SCAN, *gap_report_.WEAK_SCAN, *gap_report_.GOOD_SCAN, None, None).alias("scan_status"), (k % 13 == 0).alias("excluded"), (k % 17 == 0).alias("clash"), F.when(k % 10 < 3, "strong_toc_review").when(k % 10 == 3, "weak_toc_review").alias("toc_status"), (k % 20 == 3).alias("toc_excluded"),
+    )
+    cites = docs.select(k.alias("key"), F.concat(F.lit("text "), "lang").alias("title"), F.col("source").alias("edition"), F.when(k % 19 == 0, "missing_book_corpus").otherwise("supported").alias("status"))
+    return gap_report_.gap_report(records, folder(spark), UNKNOWN, cites)
+
+
+@query(f"WITH r AS ({_RECORDS}), cites AS ({_MISSING_CITES}), t AS ({_RELATIONS}) SELECT relation, row_number() OVER (PARTITION BY relation ORDER BY o) AS place, status, edition, n, array_to_string(items, ' ') AS items FROM t")
+def gap_relations(spark: SparkSession, d: str) -> DataFrame:
+    """The ten relations of the gap report, each in its order."""
+    return _gap_report(spark, d)[0].withColumn("items", F.array_join("items", " "))
+
+
+_M = "count(*) FILTER (WHERE {})"
+
+
+@query(f"WITH r AS ({_RECORDS}) " + " UNION ALL ".join(f"SELECT '{n}' AS counter, ({c})::BIGINT AS value FROM r" for n, c in {
+    "public_poem_count": "count(*)", "missing_printed_page_count": _M.format("NOT paged"), "unknown_collection_missing_count": _M.format(f"NOT paged AND edition = '{UNKNOWN}'"), "missing_source_year_count": _M.format("source_year IS NULL"), "missing_primary_printed_book_year_count": _M.format("NOT book_year_known"),
+    "missing_composition_date_count": _M.format("coalesce(composition_date, '') = ''"), "reviewed_exclusion_count": _M.format("NOT paged AND excluded"), "embedded_source_conflict_count": _M.format("clash"), "missing_embedded_source_conflict_count": _M.format("NOT paged AND clash"), "title_date_candidate_count": _M.format("key % 9 = 0"),
+    "title_date_source_year_gap_count": _M.format("key % 9 = 0 AND source_year IS NULL"), "toc_index_candidate_count": _M.format("toc_status IS NOT NULL AND NOT toc_excluded"), "toc_index_reviewed_exclusion_count": _M.format("toc_status IS NOT NULL AND toc_excluded"),
+}.items()))
+def gap_counters(spark: SparkSession, d: str) -> DataFrame:
+    """The counters of the gap report, observed while its relations are made."""
+    return spark.createDataFrame(sorted(_gap_report(spark, d)[1].items()), "counter string, value long")

@@ -36,7 +36,7 @@ def corpus(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     p = P.document_pages(table(spark, d, "documents")).withColumnRenamed("doc_id", "page_id")
     p = p.withColumns({"printed_page": F.when(F.col("page_id") % 5 != 0, F.col("scan_page") + 3), "page_type": F.lit("normal_poem_page")})
     items = table(spark, d, "benchmark").withColumn("title", F.array_join(F.slice(F.split("text", " "), 1, 6), " "))
-    return matching.prepared_passages(items, "title", "text"), matching.prepared_pages(p)
+    return matching.prepared_passages(items, "title", "text"), written(matching.prepared_pages(p))
 
 
 _PASSAGES = f"""i AS (SELECT item_id, {norm("array_to_string(string_split(text, ' ')[1:6], ' ')")} AS title, {norm('text')} AS n, list_filter(list_transform(string_split(text, chr(10)), lambda x: {norm('x')}), lambda x: length(x) >= 8) AS lines FROM benchmark),
@@ -70,7 +70,7 @@ m AS (SELECT item_id, doc_id, k, 'exact' AS kind FROM c WHERE exact UNION ALL SE
 def line_anchors(spark: SparkSession, d: str) -> DataFrame:
     """M2, A3, O1: lines of passages on the documents of the book that has their best page."""
     passages, pages = corpus(spark, d)
-    return matching.line_anchors(matching.best_page(matching.score_pages(passages, pages)), passages, pages).withColumnRenamed("page_id", "doc_id").select("item_id", "doc_id", "line_index", "kind")
+    return matching.line_anchors(written(matching.best_page(matching.score_pages(passages, pages))), passages, pages).withColumnRenamed("page_id", "doc_id").select("item_id", "doc_id", "line_index", "kind")
 
 
 @query(f"""WITH {_ANCHORS}, a AS (SELECT item_id, doc_id, count(*) AS n, count(*) FILTER (WHERE kind = 'exact') AS x, bool_or(kind = 'exact' AND k = 0) AS x0, list(k) FILTER (WHERE kind = 'exact') AS xs FROM m GROUP BY 1, 2)
@@ -78,15 +78,15 @@ SELECT a.item_id, a.doc_id, a.n::BIGINT AS matches, x::BIGINT AS exact, (i.title
 def anchor_flag(spark: SparkSession, d: str) -> DataFrame:
     """M3."""
     passages, pages = corpus(spark, d)
-    matches = matching.line_anchors(matching.best_page(matching.score_pages(passages, pages)), passages, pages)
+    matches = matching.line_anchors(written(matching.best_page(matching.score_pages(passages, pages))), passages, pages)
     return matching.anchor_pages(matches, passages, pages).select("item_id", F.col("page_id").alias("doc_id"), "matches", "exact", "is_anchor")
 
 
 @query()
 def span_proposal(spark: SparkSession, d: str) -> DataFrame:
-    """The proposed span of each passage; the walk is checked by hand-made cases in the tests."""
+    """The proposed span of each passage; the span is held against a model in the tests."""
     passages, pages = corpus(spark, d)
-    t = matching.propose(passages, pages)
+    t = matching.propose(passages, pages, keep=written)
     return t.select("item_id", "book_id", "start_scan", "end_scan", "printed_page_start", "printed_page_end", "score", F.array_join("evidence", ",").alias("evidence"), "basis", "anchor_count", "line_matches", "exact_matches", "gap", "status")
 
 

@@ -132,13 +132,72 @@ def test_runs(spark):
     assert S.page_windows(g, ["k", "g"], "scan_page", 4).count() == 14
 
 
+def span_of(best: int, anchors: list[dict], weak: dict[int, dict], trusted: set[int]) -> dict:
+    """A model of W15: the span around the best page: nearest anchor, its cluster of gaps of at most 2, a sparse
+    refrain before the first title anchor cut off, then continuations both ways, page by page."""
+    if not anchors:
+        return {"start_scan": best, "end_scan": best, "basis": "best_page_no_line_anchor", "anchor_scans": [], "continuation_scans": [], "line_matches": 0, "exact_matches": 0}
+    anchors = sorted(anchors, key=lambda a: a["scan_page"])
+    scans = [a["scan_page"] for a in anchors]
+    lo = hi = min(range(len(scans)), key=lambda i: (abs(scans[i] - best), scans[i]))
+    while lo and scans[lo] - scans[lo - 1] <= 2:
+        lo -= 1
+    while hi + 1 < len(scans) and scans[hi + 1] - scans[hi] <= 2:
+        hi += 1
+    cluster = anchors[lo : hi + 1]
+    titled = [a["scan_page"] for a in cluster if a["title_match"] and 0 in a["line_indexes"]]
+    if titled:
+        ahead = [a for a in cluster if a["scan_page"] < min(titled)]
+        if ahead and all(a["matches"] <= 3 and not {0, 1} & set(a["line_indexes"]) for a in ahead):
+            cluster = [a for a in cluster if a["scan_page"] >= min(titled)]
+    seen = [i for a in cluster for i in a["line_indexes"]]
+    edge = {-1: min(seen, default=None), 1: max(seen, default=None)}
+    ends = {-1: cluster[0]["scan_page"], 1: cluster[-1]["scan_page"]}
+    inside, more = {a["scan_page"] for a in cluster}, []
+    for way in (-1, 1):
+        while (at := ends[way] + way) not in inside and at in trusted and edge[way] is not None:
+            found = weak.get(at, {"line_indexes": [], "exact_indexes": []})
+            on = [i for i in found["line_indexes"] if (i - edge[way]) * way >= -1]
+            if len(on) < 2 and not set(found["exact_indexes"]) & set(on):
+                break
+            more.append(at)
+            ends[way], edge[way] = at, max(on) if way > 0 else min(on)
+    return {"start_scan": ends[-1], "end_scan": ends[1], "basis": "line_anchor_cluster", "anchor_scans": [a["scan_page"] for a in cluster], "continuation_scans": sorted(more), "line_matches": sum(a["matches"] for a in cluster), "exact_matches": sum(a["exact"] for a in cluster)}
+
+
 def test_span_clusters():
     a = lambda s, t=False, li=(5,), m=4: {"scan_page": s, "title_match": t, "line_indexes": list(li), "matches": m, "exact": 1}
-    got = M.span_of(7, [a(5), a(7), a(10)], {}, set())
+    got = span_of(7, [a(5), a(7), a(10)], {}, set())
     assert got["anchor_scans"] == [5, 7]
-    got = M.span_of(8, [a(6, li=(4,), m=2), a(8, True, (0, 1))], {9: {"line_indexes": [1, 2], "exact_indexes": []}}, {9})
+    got = span_of(8, [a(6, li=(4,), m=2), a(8, True, (0, 1))], {9: {"line_indexes": [1, 2], "exact_indexes": []}}, {9})
     assert got["anchor_scans"] == [8] and got["continuation_scans"] == [9] and got["end_scan"] == 9
-    assert M.span_of(3, [], {}, set())["basis"] == "best_page_no_line_anchor"
+    assert span_of(3, [], {}, set())["basis"] == "best_page_no_line_anchor"
+
+
+def test_spans_by_the_model(spark):
+    """Random anchors and weak pages: islands, refrains ahead of a title, continuations both ways, no anchor at all."""
+    rnd = random.Random(12)
+    best, rows, want = [], [], {}
+    for item in range(160):
+        at = rnd.randint(1, 30)
+        best.append((item, "b", at))
+        anchors, weak = [], {}
+        for scan in sorted(rnd.sample(range(1, 32), rnd.choice([0, 3, 8, 20]))):
+            lines = sorted(rnd.sample(range(12), rnd.choice([1, 1, 2, 4])))
+            exact = [i for i in lines if rnd.random() < 0.3]
+            row = {"scan_page": scan, "title_match": rnd.random() < 0.3, "matches": len(lines), "exact": len(exact), "line_indexes": lines, "exact_indexes": exact, "is_anchor": rnd.random() < 0.4}
+            rows.append((item, 1000 * item + scan, "b", scan, None, *[row[k] for k in ("title_match", "matches", "exact", "line_indexes", "exact_indexes", "is_anchor")]))
+            if row["is_anchor"]:
+                anchors.append(row)
+            else:
+                weak[scan] = row
+        want[item] = span_of(at, anchors, weak, set(range(40)))
+    anchored = spark.createDataFrame(rows, "item_id long, page_id long, book_id string, scan_page int, printed_page int, title_match boolean, matches long, exact long, line_indexes array<int>, exact_indexes array<int>, is_anchor boolean")
+    got = {r.item_id: r.asDict() for r in M.spans(spark.createDataFrame(best, "item_id long, book_id string, scan_page int"), anchored).collect()}
+    for item, span in want.items():
+        assert {k: got[item][k] for k in span} == span and got[item]["anchor_count"] == len(span["anchor_scans"]) and got[item]["best_scan"] == best[item][2]
+    assert sum(bool(s["continuation_scans"]) for s in want.values()) > 15 and sum(s["basis"] == "best_page_no_line_anchor" for s in want.values()) > 15
+
 
 
 def test_ordered_run_is_greedy():

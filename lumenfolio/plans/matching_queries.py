@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.profiles import LATIN_CLASSES
-from ..operators import audits, joins, lexicon, matching, page_pool, regions, reports, sequence
+from ..operators import audits, contents, joins, lexicon, matching, page_pool, regions, reports
 from ..operators import pages as P
 from . import text_queries  # noqa: F401  (its SQL is part of some here)
 from .base import ORACLES, norm, query, table, words, written
@@ -331,21 +331,44 @@ def levenshtein_suggestions(spark: SparkSession, d: str) -> DataFrame:
     return p.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("odd_token", "token", "distance")
 
 
+#: Lines of a contents page, and where documents' scans begin behind the contents pages of their book.
+CONTENTS_LINES, BODY_SCANS = 9, 1000
+
+
+def _contents_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Books with front matter that lists the passages, as a scanner might have read it, and documents as their numbered pages.
+
+    A fifth of the entries each: the title as it is, with a wrong letter, without its last word, a line of the text, and a title that repeats a word.
+    """
+    k, t = F.col("item_id"), F.col("title")
+    line = F.array_join(F.slice(F.split("text", " "), 13, 12), " ")
+    read = F.element_at(F.array(t, F.concat(F.substring(t, 1, 4), F.lit("x"), F.substring(t, F.lit(6), F.length(t))), F.regexp_replace(t, " [^ ]+$", ""), line, F.concat(t, F.lit(" "), F.substring_index(t, " ", 1))), (k % 5 + 1).cast("int"))
+    listed = _titled(spark, d).withColumns({"book_id": F.concat(F.lit("src"), (k % 20).cast("string")), "line": F.concat(read, F.lit(" ... "), (k % 400 + 1).cast("string"))})
+    place = F.row_number().over(Window.partitionBy("book_id").orderBy("item_id")) - 1
+    paged = listed.withColumn("leaf", F.floor(place / CONTENTS_LINES)).groupBy("book_id", "leaf").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "line"))), lambda x: x["line"]), "\n").alias("lines"))
+    own = lambda **c: [v.alias(n) for n, v in c.items()]
+    front = paged.select(F.col("book_id").alias("physical_book"), "book_id", *own(scan_page=(F.col("leaf") + 1).cast("int"), page_type=F.lit("front_matter"), printed_page=F.lit(None).cast("int"), basis=F.lit("missing"), confidence=F.lit(0.0), text=F.when(F.col("leaf") == 0, F.concat(F.lit("contents\n"), "lines")).otherwise(F.col("lines"))))
+    n = F.col("scan_page")
+    body = P.document_pages(table(spark, d, "documents").select("doc_id", "source", F.lit("").alias("text"))).select(F.col("book_id").alias("physical_book"), "book_id", *own(scan_page=n + BODY_SCANS, page_type=F.lit("normal_poem_page"), printed_page=F.when(n % 7 != 0, n), basis=F.lit("offset"), confidence=F.lit(0.9)), "text")
+    return front.unionByName(body)
+
+
+def _titled(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "benchmark").select("item_id", "text", F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("title"))
+
+
 @query()
 def toc_audit(spark: SparkSession, d: str) -> DataFrame:
-    """passages' titles and lines against the entries of made-up contents lines."""
-    docs = P.document_pages(table(spark, d, "documents"))
-    head = F.array_join(F.slice(F.split(F.get(F.split("text", "\n"), F.lit(0)), " "), 1, 6), " ")
-    line = F.concat(head, F.lit(" "), F.col("scan_page").cast("string"))
-    entries = docs.select("doc_id", "book_id", F.explode(X.toc_entries(line)).alias("e"))
-    entries = entries.select(F.col("doc_id").alias("entry_id"), "book_id", X.normalize(F.col("e.title")).alias("entry_title"), F.col("e.page").alias("page"))
-    items = table(spark, d, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("title"), F.col("text").alias("body"))
-    # documents' heads are no titles of these passages, so what is asked for is less than a review would ask for
-    best = matching.best_surface(matching.surfaces(items, "title", "body"), entries.select("entry_id", "entry_title"), 0.5)
-    top = sequence.runner_up(best, ["item_id"], "score", ["entry_id"])
-    known = top.join(entries.select("entry_id", "book_id", "page"), "entry_id", "left")
-    status = matching.toc_status(F.col("page").isNotNull(), F.lit(False), F.col("basis"), F.lit(False), F.lit(True), F.col("score"), F.coalesce("runner_up_gap", F.col("score")))
-    return known.select("item_id", "entry_id", "basis", "score", "runner_up_gap", status.alias("status"))
+    """Passages against the entries of detected contents pages, at the review's least score."""
+    entries = written(contents.contents_entries(_contents_pages(spark, d), "contents", r"\p{L}"))
+    k = F.col("item_id")
+    items = _titled(spark, d)
+    body = passage_lines(spark, d).groupBy("item_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_index", "text"))), lambda x: x["text"]), "\n").alias("body"))
+    surfaces = written(matching.surfaces(items.join(body, "item_id"), "title", "body"))
+    edition = F.when(k % 3 == 0, "unknown").when(k % 3 == 1, F.concat(F.lit("E"), (k % 20).cast("string"))).otherwise(F.concat(F.lit("E"), ((k + 1) % 20).cast("string")))
+    titles = entries.select(F.col("candidate_book").alias("book_id")).distinct().withColumn("canonical", F.regexp_replace("book_id", "^src", "E"))
+    out = contents.contents_audit(items.select("item_id", edition.alias("edition"), X.normalize(F.col("title")).alias("title")), surfaces, entries, titles, "unknown")
+    return out.select("item_id", "toc_book", "toc_scan", "page", "candidate_scan", "basis", "entry_title", "score", F.round("runner_up_gap", 4).alias("runner_up_gap"), "status")
 
 
 _ISSUES = ORACLES["line_issues"].replace("SELECT unnest(string_split(text, chr(10))) AS raw FROM documents", "SELECT doc_id, unnest(string_split(text, chr(10))) AS raw FROM documents").replace("SELECT trim(raw) AS s FROM l", "SELECT doc_id, trim(raw) AS s FROM l").replace("k AS (SELECT unnest(", "k AS (SELECT doc_id, unnest(").replace("SELECT kind, count(*)::BIGINT AS n FROM k GROUP BY kind", "SELECT doc_id, count(*)::BIGINT AS issues FROM k GROUP BY doc_id")

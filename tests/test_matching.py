@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenfolio.functions import text as X
-from lumenfolio.operators import gates, matching, page_pool, regions, sequence
+from lumenfolio.operators import contents, gates, matching, page_pool, regions, sequence
 from lumenfolio.plans import evidence_queries
 from lumenfolio.plans.base import folder
 
@@ -314,7 +314,7 @@ def test_numbers_of_a_global_order(spark):
 
 
 def test_best_surface_loses_none(spark):
-    """Length and edit-distance bounds leave every pair that shares a token and reaches the least score."""
+    """Keys, length and edit-distance bounds leave every pair that reaches the least score."""
     rnd = random.Random(7)
     vocabulary = [f"w{chr(97 + i)}{chr(97 + j)}rd" for i in range(6) for j in range(5)]
     surface = [(i, "title" if i % 2 else "body_line", None if i % 2 else 1, " ".join(rnd.choices(vocabulary, k=rnd.randint(1, 5)))) for i in range(40)]
@@ -324,7 +324,7 @@ def test_best_surface_loses_none(spark):
         entries.append((k, rnd.choice([t, t + " more", t[:-1] + "x", t.replace("a", "b", 1), " ".join(rnd.choices(vocabulary, k=3))])))
     s = spark.createDataFrame(surface, "item_id long, basis string, line_index int, text string")
     e = spark.createDataFrame(entries, "entry_id long, entry_title string")
-    brute = s.crossJoin(e).where(F.arrays_overlap(X.token_set(F.col("text"), 2), X.token_set(F.col("entry_title"), 2))).withColumn("score", matching.title_similarity(F.col("text"), F.col("entry_title")))
+    brute = s.crossJoin(e).withColumn("score", matching.title_similarity(F.col("text"), F.col("entry_title")))
     want = {(r.item_id, r.entry_id): r.score for r in brute.where("score >= 0.82").collect()}
-    got = {(r.item_id, r.entry_id): r.score for r in matching.best_surface(s, e).collect()}
+    got = {(r.item_id, r.entry_id): r.score for r in contents.best_surfaces(s, e).collect()}
     assert got == want and len(got) > 20

@@ -100,7 +100,7 @@ def date_audit(items: DataFrame, lines: DataFrame, least_chars: int = 14, profil
     t = wanted.join(lines, "page_id").withColumn("plain", X.normalize(F.col("text"), profile))
     hold = F.exists("body_lines", lambda s: F.contains(F.col("plain"), s["text"]) | ((F.length("plain") >= least_chars) & F.contains(s["text"], F.col("plain"))))
     near = lines_after(t.withColumn("hit", hold & (F.col("plain") != "")), ["item_id", "page_id"], "line_no", "hit")
-    found = near.where(X.is_date_line(F.col("text"))).groupBy("item_id").agg(F.count("*").alias("date_lines"), F.count_if(F.size(X.date_evidence(F.col("text"))) >= 3).alias("strong_lines"), F.min_by("text", "line_no").alias("first_date"))
+    found = near.where(X.is_date_line(F.col("text"))).groupBy("item_id").agg(F.count("*").alias("date_lines"), F.count_if(F.size(X.date_evidence(F.col("text"))) >= 3).alias("strong_lines"), F.min_by("text", F.struct("page_id", "line_no")).alias("first_date"))
     return items.select("item_id").distinct().join(found, "item_id", "left").select("item_id", F.coalesce("date_lines", F.lit(0)).alias("date_lines"), "first_date", date_status(F.coalesce("date_lines", F.lit(0)), F.coalesce("strong_lines", F.lit(0))).alias("status"))
 
 

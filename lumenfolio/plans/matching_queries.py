@@ -276,11 +276,24 @@ def citation_status(spark: SparkSession, d: str) -> DataFrame:
     return _citations(spark, d).select("citation_id", audits.citation_status(F.col("citation_id") % 4 == 0).alias("status"))
 
 
-@query()
+_TAGS = ", ".join(f"CASE WHEN regexp_matches(lower(raw), '{p}') THEN '{n}' END" for n, p in (("month", X.LATIN_MONTHS), ("digit", "[০-৯0-9]"), ("year", X.LATIN_YEAR), ("place", X.LATIN_PLACES)))
+
+
+@query(rf"""WITH b AS (SELECT item_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: {norm('x')}), lambda x: length(replace(x, ' ', '')) >= 14) AS body FROM benchmark), s AS (SELECT doc_id, doc_id % (SELECT count(*) FROM benchmark) AS item_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents),
+l AS (SELECT item_id, doc_id, raw, i FROM (SELECT item_id, doc_id, unnest(s) AS raw, generate_subscripts(s, 1) - 1 AS i, len(s) AS n FROM s) WHERE NOT (i = n - 1 AND raw = '')), p AS (SELECT l.*, {norm('raw')} AS plain, body FROM l JOIN b USING (item_id)),
+h AS (SELECT *, plain <> '' AND len(list_filter(body, lambda x: contains(plain, x) OR (length(plain) >= 14 AND contains(x, plain)))) > 0 AS hit FROM p),
+n AS (SELECT *, max(CASE WHEN hit THEN i END) OVER (PARTITION BY item_id, doc_id) AS last, row_number() OVER (PARTITION BY item_id, doc_id ORDER BY i DESC) AS rn FROM h),
+t AS (SELECT *, list_filter([{_TAGS}], lambda x: x IS NOT NULL) AS tags FROM n WHERE (i > last AND i <= last + 5) OR rn <= 5),
+f AS (SELECT * FROM t WHERE length(regexp_replace(raw, '[ 	
+]+', '', 'g')) BETWEEN 4 AND 48 AND ((list_contains(tags, 'month') AND list_contains(tags, 'digit')) OR (list_contains(tags, 'year') AND list_contains(tags, 'place')))),
+a AS (SELECT item_id, count(*) AS n, count(*) FILTER (WHERE len(tags) >= 3) AS strong, arg_min(raw, (doc_id, i)) AS first FROM f GROUP BY 1)
+SELECT item_id, coalesce(n, 0)::BIGINT AS date_lines, first AS first_date, CASE WHEN coalesce(n, 0) = 0 THEN 'no_date_evidence' WHEN strong > 0 THEN 'strong_date_review' ELSE 'date_review' END AS status FROM (SELECT DISTINCT item_id FROM s JOIN b USING (item_id)) LEFT JOIN a USING (item_id)""")
 def date_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Passages against the lines of one document each."""
-    items = table(spark, d, "benchmark").select("item_id", F.col("item_id").alias("page_id"), F.col("text").alias("body"))
-    lines = table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.posexplode(X.lines(F.col("text"))).alias("line_no", "text"))
+    """Passages against the lines of the documents that cite them, each document the passage of its number among all."""
+    passages, docs = table(spark, d, "benchmark"), table(spark, d, "documents")
+    cited = docs.select((F.col("doc_id") % passages.count()).alias("item_id"), F.col("doc_id").alias("page_id"))
+    items = cited.join(passages.select("item_id", F.col("text").alias("body")), "item_id")
+    lines = docs.select(F.col("doc_id").alias("page_id"), F.posexplode(X.lines(F.col("text"))).alias("line_no", "text"))
     return audits.date_audit(items, lines)
 
 

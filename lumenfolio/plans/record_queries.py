@@ -111,13 +111,13 @@ def import_texts(spark: SparkSession, d: str) -> DataFrame:
 _NUKTA = "replace(replace(replace({}, 'o', 'ড়'), 'e', 'ঢ়'), 'a', 'য়')"
 
 
-@query(f"SELECT doc_id, md5(replace(replace(replace(replace({_NUKTA.format('lower(text)')}, 'ড়', 'ড'), 'ঢ়', 'ঢ'), 'য়', 'য'), '়', '')) AS folded FROM documents WHERE doc_id % 4 = 0")
+@query(f"SELECT doc_id, md5(replace(replace(replace(replace({_NUKTA.format('lower(text)')}, 'ড়', 'ড'), 'ঢ়', 'ঢ'), 'য়', 'য'), '়', '')) AS folded FROM documents")
 def folded_letters(spark: SparkSession, d: str) -> DataFrame:
     """Letters with a nukta become plain ones."""
     t = F.lower("text")
     for plain, letter in (("o", "ড়"), ("e", "ঢ়"), ("a", "য়")):
         t = F.replace(t, F.lit(plain), F.lit(letter))
-    return table(spark, d, "documents").where("doc_id % 4 = 0").select("doc_id", F.md5(X.fold_letters(t)).alias("folded"))
+    return table(spark, d, "documents").select("doc_id", F.md5(X.fold_letters(t)).alias("folded"))
 
 
 @query("""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), i AS (SELECT doc_id, l, CASE WHEN len(l) <= 4 THEN range(0, len(l)) ELSE list_sort(list_distinct([round_even((len(l) - 1) / 3.0 * k, 0)::BIGINT for k in range(0, 4)])) END AS i FROM l)
@@ -180,12 +180,12 @@ def exact_book_pages(spark: SparkSession, d: str) -> DataFrame:
     return joins.expand_range(cited, "s", "e", "line").join(lines, ["o_orderkey", "line"]).select("o_orderkey", "line")
 
 
-@query(f"""WITH b AS (SELECT item_id, {norm('text')} AS n FROM benchmark), d AS (SELECT doc_id, {norm('text')} AS n FROM documents) SELECT b.item_id, b.n = d.n OR contains(b.n, d.n) OR contains(d.n, b.n) AS meets FROM b JOIN d ON b.item_id = d.doc_id""")
+@query(f"""WITH b AS (SELECT item_id, {norm('text')} AS n FROM benchmark), d AS (SELECT doc_id, doc_id % (SELECT count(*) FROM benchmark) AS item_id, {norm('text')} AS n FROM documents) SELECT doc_id, item_id, b.n = d.n OR contains(b.n, d.n) OR contains(d.n, b.n) AS meets FROM b JOIN d USING (item_id)""")
 def containment(spark: SparkSession, d: str) -> DataFrame:
-    """Texts of which either holds the other."""
-    b = table(spark, d, "benchmark").select("item_id", X.normalize(F.col("text")).alias("a"))
-    t = table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), X.normalize(F.col("text")).alias("b"))
-    return b.join(t, "item_id").select("item_id", joins.contains_either_way(F.col("a"), F.col("b")).alias("meets"))
+    """Texts of which either holds the other; each document with the passage of its number among all."""
+    passages = table(spark, d, "benchmark")
+    t = table(spark, d, "documents").select("doc_id", (F.col("doc_id") % passages.count()).alias("item_id"), X.normalize(F.col("text")).alias("b"))
+    return t.join(passages.select("item_id", X.normalize(F.col("text")).alias("a")), "item_id").select("doc_id", "item_id", joins.contains_either_way(F.col("a"), F.col("b")).alias("meets"))
 
 
 _EDITION = "CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'unknown' WHEN 2 THEN 'B1' ELSE 'B9' END"

@@ -47,21 +47,33 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, without warranties or conditions of any kind, either express or implied.",
         "This project is released under the Apache 2.0 license.",
+        "Apache License, Version 2.0, January 2004",
+        "Distributed under the terms of the Apache License, Version 2.0.",
     ),
     "mit": (
         "Released under the MIT License.",
         "This software is released under the MIT License.",
         "Licensed under the MIT license, see the LICENSE file for details.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
+        "Distributed under the terms of the MIT license.",
+        "The MIT License (MIT)",
+        "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.",
     ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
         "Licensed under GPLv3.",
+        "Distributed under the GNU GPL version 3 or later.",
+        "This file is licensed under the GPL v3.",
     ),
     "gpl-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
         "You can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License.",
+        "Distributed under the GNU GPL version 2.",
+        "This file is licensed under the GPL v2.",
+    ),
+    "gpl": (
+        "This program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose. See the GNU General Public License for more details.",
     ),
     "lgpl": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1 or later.",
@@ -70,6 +82,8 @@ TEMPLATES = {
     "bsd": (
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Distributed under the terms of the BSD license.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
     ),
     "mpl-2.0": (
@@ -115,7 +129,7 @@ OTHERS = (
 TEMPLATES["isc"] = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",)
 #: Short names of each family, as tags and identifiers have them.
 NAMES = {
-    "apache-2.0": ("Apache-2.0",), "mit": ("MIT",), "gpl-3.0": ("GPL-3.0-only", "GPL-3.0-or-later"), "gpl-2.0": ("GPL-2.0-only", "GPL-2.0-or-later"), "lgpl": ("LGPL-2.1-only", "LGPL-2.1-or-later"),
+    "apache-2.0": ("Apache-2.0",), "mit": ("MIT",), "gpl-3.0": ("GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"), "gpl-2.0": ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later"), "lgpl": ("LGPL-2.1-only", "LGPL-2.1-or-later"),
     "bsd": ("BSD-3-Clause", "BSD-2-Clause"), "mpl-2.0": ("MPL-2.0",), "cc-by": ("CC-BY-4.0",), "cc-by-sa": ("CC-BY-SA-4.0",), "cc-by-nc": ("CC-BY-NC-4.0",), "cc0": ("CC0-1.0",), "isc": ("ISC",),
 }
 for _family, _names in NAMES.items():

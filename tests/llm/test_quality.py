@@ -301,3 +301,17 @@ def test_scan_of_single_lines_against_brute_force(spark, docs):
     got = {r.doc_id: r.license for r in licenses.scan(rows).collect()}
     want = {i: family(x) for i, x in enumerate(lines)}
     assert got == want and sum(f is not None for f in want.values()) >= 3
+
+
+def test_short_and_partial_notices(spark):
+    """Common short wordings and single clauses of long licences; words of theirs in other sentences are none."""
+    cases = [
+        ("Distributed under the terms of the MIT license.", "mit"), ("The MIT License (MIT)", "mit"), ("This file is licensed under the GPL v2.", "gpl-2.0"), ("Distributed under the GNU GPL version 3 or later.", "gpl-3.0"), ("License: GPL-3.0", "gpl-3.0"),
+        ("Apache License\n  Version 2.0, January 2004", "apache-2.0"), ("  * Redistributions of source code must retain the above copyright notice,\n    this list of conditions and the following disclaimer.", "bsd"),
+        ("This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.", "gpl"),
+        ('THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.', "mit"),
+        ("The apache helicopter was seen over the hill.", ""), ("A license from MIT was granted to the company.", ""), ("The terms of the bsd were distributed.", ""), ("The mit license was a topic of the talk.", ""), ("He is licensed to drive under the law, version 2.", ""),
+    ]
+    rows = spark.createDataFrame([(i, f"Some words before it.\n\n{t}\n\nAnd some behind it.") for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.families for r in licenses.scan(rows).collect()}
+    assert [got[i] for i in range(len(cases))] == [f for _, f in cases]

@@ -37,13 +37,40 @@ def token_places(tokens: DataFrame, book: str, page: str, most: int = 4) -> Data
     return books.join(first, "token").select("token", "books", "count", F.transform("p", lambda x: x[page]).alias("first_pages"))
 
 
+#: Tokens of at most so many characters meet by deletions, those of at least so many by bigrams; together they leave no pair out.
+MOST_DELETED, LEAST_BIGRAMS = 5, 4
+
+
+def similar_pairs(odd: DataFrame, known: DataFrame, least: float = 0.78, apart: int = 2) -> DataFrame:
+    """odd_token, token: pairs of the same first letter and lengths at most ``apart`` that may reach a gestalt ratio; all that do are among them.
+
+    What a ratio matches is a common subsequence, so it bounds the deletions and
+    insertions between two tokens, and these the bigrams that stay common
+    (``contents.least_bigrams``). Long tokens meet over one of their rarest
+    bigrams, with the first letter and the length, so no key holds all
+    tokens of a letter; short ones over what is left after deletions. Sides are (odd_token)
+    and (token), distinct; known tokens count the bigrams.
+    """
+    from .contents import deletions, least_bigrams, numbered_bigrams, rarest
+
+    sides = [x.select(F.col(c).alias("id"), F.length(c).alias("n"), F.substring(c, 1, 1).alias("letter")) for x, c in ((odd, "odd_token"), (known, "token"))]
+    each = [x.where(F.col("n") >= LEAST_BIGRAMS).select("id", "letter", "n", F.explode(numbered_bigrams(F.col("id"))).alias("feature")) for x in sides]
+    seen = each[1].groupBy("feature").agg(F.count("*").alias("df"))
+    left, right = (rarest(x, seen, F.col("n") - least_bigrams(F.col("n"), least)) for x in each)
+    near = F.explode(F.transform(F.sequence(F.lit(-apart), F.lit(apart)), lambda d: F.col("n") + d))
+    by_bigram = left.select(F.col("id").alias("odd_token"), "letter", "feature", near.alias("n")).join(right.select(F.col("id").alias("token"), "letter", "feature", "n"), ["letter", "feature", "n"])
+    short = [x.where(F.col("n") <= MOST_DELETED).select(F.col("id").alias(c), "letter", F.explode(deletions(F.col("id"))).alias("rest")) for x, c in zip(sides, ("odd_token", "token"), strict=True)]
+    pairs = by_bigram.select("odd_token", "token").union(short[0].join(short[1], ["letter", "rest"]).select("odd_token", "token")).distinct()
+    return pairs.where((F.abs(F.length("odd_token") - F.length("token")) <= apart) & (F.levenshtein("odd_token", "token") <= (1 - least) * (F.length("odd_token") + F.length("token")) + 1e-9))
+
+
 def suggestions(odd: DataFrame, known: DataFrame, most: int = 5, least_ratio: float = 0.78, own: DataFrame | None = None) -> DataFrame:
     """odd_token, token, score, count, basis, rank: equal keys 1.0, equal loose keys 0.94, else a gestalt ratio.
 
     Loose keys are asked only where keys give fewer than ``most``, similarity
     only where both do; of the similar ones the first 6 * most in the order
-    of counts are looked at. Similar pairs meet by first letter and length
-    within 2, which are equi keys. ``own`` (odd_token, token, count) is taken
+    of counts are looked at. Similar pairs have the same first letter and lengths within
+    2, and meet by ``similar_pairs``. ``own`` (odd_token, token, count) is taken
     off the counts: what the odd token's own file holds.
     """
     a = odd.select(F.col("token").alias("odd_token"), F.col("key").alias("odd_key"), F.col("loose").alias("odd_loose"))
@@ -63,10 +90,8 @@ def suggestions(odd: DataFrame, known: DataFrame, most: int = 5, least_ratio: fl
     loose = less_own(pick(first(open_.join(usable, F.col("odd_loose") == F.col("loose")), 2 * most), 0.94, "loose_vowel_key"))
     have = exact.unionByName(loose).groupBy("odd_token").agg(F.count("*").alias("have"))
     left = a.join(have, "odd_token", "left").withColumn("have", F.coalesce("have", F.lit(0))).where(F.col("have") < most)
-    lengths = left.withColumn("len", F.explode(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda d: F.length("odd_token") + d)))
-    pairs = lengths.join(usable, (F.substring("odd_token", 1, 1) == F.substring("token", 1, 1)) & (F.col("len") == F.length("token")))
-    # no common subsequence is longer than the edit distance leaves, so only pairs that can reach the ratio come to the kernel
-    pairs = pairs.where(F.levenshtein("odd_token", "token") <= (1 - least_ratio) * (F.length("odd_token") + F.length("token")) + 1e-9)
+    pairs = similar_pairs(left.select("odd_token").distinct(), usable.select("token").distinct(), least_ratio)
+    pairs = pairs.join(left.select("odd_token", "have"), "odd_token").join(usable.select("token", "count"), "token")
     similar = less_own(pairs.where(F.col("token") != F.col("odd_token")).select("odd_token", "have", "token", "count")).withColumn("score", gestalt_ratio(F.col("odd_token"), F.col("token"))).where(F.col("score") >= least_ratio)
     rank = F.row_number().over(Window.partitionBy("odd_token").orderBy(F.col("count").desc(), "token"))
     similar = similar.withColumn("rn", rank).where(F.col("rn") <= 6 * most - F.col("have")).select("odd_token", "token", "score", "count", F.lit("edit_similarity").alias("basis"))

@@ -1,6 +1,7 @@
 """Evidence, gates, joins, lexicon, audits, sources, sinks and streaming on small cases."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,3 +170,24 @@ def test_guard_raises(spark):
         imports.guarded(rows, "o", ["a"], []).collect()
     with pytest.raises(Exception, match="excluded: a"):
         imports.guarded(rows, "o", ["a", "b"], ["a"]).collect()
+
+
+def test_similar_pairs_lose_none(spark):
+    """Bigrams and deletions against all pairs of tokens, of lengths from one letter up."""
+    from difflib import SequenceMatcher
+
+    rnd = random.Random(9)
+    known = {"".join(rnd.choice("abeinorst") for _ in range(rnd.randint(1, 11))) for _ in range(700)}
+
+    def misread(t):
+        for _ in range(rnd.randint(0, 3)):
+            i = rnd.randrange(len(t) + 1)
+            t = t[:i] + rnd.choice(["", "a", "o", "x"]) + t[i + rnd.randrange(2) :]
+        return t or "a"
+
+    odd = {misread(t) for t in rnd.sample(sorted(known), 250)} | {"a", "ab", "aba"}
+    want = {(a, b): SequenceMatcher(None, a, b).ratio() for a in odd for b in known if a[0] == b[0] and abs(len(a) - len(b)) <= 2}
+    pairs = lexicon.similar_pairs(spark.createDataFrame([(t,) for t in sorted(odd)], "odd_token string"), spark.createDataFrame([(t,) for t in sorted(known)], "token string"))
+    got = {(r.odd_token, r.token) for r in pairs.collect()}
+    sure = {k for k, v in want.items() if v >= 0.78}
+    assert sure <= got <= set(want) and len(sure) > 150

@@ -287,6 +287,29 @@ def pair_kernels(spark: SparkSession, d: str) -> DataFrame:
     return t.select("item_id", "line_index", kernels.common_substring("a", "b").alias("run"), kernels.token_common_run("x", "y").alias("token_run"), kernels.token_lcs("x", "y").alias("lcs"))
 
 
+@query(f"SELECT item_id, 1.0::DOUBLE AS same, (CASE WHEN length(text) > 0 THEN length(text) END)::INTEGER AS run, len({words(norm('text'))})::INTEGER AS lcs FROM benchmark")
+def self_kernels(spark: SparkSession, d: str) -> DataFrame:
+    """T41, T43, T44, T45 of texts against themselves: ratio 1, and the whole text in common; ``pair_kernels`` and ``gestalt_pairs`` have unlike ones."""
+    w = X.words(X.normalize(F.col("text")))
+    t = table(spark, d, "benchmark").select("item_id", "text", w.alias("w"))
+    run, lcs, tokens = kernels.common_substring("text", "text"), kernels.token_lcs("w", "w"), kernels.token_common_run("w", "w")
+    return t.select("item_id", kernels.gestalt_ratio("text", "text").alias("same"), run.alias("run"), lcs.alias("lcs"), tokens.alias("tokens")).where("lcs = tokens").drop("tokens")
+
+
+_TITLE = "array_to_string(string_split(text, ' ')[1:6], ' ')"
+_BLOCKS = "flatten(list_transform(range(1, length(a) + 1), lambda i: list_transform(range(1, length(a) - i + 2), lambda k: {'k': k, 'i': -i, 'j': strpos(b, substr(a, i, k))})))"
+
+
+@query(f"""WITH RECURSIVE p AS (SELECT x.item_id, {_TITLE.replace('text', 'x.text')} AS a, {_TITLE.replace('text', 'y.text')} AS b FROM benchmark x JOIN benchmark y ON y.item_id = x.item_id + 1),
+s AS (SELECT item_id, a, b, 0::BIGINT AS k FROM p UNION ALL SELECT item_id, CASE WHEN side = 0 THEN substr(a, 1, -m.i - 1) ELSE substr(a, m.k - m.i) END, CASE WHEN side = 0 THEN substr(b, 1, m.j - 1) ELSE substr(b, m.k + m.j) END, CASE WHEN side = 0 THEN m.k ELSE 0 END FROM (SELECT item_id, a, b, list_max(list_filter({_BLOCKS}, lambda x: x.j > 0)) AS m FROM s WHERE a <> '' AND b <> ''), (VALUES (0), (1)) v(side) WHERE m IS NOT NULL)
+SELECT p.item_id, round(2.0 * sum(s.k) / (length(p.a) + length(p.b)), 6)::DOUBLE AS ratio FROM p JOIN s USING (item_id) GROUP BY p.item_id, p.a, p.b""")
+def gestalt_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """T41 of unlike texts: the first words of a passage and of the next one."""
+    t = table(spark, d, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("a"))
+    after = t.select((F.col("item_id") - 1).alias("item_id"), F.col("a").alias("b"))
+    return t.join(after, "item_id").select("item_id", F.round(kernels.gestalt_ratio("a", "b"), 6).alias("ratio"))
+
+
 # Report orders: rows by arithmetic on the id, and the place that each order gives them.
 _REPORT = """SELECT doc_id, 'f' || lpad(doc_id::VARCHAR, 9, '0') AS key, doc_id % 7 AS ordered_run, doc_id % 5 AS longest_line_run, doc_id % 11 AS line_matches, CASE WHEN doc_id % 9 = 0 THEN NULL ELSE doc_id % 4 END AS exact_lines, (doc_id % 13) / 4.0 AS score,
  doc_id % 2 = 0 AS verified, (doc_id % 6) / 8.0 AS ratio, (doc_id % 17) AS page, 'e' || doc_id % 3 AS edition, 't' || lpad((doc_id * 7919 % 100003)::VARCHAR, 6, '0') || doc_id AS title, doc_id % 8 AS evidence_score, CASE doc_id % 4 WHEN 0 THEN 'reviewed_negative' WHEN 1 THEN 'no_candidate' WHEN 2 THEN 'review' ELSE 'token_or_title_only_candidate' END AS bucket,

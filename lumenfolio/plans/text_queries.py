@@ -11,7 +11,7 @@ from ..functions import text as X
 from ..functions.entities import REFERENCE, REPLACED
 from ..functions.profiles import LATIN_CLASSES
 from ..operators import pages as P
-from .base import norm, query, table, words
+from .base import ORACLES, norm, query, table, words
 
 _LETTERS = "".join(LATIN_CLASSES)
 _CLASSES = "".join(chr(0xE000 + i) for i, g in enumerate(LATIN_CLASSES) for _ in g)
@@ -113,7 +113,13 @@ def page_type(spark: SparkSession, d: str) -> DataFrame:
     return P.classified(table(spark, d, "documents").select("doc_id", "text"), "text", P.LATIN).select("doc_id", "page_type")
 
 
-@query()
+_NUMBER_LINE = r"^[^\p{L}\p{M}\p{N}]*([০-৯0-9]{1,3})[^\p{L}\p{M}\p{N}]*$"
+
+
+@query(rf"""WITH t AS (SELECT doc_id, {_NB} AS x FROM documents), l AS (SELECT doc_id, zone, i, x[i + 1] AS raw, i + CASE zone WHEN 'top' THEN 0 ELSE 1000000000 END AS pos FROM t, (VALUES ('top'), ('bottom')) AS z(zone), unnest(range(0, len(x))) AS u(i) WHERE (zone = 'top' AND i < 4) OR (zone = 'bottom' AND i >= greatest(len(x) - 4, 0))),
+c AS (SELECT *, translate(regexp_extract(raw, '{_NUMBER_LINE}', 1), '০১২৩৪৫৬৭৮৯', '0123456789')::INTEGER AS value FROM l WHERE regexp_matches(raw, '{_NUMBER_LINE}')), f AS (SELECT doc_id, value, zone, min(pos) AS place, arg_max(i, pos) AS i, arg_max(raw, pos) AS raw FROM c GROUP BY 1, 2, 3),
+j AS (SELECT doc_id, count(*) AS n, '[' || string_agg('{{"value":' || value || ',"zone":"' || zone || '","line_index":' || i || ',"raw":' || to_json(raw) || '}}', ',' ORDER BY place) || ']' AS found FROM f GROUP BY 1)
+SELECT p.doc_id, p.page_type, coalesce(j.n, 0)::INTEGER AS candidates, coalesce(j.found, '[]') AS found FROM ({ORACLES['page_type']}) p LEFT JOIN j USING (doc_id)""")
 def page_candidates(spark: SparkSession, d: str) -> DataFrame:
     """T34, W1's input: page number candidates of all documents, with the page type."""
     t = P.classified(table(spark, d, "documents").select("doc_id", "text"), "text", P.LATIN)

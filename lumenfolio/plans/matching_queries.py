@@ -36,7 +36,7 @@ def corpus(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     p = P.document_pages(table(spark, d, "documents")).withColumnRenamed("doc_id", "page_id")
     p = p.withColumns({"printed_page": F.when(F.col("page_id") % 5 != 0, F.col("scan_page") + 3), "page_type": F.lit("normal_poem_page")})
     items = table(spark, d, "benchmark").withColumn("title", F.array_join(F.slice(F.split("text", " "), 1, 6), " "))
-    return matching.prepared_passages(items, "title", "text"), written(matching.prepared_pages(p))
+    return matching.prepared_passages(items, "title", "text"), written(matching.prepared_pages(p).drop("text"))
 
 
 _PASSAGES = f"""i AS (SELECT item_id, {norm("array_to_string(string_split(text, ' ')[1:6], ' ')")} AS title, {norm('text')} AS n, list_filter(list_transform(string_split(text, chr(10)), lambda x: {norm('x')}), lambda x: length(x) >= 8) AS lines FROM benchmark),
@@ -93,10 +93,9 @@ def span_proposal(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {_PASSAGES}, b AS (SELECT pr.item_id, pr.doc_id, overlap, row_number() OVER (PARTITION BY pr.item_id ORDER BY overlap DESC, pr.doc_id) AS rn FROM pr WHERE overlap >= 4) SELECT item_id, doc_id, overlap::BIGINT AS common FROM b WHERE rn <= 3""")
 def overlap_topk(spark: SparkSession, d: str) -> DataFrame:
     """The three documents that share the most tokens with a passage."""
-    passages, pages = corpus(spark, d)
-    met = matching.candidate_pairs(passages, pages, 4)
-    w = Window.partitionBy("item_id").orderBy(F.col("overlap").desc(), "page_id")
-    return met.withColumn("rn", F.row_number().over(w)).where("rn <= 3").select("item_id", F.col("page_id").alias("doc_id"), F.col("overlap").alias("common"))
+    side = lambda name, key, to: table(spark, d, name).select(F.col(key).alias(to), X.normalize(F.col("text")).alias("plain"), F.lit("").alias("signed"))
+    met = page_pool.page_pool(side("benchmark", "item_id", "item_id"), side("documents", "doc_id", "page_id"), page_pool.token_features(), 3, least_sum=4.0)
+    return met.select("item_id", F.col("page_id").alias("doc_id"), F.col("exact").alias("common"))
 
 
 _GRAMS = "SELECT {id} AS id, list_distinct(list_transform(range(1, length(c) - 3), lambda i: substr(c, i, 5))) AS g FROM (SELECT {id}, replace({norm}, ' ', '') AS c FROM {table})"
@@ -285,7 +284,8 @@ h AS (SELECT *, plain <> '' AND len(list_filter(body, lambda x: contains(plain,
 n AS (SELECT *, max(CASE WHEN hit THEN i END) OVER (PARTITION BY item_id, doc_id) AS last, row_number() OVER (PARTITION BY item_id, doc_id ORDER BY i DESC) AS rn FROM h),
 t AS (SELECT *, list_filter([{_TAGS}], lambda x: x IS NOT NULL) AS tags FROM n WHERE (i > last AND i <= last + 5) OR rn <= 5),
 f AS (SELECT * FROM t WHERE length(regexp_replace(raw, '[ 	
-]+', '', 'g')) BETWEEN 4 AND 48 AND ((list_contains(tags, 'month') AND list_contains(tags, 'digit')) OR (list_contains(tags, 'year') AND list_contains(tags, 'place')))),
+
+]+', '', 'g')) BETWEEN 4 AND 48 AND ((list_contains(tags, 'month') AND list_contains(tags, 'digit')) OR (list_contains(tags, 'year') AND list_contains(tags, 'place')))),
 a AS (SELECT item_id, count(*) AS n, count(*) FILTER (WHERE len(tags) >= 3) AS strong, arg_min(raw, (doc_id, i)) AS first FROM f GROUP BY 1)
 SELECT item_id, coalesce(n, 0)::BIGINT AS date_lines, first AS first_date, CASE WHEN coalesce(n, 0) = 0 THEN 'no_date_evidence' WHEN strong > 0 THEN 'strong_date_review' ELSE 'date_review' END AS status FROM (SELECT DISTINCT item_id FROM s JOIN b USING (item_id)) LEFT JOIN a USING (item_id)""")
 def date_audit(spark: SparkSession, d: str) -> DataFrame:

@@ -92,7 +92,7 @@ def char_ngram_set(text: Column, n: int) -> Column:
 
 def words(normal: Column) -> Column:
     """Words of a normalised text; none for an empty one."""
-    return F.when(normal == "", no_strings()).otherwise(F.split(normal, " "))
+    return let(normal, lambda n: F.when(n == "", no_strings()).otherwise(F.split(n, " ")))
 
 
 def token_set(normal: Column, least: int = 3) -> Column:

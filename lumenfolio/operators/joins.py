@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,23 +130,76 @@ def cosine_join(a: DataFrame, b: DataFrame, least: float = 0.0) -> DataFrame:
     return both.withColumn("cosine", F.col("dot") / (F.col("norm_a_id") * F.col("norm_b_id"))).where(F.col("cosine") >= least).select("a_id", "b_id", "cosine")
 
 
-def dense_topk(vectors: DataFrame, queries: DataFrame, top: int, block: int = 256) -> DataFrame:
+class _Nearest:
+    """The ``top`` vectors of each query of a block that a task has seen, by cosines to 9 decimals, then the smaller id; NaN comes first, null last."""
+
+    def __init__(self, sent: tuple[list[int], np.ndarray, np.ndarray, np.ndarray], top: int):
+        self.ids, self.q, self.norms, self.null = sent
+        self.top, self.least = top, np.full(len(self.ids), -np.inf)
+        self.best = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0)
+
+    def add(self, ids: np.ndarray, v: np.ndarray, norms: np.ndarray, null: np.ndarray) -> None:
+        with np.errstate(all="ignore"):
+            cosine = (v @ self.q.T) / (norms[:, None] * self.norms)
+        key = np.where(np.isnan(cosine), np.inf, np.round(cosine, 9))
+        key[null[:, None] | self.null] = -np.inf
+        own = ids[:, None] == np.array(self.ids)
+        if np.count_nonzero(key >= self.least) > 32 * len(self.ids) and len(ids) > self.top + 1:  # the query itself may be among them
+            self.least = np.maximum(self.least, np.partition(np.where(own, -np.inf, key), -self.top, axis=0)[-self.top])
+        row, of = np.nonzero((key >= self.least) & ~own)
+        found = of, key[row, of], ids[row], cosine[row, of]
+        every = [np.concatenate(x) for x in zip(self.best, found, strict=True)]
+        order = np.lexsort((every[2], -every[1], every[0]))
+        of, key, ids, cosine = (x[order] for x in every)
+        rank = np.arange(len(of)) - np.searchsorted(of, of)
+        last = rank == self.top - 1
+        self.least[of[last]] = key[last]
+        self.best = tuple(x[rank < self.top] for x in (of, key, ids, cosine))
+
+
+def _dense(vectors: pa.Array, norms: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Matrix, norms, and which rows have none: null, with a null component, or of another length."""
+    null = ~np.array([x == dim for x in pc.list_value_length(vectors).to_pylist()], bool) | np.array(norms.is_null())
+    kept = pa.array(~null)
+    out, n = np.zeros((len(null), dim)), np.zeros(len(null))
+    out[~null] = vectors.filter(kept).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    n[~null] = norms.filter(kept).to_numpy(zero_copy_only=False)
+    return out, n, null
+
+
+def dense_topk(vectors: DataFrame, queries: DataFrame, top: int, block: int = 4096) -> DataFrame:
     """J11 over dense vectors: query_id, vec_id, cosine of the ``top`` nearest of each query.
 
     Vectors are (vec_id, v, norm), queries (query_id, q, q_norm), a stated set
-    that is small beside the vectors. Queries go in blocks of ``block``; a block
-    is one row of bounded size that is sent to the tasks of the vectors, and
-    the rank's group limit cuts each task's pairs before the shuffle by query.
+    that is small beside the vectors. Queries go in blocks of some ``block``, each sent to the
+    tasks of the vectors, which take products of matrices; only each task's best leave it.
     """
-    n = max(1, -(-queries.count() // block))
-    packed = queries.withColumn("__b", F.pmod(F.xxhash64("query_id"), F.lit(n))).groupBy("__b").agg(F.collect_list(F.struct("query_id", "q", "q_norm")).alias("__q"))
-    dot = F.aggregate(F.zip_with("v", "x.q", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    order, out = (F.round("cosine", 9).desc(), F.col("vec_id")), None
+    spark = vectors.sparkSession
+    n, out = max(1, -(-queries.count() // block)), None
+    schema = "query_id long, vec_id long, cosine double"
     for i in range(n):
-        met = vectors.withColumn("__b", F.lit(i).cast("long")).join(F.broadcast(packed.where(F.col("__b") == i)), "__b").withColumn("x", F.explode("__q"))
-        part = met.where(F.col("vec_id") != F.col("x.query_id")).select(F.col("x.query_id").alias("query_id"), "vec_id", (dot / (F.col("norm") * F.col("x.q_norm"))).alias("cosine"))
+        asked = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i).select(F.col("query_id").cast("long"), "q", "q_norm").toArrow().combine_chunks()
+        if not asked.num_rows:
+            continue
+        q, q_norm = (asked[c].combine_chunks() for c in ("q", "q_norm"))
+        dim = max(pc.list_value_length(q).drop_null().to_pylist(), default=0)
+        sent = spark.sparkContext.broadcast((asked["query_id"].to_pylist(), *_dense(q, q_norm, dim)))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, dim=dim) -> Iterator[pa.RecordBatch]:
+            best = _Nearest(sent.value, top)
+            for whole in batches:
+                for at in range(0, whole.num_rows, 1024):
+                    b = whole.slice(at, 1024)
+                    best.add(b.column(0).to_numpy(zero_copy_only=False), *_dense(b.column(1), b.column(2), dim))
+            of, key, ids, cosine = best.best
+            names = np.array(best.ids, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(names[of]), pa.array(ids, pa.int64()), pa.array(cosine, pa.float64(), mask=np.isneginf(key))], ["query_id", "vec_id", "cosine"])
+
+        part = vectors.where("vec_id IS NOT NULL").select(F.col("vec_id").cast("long"), "v", "norm").mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
-    best = out.withColumn("__rn", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    if out is None:
+        return spark.createDataFrame([], schema)
+    best = out.withColumn("__rn", F.row_number().over(Window.partitionBy("query_id").orderBy(F.round("cosine", 9).desc(), "vec_id")))
     return best.where(F.col("__rn") <= top).drop("__rn")
 
 

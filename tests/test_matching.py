@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenfolio.functions import text as X
-from lumenfolio.operators import contents, gates, matching, page_pool, regions, sequence
-from lumenfolio.plans import evidence_queries
+from lumenfolio.operators import contents, gates, joins, matching, page_pool, regions, sequence
+from lumenfolio.plans import evidence_queries, matching_queries
 from lumenfolio.plans.base import folder
 
 BOOK = "page_id long, book_id string, scan_page int, printed_page int, page_type string, text string"
@@ -339,3 +339,31 @@ def test_best_surface_loses_none(spark):
     want = {(r.item_id, r.entry_id): r.score for r in brute.where("score >= 0.82").collect()}
     got = {(r.item_id, r.entry_id): r.score for r in contents.best_surfaces(s, e).collect()}
     assert got == want and len(got) > 20
+
+
+def test_nearest_by_blocks_of_matrices(spark):
+    """Ties go to the smaller id, null vectors come last, and no pair is made as a row."""
+    rnd = random.Random(4)
+    rows = [(i, [float(rnd.randint(-2, 2)) for _ in range(3)] + [1.0]) for i in range(1500)]
+    rows[7] = (7, None)
+    t = spark.createDataFrame(rows, "vec_id long, v array<double>").withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
+    q = t.where("vec_id % 100 = 0 OR vec_id = 7").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("norm").alias("q_norm"))
+    found = joins.dense_topk(t, q, 5, 4)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: (r.query_id, r.cosine is None, -round(r.cosine or 0, 9), r.vec_id)):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    norm = lambda v: sum(x * x for x in v) ** 0.5
+    for i, v in [r for r in rows if r[0] % 100 == 0]:
+        near = sorted((-round(sum(a * b for a, b in zip(v, w)) / (norm(v) * norm(w)), 9), j) for j, w in rows if w and j != i)
+        assert got[i] == [j for _, j in near[:5]]
+    assert got[7] == [0, 1, 2, 3, 4]
+
+
+def test_normal_text_is_worked_out_once(spark):
+    t = spark.createDataFrame([("A b",)], "text string").select(X.words(X.normalize(F.col("text"))).alias("w"))
+    assert t._jdf.queryExecution().optimizedPlan().toString().count("lower(") <= 1
+
+
+def test_top_pages_by_words_make_no_pairs(spark, sf):
+    assert "Join" not in matching_queries.overlap_topk(spark, sf)._jdf.queryExecution().executedPlan().toString()

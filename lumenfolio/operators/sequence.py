@@ -71,7 +71,8 @@ def repair(pages: DataFrame) -> DataFrame:
     """
     by_book = Window.partitionBy("book_id")
     w = by_book.orderBy("scan_page")
-    up, down = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    # what follows is what came before in the other order: a frame that only grows, where one that shrinks is summed anew for each page of a book
+    up, down = (by.rowsBetween(Window.unboundedPreceding, -1) for by in (w, by_book.orderBy(F.col("scan_page").desc())))
     t = pages.withColumn("idx", F.row_number().over(w) - 1).withColumn("trusted", F.col("page_type").isin(*TRUSTED))
     cand = t.where("trusted AND value IS NOT NULL").select("book_id", "scan_page", "value")
     offsets = supported_offsets(cand).groupBy("book_id").agg(F.array_sort(F.collect_list("offset")).alias("offsets"))
@@ -97,7 +98,7 @@ def repair(pages: DataFrame) -> DataFrame:
     place = F.when(F.col("anchor").isNotNull(), F.struct("idx", F.col("anchor").alias("page")))
     t = t.withColumns({
         "left": F.last(place, True).over(up),
-        "right": F.first(place, True).over(down),
+        "right": F.last(place, True).over(down),
         "anchors": F.count("anchor").over(by_book),
         "nth": F.count("anchor").over(w),
         "p": place,

@@ -1,6 +1,7 @@
 """Sequence repair and ordered runs against fixtures and Python models."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -205,3 +206,10 @@ def test_ordered_run_is_greedy():
     assert M.ordered_run([e(1, 1, 1), e(2, 1, 3), e(3, 1, 20), e(3, 2, 0)]) == 3
     assert M.ordered_run([e(1, 1, 1), e(3, 1, 2)]) == 1
     assert M.ordered_run([]) == 0
+
+
+def test_no_frame_is_summed_anew_for_each_page(spark):
+    """A frame that ends with the book and starts behind each page costs the square of a book's pages."""
+    df = spark.createDataFrame([("b", s, t, v, None, f) for s, t, v, f in pages(3, {1: 1})], PAGE)
+    plan = S.repair(df)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "unboundedpreceding" in plan and not re.search(r"rowframe, (?!unboundedpreceding)[^,]+, unboundedfollowing", plan)

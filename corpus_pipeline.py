@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lumenfolio.llm import near_dedup, packing, quality_gam, quality_rules, suffix_dedup
 from lumenfolio.llm.common import Scratch, remove, table
 from lumenfolio.llm.components import join_sized
+from lumenfolio.workers import importable
 
 #: Similarity in percent at which two documents are near-duplicates.
 NEAR_PERCENT = 80
@@ -84,12 +85,16 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs)
 
 
+#: Each can be called on its own: its workers find this package without a Python path set from outside.
 STAGES = [
-    ("quality_rules", rules_stage),
-    ("quality_classifier", classifier_stage),
-    ("near_dedup", near_dedup_stage),
-    ("suffix_dedup", suffix_dedup_stage),
-    ("packing", packing_stage),
+    (name, importable(stage))
+    for name, stage in (
+        ("quality_rules", rules_stage),
+        ("quality_classifier", classifier_stage),
+        ("near_dedup", near_dedup_stage),
+        ("suffix_dedup", suffix_dedup_stage),
+        ("packing", packing_stage),
+    )
 ]
 
 #: Stages that learn and link can't be told in SQL; tests hold them against brute force.

@@ -76,3 +76,14 @@ def test_suffix_stage_keeps_null_texts_and_columns(spark):
     got = {r.doc_id: r for r in corpus_pipeline.suffix_dedup_stage(spark, df, "").collect()}
     assert got[1].text is None and got[1].n_chars == 7 and got[2].text == "" and got[3].text == A and got[4].text == "" and got[4].n_chars == 0
     assert {(r.row, r.kept_text) for r in got.values()} == {("r", "k")}
+
+
+def test_stages_bring_the_package_to_their_workers(spark, docs, sf):
+    from lumenfolio.workers import ROOT
+
+    env = spark.sparkContext.environment
+    for _, stage in corpus_pipeline.STAGES:
+        before = env.pop("PYTHONPATH", None)
+        stage(spark, docs.limit(0), sf)
+        assert ROOT in env.get("PYTHONPATH", "").split(":")
+        env["PYTHONPATH"] = before or ROOT

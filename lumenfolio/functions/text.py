@@ -49,16 +49,36 @@ def substitute_words(text: Column, table: dict[str, str] | Column) -> Column:
     return F.array_join(F.transform(parts, lambda w: F.coalesce(F.try_element_at(known, w), w)), "")
 
 
+def _folded(text: Column, profile: NormProfile) -> Column:
+    """The first steps of T1: one translation drops zero-width characters and makes digits ASCII; then lower case."""
+    digits = (BANGLA_DIGITS, ASCII_DIGITS) if profile.digits else ("", "")
+    t = F.translate(F.coalesce(text, F.lit("")), digits[0] + "".join(ZERO_WIDTH), digits[1])
+    return F.lower(t) if profile.lower else t
+
+
 def normalize(text: Column, profile: NormProfile = LATIN) -> Column:
     """Normalised text; null becomes an empty text."""
-    t = drop_zero_width(F.coalesce(text, F.lit("")))
-    t = F.translate(t, BANGLA_DIGITS, ASCII_DIGITS) if profile.digits else t
-    t = F.lower(t) if profile.lower else t
+    t = _folded(text, profile)
+    if not profile.substitutions and not profile.equivalences:  # white space is no more kept than the rest, so one pass is enough
+        return F.trim(F.regexp_replace(t, f"[^{profile.keep}]+", " "))
     t = F.regexp_replace(t, f"[^{profile.keep} \\t\\n\\r\\f\\x0b]+", " ")
     t = substitute_words(t, profile.substitutions) if profile.substitutions else t
     return collapse(replace_all(t, equivalence_pairs(profile.equivalences)))
 
 
+def normal_lines(text: Column, profile: NormProfile = LATIN) -> Column:
+    """The normalised lines of a text, without empty ones.
+
+    The text is normalised as one, but for its line breaks, where what is kept holds no line
+    break and no rule reaches over one; so no expression is worked out line by line.
+    """
+    if profile.substitutions or profile.equivalences:
+        return F.filter(F.transform(lines(text), lambda x: normalize(x, profile)), lambda x: x != "")
+    breaks = r"\n\x0b\x0c\r\x1c-\x1e\x{85}\x{2028}\x{2029}"
+    whole = F.trim(F.regexp_replace(_folded(text, profile), f"[^{profile.keep}{breaks}]+", " "))
+    return F.filter(F.split(whole, f" *[{breaks}][{breaks} ]*"), lambda x: x != "")
+
+
 def compact(text: Column, profile: NormProfile | None = LATIN) -> Column:
     """T4: normalised (unless ``profile`` is None) and without white space."""
     return F.regexp_replace(normalize(text, profile) if profile else F.coalesce(text, F.lit("")), f"{WS}+", "")

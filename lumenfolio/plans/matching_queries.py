@@ -26,8 +26,8 @@ h AS (SELECT item_id, doc_id, count(*) FILTER (WHERE size = 6)::BIGINT AS hits_6
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY hits_6 DESC, hits_5 DESC, hits_4 DESC, covered DESC, score DESC, doc_id)::INTEGER AS rank FROM t) WHERE rank <= 5""")
 def phrase_window_audit(spark: SparkSession, d: str) -> DataFrame:
     """M6 (J8, A11, A21, O2): the documents that hold windows of each benchmark passage, phrases of at most two documents."""
-    needles = matching.phrase_windows(table(spark, d, "benchmark"), "item_id", "text")
-    pages = matching.phrase_windows(table(spark, d, "documents").withColumnRenamed("doc_id", "page_id"), "page_id", "text")
+    needles = written(matching.phrase_windows(table(spark, d, "benchmark"), "item_id", "text"))
+    pages = written(matching.phrase_pages(needles, table(spark, d, "documents").withColumnRenamed("doc_id", "page_id"), "text"))
     return matching.top_pages(matching.phrase_hits(needles, pages)).withColumnRenamed("page_id", "doc_id").select("item_id", "doc_id", "hits_6", "hits_5", "hits_4", "covered", "score", "rank")
 
 

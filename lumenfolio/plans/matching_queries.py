@@ -300,10 +300,10 @@ def date_audit(spark: SparkSession, d: str) -> DataFrame:
 def _odd(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     key = F.translate("token", "éèêäá0", "eeeaao")
     known = lexicon.lexicon(document_tokens(spark, d), key, F.regexp_replace(key, "[aeiouy]", "")).where("length(token) >= 4")
-    frequent = known.where("count >= 3")
+    frequent = written(known.where("count >= 3"))  # several steps read it: the documents are counted once
     t = table(spark, d, "benchmark").select(F.explode(X.token_set(X.normalize(F.col("text")), 4)).alias("token"))
     odd = t.groupBy("token").agg(F.count("*").alias("count")).join(frequent.select("token"), "token", "left_anti")
-    return odd.withColumns({"key": key, "loose": F.regexp_replace(key, "[aeiouy]", "")}), frequent
+    return written(odd.withColumns({"key": key, "loose": F.regexp_replace(key, "[aeiouy]", "")})), frequent
 
 
 @query()

@@ -19,27 +19,43 @@ import numpy as np
 U = np.uint64
 
 
-def sorted_suffixes(four: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """All suffixes in order, by doubling; ties up to a separator go by position.
-
-    ``four`` has the four letters at each position, ``left`` how many letters
-    there are up to the separator that follows.
+def first_letters(letters: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, int]:
+    """The first letters of each suffix as one number that sorts like them, and how many they are; zeros follow a separator, which is zero."""
+    present = np.bincount(letters) > 0
+    code = (np.cumsum(present) - present[0]).astype(U)  # small numbers for the letters that occur
+    key, bits, count = code[letters], max(1, int(code[-1]).bit_length()), 1
+    while bits * count <= 32:
+        behind = np.zeros_like(key)
+        behind[:-count] = key[count:]
+        behind[left < count] = 0
+        key = key << U(bits * count) | behind
+        count *= 2
+    return key, count
+
+
+def sorted_suffixes(letters: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """All suffixes in order, by the ranks of two or three places at once; ties up to a separator go by position.
+
+    ``left`` has how many letters there are up to the separator that follows.
     """
     n = len(left)
-    short = left < 4  # what follows a separator doesn't count
-    shift = U(16) * (U(3) - np.minimum(left, 3).astype(U))
-    key = np.where(short, four >> shift << shift, four)
-    order = np.argsort(key, kind="stable")
+    key, step = first_letters(letters, left)
+    short = left < step
+    order = np.argsort(key)
+    ties = np.flatnonzero(short[order])
+    own = order[ties]
+    order[ties] = own[np.lexsort((own, key[own]))]
     key = key[order]
     new = np.concatenate([[True], (key[1:] != key[:-1]) | short[order[1:]]])
     slot = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     rank = np.empty(n, np.int64)
     rank[order] = slot
-    step = 4
     open_ = _tied(order, slot)
     while len(open_):
         key = rank[open_] * n + rank[np.minimum(open_ + step, n - 1)]
-        by = np.argsort(key, kind="stable")
+        if n < 1 << 21:  # where the second place is beyond the separator its rank is its own, and the third one decides nothing
+            key = key * n + rank[np.minimum(open_ + 2 * step, n - 1)]
+        by = np.argsort(key)
         open_, key = open_[by], key[by]
         old = rank[open_]
         at = np.arange(len(open_))
@@ -48,7 +64,7 @@ def sorted_suffixes(four: np.ndarray, left: np.ndarray) -> np.ndarray:
         slot = old + fresh - group
         rank[open_] = slot
         open_ = _tied(open_, slot)
-        step *= 2
+        step *= 3 if n < 1 << 21 else 2
     suffixes = np.empty(n, np.int64)
     suffixes[rank] = np.arange(n)
     return suffixes
@@ -103,7 +119,7 @@ class RunIndex:
         left = np.repeat(ends, lengths + 1) - np.arange(n)
         wide = np.concatenate([letters, np.zeros(3, np.uint16)]).astype(U)
         four = (wide[:n] << U(48)) | (wide[1 : n + 1] << U(32)) | (wide[2 : n + 2] << U(16)) | wide[3 : n + 3]
-        suffixes = sorted_suffixes(four, left)
+        suffixes = sorted_suffixes(letters, left)
         before = letters[suffixes - 1]
         first = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (before[1:] == 0)]))
         self.heads, self.run_lengths = before[first], np.diff(np.append(first, n))

@@ -15,7 +15,8 @@ import pyarrow as pa
 import xxhash
 
 U = np.uint64
-BLOCK = 1 << 19
+#: Items worked on at once, so that temporary arrays stay in a processor's cache.
+BLOCK = 1 << 16
 #: Odd numbers that are 3 modulo 8, so that 1 - base keeps all but one bit.
 _BASES = (0x9E3779B97F4A7C13 | 3, 0xC2B2AE3D27D4EB4B, 0xD6E8FEB86659FD93)
 

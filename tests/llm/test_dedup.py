@@ -178,6 +178,38 @@ def test_suffix_dedup_spreads_one_id(spark, hot):
     assert sorted(map(tuple, got), key=str) == expected_bytes(rows, groups={(r.doc_id, r.text): r.g for r in dealt})
 
 
+def test_suffix_fragments_alone_are_not_indexed(spark, monkeypatch):
+    """Exact copies cost the indexes nothing, repeats inside a fragment and between unlike ones are still found."""
+    sizes = []
+    monkeypatch.setattr(suffix_dedup, "RunIndex", lambda strings: sizes.append(sum(map(len, strings))) or RunIndex(strings))
+    rnd = random.Random(5)
+    copied = "".join(rnd.choice("abcdefgh ") for _ in range(6000))
+    rows = [(i, copied) for i in range(4)]
+
+    def run(rows, size):
+        sizes.clear()
+        t = pa.table({"g": pa.array([0] * len(rows)), "doc_id": [i for i, _ in rows], "text": [x for _, x in rows]})
+        few = suffix_dedup.Sizes(len(copied))
+        monkeypatch.setattr(suffix_dedup, "INDEX_BYTES", size)
+        by = lambda f, t, c: pa.concat_tables([f(t.filter(pa.compute.equal(t[c], s))) for s in set(t[c].to_pylist())])
+        anchors = by(lambda x: suffix_dedup.merge_anchors(x, few), suffix_dedup.anchor_part(t, few), "shard")
+        found = by(suffix_dedup.merge_fragments, suffix_dedup.fragment_part(t, anchors, few), "shard")
+        cut = suffix_dedup.cut_rows(t, found, True)
+        return sorted(zip(*(c.to_pylist() for c in cut.columns), strict=True), key=str)
+
+    assert run(rows, 1 << 20) == expected_bytes(rows) and not sizes
+    mixed = [*rows, (4, "ab" * 300), (5, copied[:3000] + "!" + copied[3050:]), (6, "xyz" * 50 + copied[100:400]), (7, "=" * 3000)]
+    for size in (1, 2000, 1 << 20):
+        assert run(mixed, size) == expected_bytes(mixed) and sizes
+
+
+def test_suffix_rows_do_not_dwindle():
+    """What a group sends to a shard at 6 GB (10 GB of text) still comes from kilobytes."""
+    total = 10 << 30
+    groups = total / suffix_dedup.group_size(total, suffix_dedup.GROUP_BYTES, suffix_dedup.MOST_GROUP_BYTES)
+    assert total / (groups * 2 ** suffix_dedup.Sizes(total).shard_bits) >= 1024
+
+
 def test_suffix_dedup_empty(empty):
     assert suffix_dedup.cut_matches(empty).count() == 0
 

@@ -53,7 +53,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-#: Distinct pre-tokens kept by a process; beyond it only those of one token, which are the frequent ones, stay.
+#: Distinct pre-tokens kept by a process, in two generations.
 CACHE_WORDS = 500_000
 #: Code points below it, whose classes are fixed, are split here; texts with others are left to the library.
 LATIN_END = 0x250
@@ -74,56 +74,69 @@ def latin_splitter() -> re.Pattern:
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
 
 
+class Known(dict):
+    """Ids of pre-tokens, little-endian and of 32 bits, from ``encode`` when first asked for.
+
+    Half of ``CACHE_WORDS`` make a generation; of the one before stays what is asked for again.
+    """
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.before = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = ids = self.before.get(word) or self.encode(word)
+        return ids
+
+    def age(self) -> None:
+        if len(self) > CACHE_WORDS // 2:
+            self.before = dict(self)
+            self.clear()
+
+
 class ByteLevelEncoder:
     """Ids of a byte-level BPE file, by the tokenizers library.
 
-    Pre-tokens can't influence one another, so the library encodes each
-    distinct one once for a process, many at a time as lines of one text, and
-    a text's ids are those of its pre-tokens. The split is the library's too
-    for all code points that it is used for, which is checked when a process
-    starts; other texts, and those with special strings, the library encodes whole.
+    Pre-tokens can't influence one another, so the library's model encodes each
+    distinct one once while it is known, and a text's ids are those of its
+    pre-tokens. The split is the library's too for all code points that it is
+    used for, and so are the letters that stand for their bytes; both are
+    checked when a process starts. Other texts, and those with special strings,
+    the library encodes whole.
     """
 
-    LINE = "\n"
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
         self.split = latin_splitter().findall
-        self.cache: dict[str, bytes] = {}  # little-endian 32-bit ids
-        self.line_id = self.library.encode(self.LINE, add_special_tokens=False).ids
-        self.by_word = self.library.normalizer is None and len(self.line_id) == 1 and self.splits_alike()
+        self.known = Known(self.word)
+        # of each code point the letters that stand for its bytes
+        self.letters = {c: "".join(x for x, _ in self.library.pre_tokenizer.pre_tokenize_str(chr(c))) for c in range(LATIN_END)}
+        self.tokens = self.library.model.tokenize
+        self.wide = [i.to_bytes(4, "little") for i in range(1 + max(self.library.get_vocab().values()))]
+        self.by_word = self.library.normalizer is None and self.splits_alike()
 
     def splits_alike(self) -> bool:
-        """Whether every code point below LATIN_END is split off from all kinds of neighbours as the library does it."""
+        """Whether every code point below LATIN_END is split off from all kinds of neighbours as the library does it, and gets its ids."""
         tests = [f"{c}{c} {c}a{c}1{c}.{c}\n{c} '{c}  {c}s'll{c}" for c in map(chr, range(LATIN_END))]
-        return all([text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)] == self.split(text) for text in tests)
+        split = [self.split(text) for text in tests]
+        if not all([text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)] == own for text, own in zip(tests, split, strict=True)):
+            return False
+        return [b"".join(self.lines(own)) for own in split] == self.alone(tests)
 
     def alone(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def word(self, word: str) -> bytes:
+        """Ids of one pre-token, by the library's model."""
+        wide = self.wide
+        return b"".join([wide[t.id] for t in self.tokens(word.translate(self.letters))])
+
     def lines(self, words: list[str]) -> list[bytes]:
-        """Ids of pre-tokens that aren't white space, encoded as lines of one text."""
-        ids = np.array(self.library.encode_batch_fast([self.LINE.join(words)], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.flatnonzero(ids == self.line_id[0])
-        if len(ends) != len(words) - 1:
-            return self.alone(words)
-        data, at = ids.tobytes(), (ends * 4).tolist()
-        return [data[a:b] for a, b in zip([0, *(x + 4 for x in at)], [*at, len(data)], strict=True)]
-
-    def learn(self, words: set[str]) -> None:
-        """Encode the pre-tokens that aren't known yet."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {w: ids for w, ids in self.cache.items() if len(ids) == 4}
-        new = words.difference(self.cache)
-        blank = [w for w in new if w.isspace()]
-        solid = list(new.difference(blank))
-        self.cache.update(zip(blank, self.alone(blank), strict=True))
-        for a in range(0, len(solid), 2000):
-            part = solid[a : a + 2000]
-            self.cache.update(zip(part, self.lines(part), strict=True))
+        """Ids of pre-tokens."""
+        return list(map(self.known.__getitem__, words))
 
     @staticmethod
     def latin(text: str) -> bool:
@@ -135,11 +148,11 @@ class ByteLevelEncoder:
         return True
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        self.known.age()
         plain = [self.by_word and self.latin(t) and not any(s in t for s in self.special) for t in texts]
-        split = [self.split(t) if p else [] for t, p in zip(texts, plain, strict=True)]
-        self.learn(set().union(*split))
         others = iter(self.alone([t for t, p in zip(texts, plain, strict=True) if not p]))
-        return [np.frombuffer(b"".join(map(self.cache.__getitem__, words)) if p else next(others), "<u4") for words, p in zip(split, plain, strict=True)]
+        # one text at a time, so its pre-tokens are still in the processor's cache
+        return [np.frombuffer(b"".join(self.lines(self.split(t))) if p else next(others), "<u4") for t, p in zip(texts, plain, strict=True)]
 
 
 @lru_cache(2)

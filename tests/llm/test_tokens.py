@@ -69,6 +69,22 @@ def test_ids_of_any_text(texts):
     assert got == want
 
 
+def test_pre_tokens_are_encoded_once_and_kept_while_used(monkeypatch):
+    """What is asked for again outlives its generation, memory stays bounded, and ids don't change when words come back."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 40)
+    e = packing.ByteLevelEncoder(packing.default_tokenizer())
+    asked = []
+    known = packing.Known(lambda w, f=e.word: asked.append(w) or f(w))
+    e.known = known
+    for i in range(30):
+        texts = [f"the same é words qx{i} zq{i} jk{i}", " the same"]
+        want = [x.ids for x in e.library.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in e.encode_batch(texts)] == want
+        assert len(known) + len(known.before) <= 60
+    assert asked.count(" same") == asked.count(" é") == 1
+    assert [x.tolist() for x in e.encode_batch([" zq0"])] == [e.library.encode(" zq0", add_special_tokens=False).ids]
+
+
 ODD = ["", " ", "  a  b ", "日本語 テスト 😀", "a▁b", "▁▁ x", "x ", "\n\n a", "a\tb", "<s> </s>", "\x00", "<0x41>", "é" * 3000]
 
 
